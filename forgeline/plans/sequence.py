@@ -1,0 +1,78 @@
+"""Neighbouring rows within a group, without putting a whole group in one task.
+
+``Window.partitionBy(g).orderBy(o)`` sends every row of a group to one task.
+When one machine holds a third of all telemetry that task sorts a third of
+the data. Here the rows are instead range-partitioned on the full ordering
+(group, order..., tiebreak), so a hot group is split over many tasks by the
+sampled range bounds, and each row gets a dense global position:
+
+1. global sort on (group, order...) -> range partitions in global order;
+2. per row: partition id and offset inside the partition; the result is
+   checkpointed (reliable, survives lost executors; it also freezes the
+   sampled range bounds so both uses below see the same layout);
+3. rows per partition (one small row per partition, bounded by the partition
+   count) -> exclusive prefix sums -> broadcast back -> position.
+
+The row after ``r`` in its group is then the row at ``position + 1`` with the
+same group: an equi-join on a unique key, which has no skew.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from forgeline.session import ensure_checkpoint_dir
+
+POSITION = "_pos"
+
+
+def with_global_position(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Add ``_pos``: 0-based dense position of each row in the total order
+    ``order_cols`` (which must be unique per row for a deterministic result)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    tagged = ordered.select(
+        "*",
+        F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().alias("_mono"),
+    )
+    tagged = tagged.withColumn("_off", F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33))
+    frozen = tagged.drop("_mono").checkpoint(eager=True)
+    counts = frozen.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: the window below runs over at most
+    # spark.sql.shuffle.partitions rows, never over data rows
+    starts = counts.select(
+        "_part",
+        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
+        .alias("_start"),
+    ).fillna({"_start": 0})
+    out = frozen.join(F.broadcast(starts), "_part").withColumn(
+        POSITION, F.col("_start") + F.col("_off"))
+    return out.drop("_part", "_off", "_start")
+
+
+def next_row_pairs(df: DataFrame, group_col: str, order_cols: list[str],
+                   left_filter, right_filter, left_cols: list[str], right_cols: list[str],
+                   right_prefix: str = "next_") -> DataFrame:
+    """Pairs (row, the next row of its group) where the row passes
+    ``left_filter`` and the next row passes ``right_filter``.
+
+    Both filters are applied before the pairing join, so only candidate rows
+    are shuffled. Output: ``group_col``, ``_pos``, left columns, and right
+    columns renamed with ``right_prefix``.
+    """
+    positioned = with_global_position(df, [group_col, *order_cols])
+    left = positioned.where(left_filter).select(group_col, POSITION, *left_cols)
+    right = positioned.where(right_filter).select(
+        F.col(group_col).alias("_rgroup"),
+        (F.col(POSITION) - 1).alias("_rprev"),
+        *[F.col(c).alias(right_prefix + c) for c in right_cols],
+    )
+    joined = left.join(
+        right,
+        (left[POSITION] == right["_rprev"]) & left[group_col].eqNullSafe(right["_rgroup"]),
+        "inner",
+    )
+    return joined.drop("_rgroup", "_rprev")
