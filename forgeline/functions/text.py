@@ -18,8 +18,12 @@ def id_number(col: str | Column, prefix: str) -> Column:
 
 def zero_pad(num: Column, width: int) -> Column:
     """Decimal text of an integer, zero-padded to at least ``width`` digits
-    (longer numbers keep all their digits, unlike ``lpad``)."""
-    return F.format_string(f"%0{width}d", num)
+    (longer numbers keep all their digits, unlike a bare ``lpad``); same
+    text as ``printf('%0<width>d')`` without its per-row formatter cost."""
+    digits = F.abs(num).cast("string")
+    padded = F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0"))
+    return F.when(num < 0, F.concat(F.lit("-"), F.when(F.length(digits) >= width - 1, digits)
+                                    .otherwise(F.lpad(digits, width - 1, "0")))).otherwise(padded)
 
 
 def decimal_text(x: Column, scale: int) -> Column:

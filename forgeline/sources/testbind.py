@@ -20,11 +20,28 @@ from pyspark.sql import functions as F
 
 from forgeline.config import TIMESTAMP_FORMAT
 from forgeline.functions.text import zero_pad
-from forgeline.plans.joins import lookup_join
+from forgeline.plans.joins import estimated_size_bytes, lookup_join
+
+SPREAD_MIN_BYTES = 1 << 20  # smaller scans are not worth a shuffle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the session has cores.
+
+    The driver's test tables are single files with one row group, so the
+    scan is one task and every per-row expression before the first shuffle
+    would run serially. A lake table of many files already scans in
+    parallel and is returned unchanged (no extra shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_size_bytes(df) or 0
+    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def raw_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
