@@ -11,6 +11,8 @@ counter can overwrite an earlier flush of the same hour).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,11 +24,18 @@ from forgeline.sinks.files import write_batch_partitions
 PARTITIONS = ["year", "month", "day", "hour", "_batch_id"]
 
 
-def batch_label(epoch_id: int) -> str:
-    return f"e{epoch_id:012d}"
+def batch_label(epoch_id: int, stream_name: str) -> str:
+    """Batch label: micro-batch id (orders the batches of one stream), then
+    the stream name, so two streams feeding one table never share a label
+    (a shared label would let one stream's retry overwrite the other's)."""
+    return f"e{epoch_id:012d}-{stream_name}"
+
+
+def stream_name_of(landing_dir: str) -> str:
+    return hashlib.sha1(landing_dir.rstrip("/").encode()).hexdigest()[:12]
 
 
-def land_batch(lake: Lake):
+def land_batch(lake: Lake, stream_name: str = "telemetry"):
     def _land(batch: DataFrame, epoch_id: int) -> None:
         ts = F.to_timestamp_ntz("timestamp")
         out = batch.withColumns({
@@ -35,7 +44,7 @@ def land_batch(lake: Lake):
             "month": F.date_format(ts, "MM"),
             "day": F.date_format(ts, "dd"),
             "hour": F.date_format(ts, "HH"),
-            "_batch_id": F.lit(batch_label(epoch_id)),
+            "_batch_id": F.lit(batch_label(epoch_id, stream_name)),
         })
         write_batch_partitions(out, lake.raw_telemetry, PARTITIONS)
     return _land
@@ -56,12 +65,14 @@ def telemetry_stream(spark: SparkSession, landing_dir: str,
 
 def land_telemetry(spark: SparkSession, lake: Lake, landing_dir: str,
                    max_files_per_trigger: int | None = None, available_now: bool = True,
-                   processing_time: str | None = None) -> StreamingQuery:
+                   processing_time: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Start the landing query. With ``available_now`` it takes every file
-    present, in one or more micro-batches, and stops."""
+    present, in one or more micro-batches, and stops. One landing folder
+    has one checkpoint (by default below the lake's metadata)."""
+    name = stream_name_of(landing_dir)
     writer = (telemetry_stream(spark, landing_dir, max_files_per_trigger)
-              .writeStream.foreachBatch(land_batch(lake))
-              .option("checkpointLocation", lake.stream_checkpoint))
+              .writeStream.foreachBatch(land_batch(lake, name))
+              .option("checkpointLocation", checkpoint or f"{lake.stream_checkpoint}/{name}"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
