@@ -59,8 +59,9 @@ def missing_event_sample(telemetry: DataFrame, first: int = C.TOP_N) -> DataFram
     """
     nums = event_numbers(telemetry).distinct()
     nxt = nums.select((F.col("n") - 1).alias("n"))
-    top = nums.agg(F.max("n").alias("hi"))
-    starts = nums.join(nxt, "n", "left_anti").where(F.col("n") < top.scalar())
+    # the largest number also "starts" a gap; having no larger number after
+    # it, the inner join below drops it
+    starts = nums.join(nxt, "n", "left_anti")
     starts = starts.select((F.col("n") + 1).alias("gap_start")).orderBy("gap_start").limit(first)
     bounded = F.broadcast(starts)
     ends = bounded.join(nums, nums["n"] > bounded["gap_start"], "inner") \

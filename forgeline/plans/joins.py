@@ -24,6 +24,42 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+_MEASURED: dict[tuple[int, int], bool] = {}
+
+
+def _has_join(df: DataFrame) -> bool:
+    return "Join" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def row_width(df: DataFrame) -> int:
+    return max(8, int(df.schema.fields and sum(f.dataType.defaultSize() if hasattr(f.dataType, "defaultSize")
+                                                 else 16 for f in df.schema.fields) + 8 * len(df.schema.fields)))
+
+
+def fits_broadcast(dim: DataFrame, limit: int) -> bool:
+    """Whether ``dim`` is at most ``limit`` bytes.
+
+    The optimizer's estimate is used when the dimension's plan is scans,
+    filters, projections and aggregates. With a join inside, Spark (without
+    CBO statistics) estimates the product of the join's inputs, far above
+    the real size of a lookup (N:1) join; then the rows are counted by a
+    probe that stops after ``limit / row width`` rows, and the answer is
+    kept per plan for the session.
+    """
+    est = estimated_size_bytes(dim)
+    if est is None:
+        return False
+    if est <= limit:
+        return True
+    if not _has_join(dim):
+        return False
+    key = (int(dim._jdf.queryExecution().optimizedPlan().semanticHash()), limit)
+    if key not in _MEASURED:
+        max_rows = max(1, limit // row_width(dim))
+        _MEASURED[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return _MEASURED[key]
+
+
 def broadcast_limit(df: DataFrame) -> int:
     conf = df.sparkSession.conf
     raw = conf.get("forgeline.maxBroadcastBytes", None)
@@ -40,8 +76,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str =
     """
     keys = [on] if isinstance(on, str) else list(on)
     limit = broadcast_limit(dim) if max_broadcast_bytes is None else max_broadcast_bytes
-    size = estimated_size_bytes(dim)
-    right = F.broadcast(dim) if size is not None and size <= limit else dim
+    right = F.broadcast(dim) if fits_broadcast(dim, limit) else dim
     if not null_safe:
         return fact.join(right, keys, how)
     renamed = right.select(*[F.col(c).alias(f"__dim_{c}") if c in keys else F.col(c) for c in right.columns])

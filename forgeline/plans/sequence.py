@@ -8,8 +8,9 @@ sampled range bounds, and each row gets a dense global position:
 
 1. global sort on (group, order...) -> range partitions in global order;
 2. per row: partition id and offset inside the partition; the result is
-   checkpointed (reliable, survives lost executors; it also freezes the
-   sampled range bounds so both uses below see the same layout);
+   written as a table in the checkpoint folder (survives lost executors; it
+   also freezes the sampled range bounds so both uses below see the same
+   layout);
 3. rows per partition (one small row per partition, bounded by the partition
    count) -> exclusive prefix sums -> broadcast back -> position.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgeline.session import ensure_checkpoint_dir
+from forgeline.plans.materialize import materialize
 
 POSITION = "_pos"
 
@@ -30,8 +31,6 @@ POSITION = "_pos"
 def with_global_position(df: DataFrame, order_cols: list[str]) -> DataFrame:
     """Add ``_pos``: 0-based dense position of each row in the total order
     ``order_cols`` (which must be unique per row for a deterministic result)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     tagged = ordered.select(
         "*",
@@ -39,7 +38,7 @@ def with_global_position(df: DataFrame, order_cols: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("_mono"),
     )
     tagged = tagged.withColumn("_off", F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33))
-    frozen = tagged.drop("_mono").checkpoint(eager=True)
+    frozen = materialize(tagged.drop("_mono"), "positions")
     counts = frozen.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: the window below runs over at most
     # spark.sql.shuffle.partitions rows, never over data rows

@@ -16,11 +16,10 @@ results can be checked against an independent engine.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from forgeline.config import TIMESTAMP_FORMAT
-from forgeline.functions.text import zero_pad
 from forgeline.plans.joins import estimated_size_bytes, lookup_join
+from forgeline.plans.materialize import materialize
 
 SPREAD_MIN_BYTES = 1 << 20  # smaller scans are not worth a shuffle
 
@@ -39,131 +38,161 @@ def spread_narrow_scan(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_size_bytes(df) or 0
-    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
+    if size < SPREAD_MIN_BYTES or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)
 
 
+def _pad(expr: str, width: int) -> str:
+    """SQL text of ``zero_pad`` for a non-negative integer expression (the
+    bound ids are keys and never negative)."""
+    t = f"cast({expr} as string)"
+    return f"CASE WHEN length({t}) >= {width} THEN {t} ELSE lpad({t}, {width}, '0') END"
+
+
 def raw_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
-    region = table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS s_nationkey", "n_regionkey")
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey AS n_regionkey", "r_name")
     geo = lookup_join(nation, region, "n_regionkey", how="inner")
     joined = lookup_join(supplier, geo, "s_nationkey", how="inner")
-    return joined.select(
-        F.concat(F.lit("mach_"), zero_pad(F.col("s_suppkey"), 5)).alias("machine_id"),
-        F.concat(F.lit("fac_"), zero_pad(F.col("s_nationkey"), 2)).alias("factory_id"),
-        F.lower("r_name").alias("machine_type"),
-        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("s_suppkey").cast("int")),
-                      "yyyy-MM-dd").alias("install_date"),
-        F.when(F.col("s_acctbal") < 0, F.lit("maintenance")).otherwise(F.lit("active")).alias("status"),
-        F.lit("0").alias("_batch_id"),
-        F.col("s_suppkey").alias("_row_seq"),
+    return joined.selectExpr(
+        f"concat('mach_', {_pad('s_suppkey', 5)}) AS machine_id",
+        f"concat('fac_', {_pad('s_nationkey', 2)}) AS factory_id",
+        "lower(r_name) AS machine_type",
+        "date_format(date_add(DATE'2020-01-01', cast(s_suppkey AS int)), 'yyyy-MM-dd') AS install_date",
+        "CASE WHEN s_acctbal < 0 THEN 'maintenance' ELSE 'active' END AS status",
+        "'0' AS _batch_id",
+        "s_suppkey AS _row_seq",
     )
 
 
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw telemetry with its scan-order columns (hour partition, batch, row)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    k = F.get_json_object("props", "$.k").cast("int")
-    common = dict(
-        event_id=F.concat(F.lit("evt_"), zero_pad(F.col("event_id"), 6)),
-        factory_id=F.concat(F.lit("fac_"), zero_pad(F.col("user_id") % 25, 2)),
-        timestamp=F.date_format("ts", TIMESTAMP_FORMAT),
-        vibration_mm_s=k * F.lit(0.05859375),
-        power_kw=F.col("value") * F.lit(0.5),
-    )
-    first = ev.select(
-        common["event_id"].alias("event_id"),
-        F.concat(F.lit("mach_"), zero_pad(F.col("user_id"), 5)).alias("machine_id"),
-        common["factory_id"].alias("factory_id"),
-        common["timestamp"].alias("timestamp"),
-        (F.lit(68.0) + F.col("value") * F.lit(0.125)).alias("temperature_c"),
-        common["vibration_mm_s"].alias("vibration_mm_s"),
-        common["power_kw"].alias("power_kw"),
-        F.when(F.col("event_type") == "purchase", F.lit("Idle"))
-        .when(F.col("event_type") == "signup", F.lit("OFF "))
-        .when(F.col("event_type") == "error", F.lit("error"))
-        .otherwise(F.lit("running")).alias("status"),
-        F.lit("0").alias("_batch_id"),
-        F.col("ts"),
-        F.col("event_id").alias("_row_seq"),
-    )
-    resent = ev.where(F.col("event_type") == "error").select(
-        common["event_id"].alias("event_id"),
-        F.concat(F.lit(" MACH_"), zero_pad(F.col("user_id"), 5), F.lit(" ")).alias("machine_id"),
-        common["factory_id"].alias("factory_id"),
-        common["timestamp"].alias("timestamp"),
-        (F.lit(69.0) + F.col("value") * F.lit(0.125)).alias("temperature_c"),
-        common["vibration_mm_s"].alias("vibration_mm_s"),
-        common["power_kw"].alias("power_kw"),
-        F.lit("ERROR").alias("status"),
-        F.lit("1").alias("_batch_id"),
-        F.col("ts"),
-        F.col("event_id").alias("_row_seq"),
-    )
-    both = first.unionByName(resent)
-    return both.select(
-        "event_id", "machine_id", "factory_id", "timestamp", "temperature_c",
-        "vibration_mm_s", "power_kw", "status",
-        F.year("ts").alias("year"), F.month("ts").alias("month"),
-        F.dayofmonth("ts").alias("day"), F.hour("ts").alias("hour"),
-        "_batch_id", "_row_seq",
-    )
+    common = [
+        f"concat('evt_', {_pad('event_id', 6)}) AS event_id",
+        None,  # machine_id
+        f"concat('fac_', {_pad('user_id % 25', 2)}) AS factory_id",
+        f"date_format(ts, \"{TIMESTAMP_FORMAT}\") AS timestamp",
+        None,  # temperature_c
+        "cast(get_json_object(props, '$.k') AS int) * 0.05859375D AS vibration_mm_s",
+        "value * 0.5D AS power_kw",
+        None,  # status
+        None,  # _batch_id
+        "year(ts) AS year", "month(ts) AS month", "dayofmonth(ts) AS day", "hour(ts) AS hour",
+        "event_id AS _row_seq",
+    ]
+
+    def batch(machine, temperature, status, label):
+        cols = list(common)
+        cols[1], cols[4], cols[7], cols[8] = machine, temperature, status, f"'{label}' AS _batch_id"
+        return cols
+
+    first = ev.selectExpr(*batch(
+        f"concat('mach_', {_pad('user_id', 5)}) AS machine_id",
+        "68.0D + value * 0.125D AS temperature_c",
+        "CASE event_type WHEN 'purchase' THEN 'Idle' WHEN 'signup' THEN 'OFF ' "
+        "WHEN 'error' THEN 'error' ELSE 'running' END AS status", "0"))
+    resent = ev.where("event_type = 'error'").selectExpr(*batch(
+        f"concat(' MACH_', {_pad('user_id', 5)}, ' ') AS machine_id",
+        "69.0D + value * 0.125D AS temperature_c",
+        "'ERROR' AS status", "1"))
+    return first.unionByName(resent)
 
 
 def raw_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_shipdate", "l_suppkey", "l_returnflag", "l_quantity", "l_discount", "l_partkey")
-    return li.select(
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        F.concat(F.lit("mach_"), zero_pad(F.col("l_suppkey"), 5)).alias("machine_id"),
-        F.col("l_returnflag").alias("shift"),
-        F.col("l_quantity").cast("bigint").alias("units_produced"),
-        F.expr("(cast(l_quantity as bigint) * cast(round(l_discount * 100) as bigint)) div 80")
-        .alias("scrap_units"),
-        F.concat(F.lit("op_"), zero_pad(F.col("l_partkey") % 40, 3)).alias("operator_id"),
+    return li.selectExpr(
+        "date_format(l_shipdate, 'yyyy-MM-dd') AS date",
+        f"concat('mach_', {_pad('l_suppkey', 5)}) AS machine_id",
+        "l_returnflag AS shift",
+        "cast(l_quantity AS bigint) AS units_produced",
+        "(cast(l_quantity AS bigint) * cast(round(l_discount * 100) AS bigint)) div 80 AS scrap_units",
+        f"concat('op_', {_pad('l_partkey % 40', 3)}) AS operator_id",
     )
 
 
 def raw_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
-    return o.select(
-        F.concat(F.lit("mnt_"), F.col("o_orderkey").cast("string")).alias("maintenance_id"),
-        F.concat(F.lit("mach_"), zero_pad(F.expr("o_custkey div 14"), 5)).alias("machine_id"),
-        F.date_format("o_orderdate", TIMESTAMP_FORMAT).alias("timestamp"),
-        F.replace(F.expr("substr(o_orderpriority, 3)"), F.lit(" "), F.lit("_")).alias("maintenance_type"),
-        F.when(F.col("o_orderstatus") == "O", F.lit("none"))
-        .when(F.col("o_orderstatus") == "F", F.lit("bearing"))
-        .when(F.col("o_orderstatus") == "P", F.lit("motor")).alias("part_replaced"),
-        (F.floor("o_totalprice").cast("bigint") % 125 - 5).alias("downtime_minutes"),
-        F.year("o_orderdate").alias("year"),
-        F.month("o_orderdate").alias("month"),
-        F.lit("0").alias("_batch_id"),
-        F.col("o_orderkey").alias("_row_seq"),
+    return o.selectExpr(
+        "concat('mnt_', cast(o_orderkey AS string)) AS maintenance_id",
+        f"concat('mach_', {_pad('o_custkey div 14', 5)}) AS machine_id",
+        f"date_format(o_orderdate, \"{TIMESTAMP_FORMAT}\") AS timestamp",
+        "replace(substr(o_orderpriority, 3), ' ', '_') AS maintenance_type",
+        "CASE o_orderstatus WHEN 'O' THEN 'none' WHEN 'F' THEN 'bearing' WHEN 'P' THEN 'motor' END "
+        "AS part_replaced",
+        "cast(floor(o_totalprice) AS bigint) % 125 - 5 AS downtime_minutes",
+        "year(o_orderdate) AS year",
+        "month(o_orderdate) AS month",
+        "'0' AS _batch_id",
+        "o_orderkey AS _row_seq",
     )
 
 
+RAW_BUILDERS = {
+    "telemetry": raw_telemetry,
+    "machines": raw_machines,
+    "maintenance_logs": raw_maintenance,
+    "production": raw_production,
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "telemetry": raw_telemetry(spark, sf_dir),
-        "machines": raw_machines(spark, sf_dir),
-        "maintenance_logs": raw_maintenance(spark, sf_dir),
-        "production": raw_production(spark, sf_dir),
-    }
+    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
 
 
-def staged_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four staged tables over the bound raw tables."""
+def staged_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One staged table over its bound raw table."""
     from forgeline.operators import staging
 
-    raw = raw_tables(spark, sf_dir)
-    return {
-        "telemetry": staging.stage_telemetry(raw["telemetry"]),
-        "machines": staging.stage_machines(raw["machines"]),
-        "maintenance_logs": staging.stage_maintenance(raw["maintenance_logs"]),
-        "production": staging.stage_production(raw["production"]),
+    stagers = {
+        "telemetry": staging.stage_telemetry,
+        "machines": staging.stage_machines,
+        "maintenance_logs": staging.stage_maintenance,
+        "production": staging.stage_production,
     }
+    return stagers[name](RAW_BUILDERS[name](spark, sf_dir))
+
+
+class StagedTables(dict):
+    """Staged tables built on first use (a query pays only for what it reads).
+
+    With ``materialize`` each table is written once as a table in the
+    checkpoint folder when first used, as the staging job writes it to the
+    lake: consumers that read a staged table several times (quality checks,
+    alerts, dashboard counts) then plan and run over the written rows instead
+    of re-deriving them in every branch.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+        super().__init__()
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = staged_table(self.spark, self.sf_dir, name)
+        if self.materialize:
+            df = materialize(df, f"staged-{name}")
+        self[name] = df
+        return df
+
+    def __contains__(self, name) -> bool:
+        return name in RAW_BUILDERS
+
+    def get(self, name, default=None):
+        return self[name] if name in RAW_BUILDERS else default
+
+    def keys(self):
+        return list(RAW_BUILDERS)
+
+    def items(self):
+        return [(n, self[n]) for n in RAW_BUILDERS]
+
+    def __iter__(self):
+        return iter(RAW_BUILDERS)
+
+
+def staged_tables(spark: SparkSession, sf_dir: str, materialize: bool = False) -> StagedTables:
+    return StagedTables(spark, sf_dir, materialize)
