@@ -283,11 +283,20 @@ def run_queries(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def run_serving(spark: SparkSession, lake: Lake, as_of: dt.datetime) -> dict[str, int]:
+    """Dashboard data: telemetry status table and JSON extracts of the
+    downtime, health and scrap tables (one JSON object per row)."""
     tel, mach = _staged(spark, lake, "telemetry"), _staged(spark, lake, "machines")
     out = {}
     if tel is not None and mach is not None:
         out["telemetry_status"] = _write_counted(S.telemetry_status(tel, mach, as_of),
                                                  lake.path("serving", "telemetry_status"), "telemetry_status")
+    for name in ("factory_downtime_metrics", "machine_health_features", "scrap_rate_metrics"):
+        table = read_or_none(spark, lake.analytics(name))
+        if table is not None:
+            obs = Observation(f"extract_{name}")
+            table.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(
+                lake.path("serving", "extracts", name))
+            out[f"extract_{name}"] = int(obs.get.get("rows", 0))
     return out
 
 

@@ -63,6 +63,8 @@ def test_full_run_matches_in_memory_queries(spark, lake, tmp_path):
     assert [r["check_name"] for r in report] == ["missing_telemetry", "negative_production",
                                                  "machine_id_mismatch", "null_critical_fields"]
     assert read_or_none(spark, lake.alert_report, "json") is not None
+    extract = read_or_none(spark, lake.path("serving", "extracts", "machine_health_features"), "json")
+    assert extract.count() == read_or_none(spark, lake.analytics("machine_health_features")).count()
     hist = J.run_history(spark, lake)
     assert {"ingestion.telemetry", "transformations.staging", "warehouse.queries"} <= {
         r.step for r in hist.collect()}
