@@ -28,15 +28,11 @@ def exact_mean(col: str, scale: int = 8, precision: int = 20) -> Column:
     Values are summed as ``decimal(precision, scale)`` and divided in double.
     NaN or infinite inputs give the same result as a double mean would.
     """
-    c = F.col(col)
-    finite = F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None)).otherwise(c)
-    exact = F.sum(finite.cast(f"decimal({precision},{scale})")).cast("double") / F.count(c)
-    pos_inf = F.count_if(c == F.lit(float("inf")))
-    neg_inf = F.count_if(c == F.lit(float("-inf")))
-    return (
-        F.when(F.count_if(F.isnan(c)) > 0, F.lit(float("nan")))
-        .when((pos_inf > 0) & (neg_inf > 0), F.lit(float("nan")))
-        .when(pos_inf > 0, F.lit(float("inf")))
-        .when(neg_inf > 0, F.lit(float("-inf")))
-        .otherwise(exact)
-    )
+    c = f"`{col}`"
+    pos, neg = f"count_if({c} = double('inf'))", f"count_if({c} = double('-inf'))"
+    finite = f"CASE WHEN isnan({c}) OR abs({c}) = double('inf') THEN NULL ELSE {c} END"
+    return F.expr(
+        f"CASE WHEN count_if(isnan({c})) > 0 THEN double('NaN') "
+        f"WHEN {pos} > 0 AND {neg} > 0 THEN double('NaN') "
+        f"WHEN {pos} > 0 THEN double('inf') WHEN {neg} > 0 THEN double('-inf') "
+        f"ELSE cast(sum(cast({finite} AS decimal({precision},{scale}))) AS double) / count({c}) END")

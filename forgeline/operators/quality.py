@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from forgeline import config as C
 from forgeline.functions.text import id_number, zero_pad
 from forgeline.plans.joins import lookup_join
+from forgeline.plans.materialize import one_row
 from forgeline.plans.sequence import next_row_pairs
 from forgeline.schemas import QUALITY_RESULT
 
@@ -48,7 +49,14 @@ def event_numbers(telemetry: DataFrame) -> DataFrame:
     return ids.select(id_number("event_id", "evt_").alias("n"))
 
 
-def missing_event_sample(telemetry: DataFrame, first: int = C.TOP_N) -> DataFrame:
+def number_counts(telemetry: DataFrame) -> DataFrame:
+    """Distinct event numbers with their multiplicity (``n``, ``c``); a
+    partial aggregate, so a number repeated in many rows is combined map-side."""
+    return event_numbers(telemetry).groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+
+
+def missing_event_sample(telemetry: DataFrame, first: int = C.TOP_N,
+                         counts: DataFrame | None = None) -> DataFrame:
     """The ``first`` smallest missing event numbers (one row each).
 
     A present number ``n`` starts a gap when ``n + 1`` is absent (anti join on
@@ -57,7 +65,7 @@ def missing_event_sample(telemetry: DataFrame, first: int = C.TOP_N) -> DataFram
     matched with the next present number. Work grows with the ids, not with
     the id range.
     """
-    nums = event_numbers(telemetry).distinct()
+    nums = (counts if counts is not None else number_counts(telemetry)).select("n")
     nxt = nums.select((F.col("n") - 1).alias("n"))
     # the largest number also "starts" a gap; having no larger number after
     # it, the inner join below drops it
@@ -85,16 +93,16 @@ def missing_event_ranges(telemetry: DataFrame) -> DataFrame:
 
 
 def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N) -> DataFrame:
-    nums = event_numbers(telemetry)
-    stats = nums.agg(
-        F.count("n").alias("cnt"),
+    counts = number_counts(telemetry)
+    stats = counts.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("cnt"),
         F.min("n").alias("lo"),
         F.max("n").alias("hi"),
-        F.count_distinct("n").alias("distinct_n"),
+        F.count(F.lit(1)).alias("distinct_n"),
     )
-    sample = missing_event_sample(telemetry, first=sample_size)
-    sample_lo = sample.agg(F.min("n")).scalar()
-    sample_hi = sample.agg(F.max("n")).scalar()
+    sample = missing_event_sample(telemetry, first=sample_size, counts=counts)
+    stats = one_row(stats, sample.agg(F.min("n").alias("sample_lo"), F.max("n").alias("sample_hi")))
+    sample_lo, sample_hi = F.col("sample_lo"), F.col("sample_hi")
     span = F.col("hi") - F.col("lo") + 1
     missing = span - F.col("distinct_n")
     too_few = F.col("cnt") < 2
@@ -181,10 +189,10 @@ def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFram
     )
     valid = machines.agg(
         (F.count_distinct("machine_id") + F.max(F.col("machine_id").isNull().cast("int"))).alias("valid"))
-    bad = summary.select("bad").scalar()
-    text = summary.select("text").scalar()
+    combined = one_row(valid, summary)
+    bad, text = F.coalesce(F.col("bad"), F.lit(0)), F.col("text")
     return _result(
-        valid, "machine_id_mismatch",
+        combined, "machine_id_mismatch",
         passed=bad == 0,
         severity=F.when(bad > 0, F.lit("warning")).otherwise(F.lit("info")),
         details=F.when(bad > 0, F.concat(F.lit("Unknown machine_ids — "), text))

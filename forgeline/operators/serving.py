@@ -11,6 +11,7 @@ from forgeline import config as C
 from forgeline.functions.time import hours_between, ts_literal
 from forgeline.operators.metrics import latest_event_per_machine
 from forgeline.plans.joins import lookup_join
+from forgeline.plans.materialize import one_row
 
 
 def telemetry_status(telemetry: DataFrame, machines: DataFrame, as_of: dt.datetime,
@@ -34,18 +35,22 @@ def dashboard_kpis(spark: SparkSession, downtime_metrics: DataFrame, health: Dat
                    status: DataFrame, scrap: DataFrame, alert_totals: DataFrame,
                    temp_threshold: float = C.TEMP_THRESHOLD_C,
                    scrap_threshold: float = C.SCRAP_RATE_THRESHOLD) -> DataFrame:
-    """One row of header counts; each is a scalar subquery (no cross join)."""
-    def count(df: DataFrame, cond=None):
-        return (df.where(cond) if cond is not None else df).agg(F.count(F.lit(1))).scalar()
-
-    return spark.range(1).select(
-        count(downtime_metrics).alias("factories"),
-        count(health).alias("machines"),
-        count(health, F.coalesce(F.col("max_temperature_c"), F.lit(0.0)) > temp_threshold).alias("abnormal"),
-        count(status, F.col("status") != "active").alias("silent"),
-        count(scrap, F.coalesce(F.col("scrap_rate"), F.lit(0.0)) > scrap_threshold).alias("high_scrap"),
-        F.coalesce(alert_totals.select("total_alerts").scalar(), F.lit(0)).cast("bigint").alias("alerts"),
+    """One row of header counts (one-row aggregates combined without a
+    cross join or scalar subqueries)."""
+    def count(df: DataFrame, name: str, cond=None):
+        return (df.where(cond) if cond is not None else df).agg(F.count(F.lit(1)).alias(name))
+
+    totals = alert_totals.select(F.col("total_alerts").alias("alerts"))
+    row = one_row(
+        count(downtime_metrics, "factories"),
+        count(health, "machines"),
+        count(health, "abnormal", F.coalesce(F.col("max_temperature_c"), F.lit(0.0)) > temp_threshold),
+        count(status, "silent", F.col("status") != "active"),
+        count(scrap, "high_scrap", F.coalesce(F.col("scrap_rate"), F.lit(0.0)) > scrap_threshold),
+        totals,
     )
+    return row.select("factories", "machines", "abnormal", "silent", "high_scrap",
+                      F.coalesce(F.col("alerts"), F.lit(0)).cast("bigint").alias("alerts"))
 
 
 def dashboard_abnormal(health: DataFrame, n: int = C.TOP_N,

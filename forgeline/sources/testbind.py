@@ -24,8 +24,22 @@ from forgeline.plans.materialize import materialize
 SPREAD_MIN_BYTES = 1 << 20  # smaller scans are not worth a shuffle
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _cached(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """DataFrames of the binding are immutable plans over read-only files:
+    one plan object per session and table serves every query (each query
+    still runs over the whole table)."""
+    full = (spark._jsparkSession.sessionUUID(), *key)
+    if full not in _PLANS:
+        _PLANS[full] = build()
+    return _PLANS[full]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return _cached(spark, ("table", sf_dir, name), lambda: spread_narrow_scan(
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")))
 
 
 def spread_narrow_scan(df: DataFrame) -> DataFrame:
@@ -154,7 +168,9 @@ def staged_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         "maintenance_logs": staging.stage_maintenance,
         "production": staging.stage_production,
     }
-    return stagers[name](RAW_BUILDERS[name](spark, sf_dir))
+    return _cached(spark, ("staged", sf_dir, name),
+                   lambda: stagers[name](_cached(spark, ("raw", sf_dir, name),
+                                                 lambda: RAW_BUILDERS[name](spark, sf_dir))))
 
 
 class StagedTables(dict):
