@@ -18,11 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from forgeline.config import TIMESTAMP_FORMAT
-from forgeline.plans.joins import estimated_size_bytes, lookup_join
+from forgeline.plans.joins import lookup_join
 from forgeline.plans.materialize import materialize
 
-SPREAD_MIN_BYTES = 1 << 20  # smaller scans are not worth a shuffle
-
 
 _PLANS: dict[tuple, DataFrame] = {}
 
@@ -38,23 +36,11 @@ def _cached(spark: SparkSession, key: tuple, build) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _cached(spark, ("table", sf_dir, name), lambda: spread_narrow_scan(
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")))
-
-
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the session has cores.
-
-    The driver's test tables are single files with one row group, so the
-    scan is one task and every per-row expression before the first shuffle
-    would run serially. A lake table of many files already scans in
-    parallel and is returned unchanged (no extra shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_size_bytes(df) or 0
-    if size < SPREAD_MIN_BYTES or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)
+    """A driver table. (Spreading the single-split test files over all cores
+    with a round-robin shuffle was measured slower than scanning them in one
+    task, so scans are left as they are.)"""
+    return _cached(spark, ("table", sf_dir, name),
+                   lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _pad(expr: str, width: int) -> str:
