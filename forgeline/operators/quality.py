@@ -59,22 +59,26 @@ def missing_event_sample(telemetry: DataFrame, first: int = C.TOP_N,
                          counts: DataFrame | None = None) -> DataFrame:
     """The ``first`` smallest missing event numbers (one row each).
 
-    A present number ``n`` starts a gap when ``n + 1`` is absent (anti join on
-    a unique key). At most ``first`` gaps can hold the ``first`` smallest
-    missing numbers, so only those gap starts (a bounded, broadcast side) are
-    matched with the next present number. Work grows with the ids, not with
-    the id range.
+    Present numbers ``n`` whose successor is absent start a gap at ``n + 1``;
+    present numbers ``m`` whose predecessor is absent end a gap at ``m - 1``.
+    Both are anti joins on a unique key. In ascending order the k-th start
+    belongs to the (k+1)-th end (the smallest number "ends" a gap below the
+    range, the largest "starts" one above it), so only the ``first`` smallest
+    starts and ``first + 1`` smallest ends are needed: bounded top-k lists,
+    numbered and joined on the number. Work is linear in the ids.
     """
     nums = (counts if counts is not None else number_counts(telemetry)).select("n")
-    nxt = nums.select((F.col("n") - 1).alias("n"))
-    # the largest number also "starts" a gap; having no larger number after
-    # it, the inner join below drops it
-    starts = nums.join(nxt, "n", "left_anti")
-    starts = starts.select((F.col("n") + 1).alias("gap_start")).orderBy("gap_start").limit(first)
-    bounded = F.broadcast(starts)
-    ends = bounded.join(nums, nums["n"] > bounded["gap_start"], "inner") \
-        .groupBy("gap_start").agg((F.min("n") - 1).alias("gap_end"))
-    expanded = ends.select(F.explode(F.sequence(
+    succ = nums.select((F.col("n") - 1).alias("n"))
+    pred = nums.select((F.col("n") + 1).alias("n"))
+    starts = nums.join(succ, "n", "left_anti").select((F.col("n") + 1).alias("gap_start"))
+    ends = nums.join(pred, "n", "left_anti").select((F.col("n") - 1).alias("gap_end"))
+    # numbering within lists of at most first + 1 rows
+    k_start = starts.orderBy("gap_start").limit(first) \
+        .withColumn("k", F.row_number().over(Window.orderBy("gap_start")))
+    k_end = ends.orderBy("gap_end").limit(first + 1) \
+        .withColumn("k", F.row_number().over(Window.orderBy("gap_end")) - 1)
+    gaps = k_start.join(k_end, "k")
+    expanded = gaps.select(F.explode(F.sequence(
         "gap_start", F.least("gap_end", F.col("gap_start") + (first - 1)))).alias("n"))
     return expanded.orderBy("n").limit(first)
 

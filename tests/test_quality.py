@@ -76,3 +76,11 @@ def test_report_order_and_summary(spark):
     s = Q.quality_summary(report).first()
     assert (s.total, s.passed, s.failed) == (4, 2, 2)
     assert Q.first_blocking_failure(report).first().check_name == "negative_production"
+
+
+def test_gap_sample_more_than_ten_gaps(spark):
+    ids = [f"evt_{i}" for i in range(0, 41, 2)]  # 1, 3, ..., 39 missing
+    r = one(Q.check_missing_telemetry(tel(spark, ids)))
+    assert r.records_failed == 20 and r.details.endswith("Sample: evt_000001..evt_000019")
+    got = [x.n for x in Q.missing_event_sample(tel(spark, ids)).collect()]
+    assert got == list(range(1, 20, 2))
