@@ -32,3 +32,16 @@ def hours_between(start: Column, end: Column) -> Column:
 
 def days_between(start_date: Column, end_date: Column) -> Column:
     return F.datediff(end_date, start_date)
+
+
+def time_partitions(ts: Column, with_day_hour: bool = False) -> dict[str, Column]:
+    """Zero-padded partition values of a zone-less timestamp or a date
+    (``year=2026/month=03[/day=01/hour=04]``), taken from its fields, so they
+    do not depend on the session time zone."""
+    def pad(c: Column, n: int) -> Column:
+        return F.lpad(c.cast("string"), n, "0")
+
+    parts = {"year": pad(F.year(ts), 4), "month": pad(F.month(ts), 2)}
+    if with_day_hour:
+        parts.update(day=pad(F.dayofmonth(ts), 2), hour=pad(F.hour(ts), 2))
+    return parts

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from forgeline.config import Lake
 from forgeline.operators.incremental import after_mark
 from forgeline.schemas import RAW_MACHINES, RAW_MAINTENANCE, RAW_PRODUCTION, WATERMARK_STATE
+from forgeline.functions.time import time_partitions
 from forgeline.sinks.files import write_batch_partitions
 from forgeline.sources.files import read_csv_by_name, read_or_none
 
@@ -86,8 +87,7 @@ def ingest_maintenance(spark: SparkSession, lake: Lake, source_dir: str,
     else:
         new = after_mark(logs, "timestamp", last)
         ts = F.to_timestamp_ntz("timestamp")
-        new = new.withColumns({"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM"),
-                               "_batch_id": F.lit(batch_id)})
+        new = new.withColumns({**time_partitions(ts), "_batch_id": F.lit(batch_id)})
         stats = _write_observed(new, "maintenance", "timestamp", lake.raw_maintenance,
                                 ["year", "month", "_batch_id"])
         rows = int(stats.get("rows", 0))
@@ -109,8 +109,7 @@ def ingest_production(spark: SparkSession, lake: Lake, source_path: str,
         raise FileNotFoundError(source_path)
     new = after_mark(df, "date", last)
     d = F.to_date("date", "yyyy-MM-dd")
-    new = new.withColumns({"year": F.date_format(d, "yyyy"), "month": F.date_format(d, "MM"),
-                           "_batch_id": F.lit(batch_id)})
+    new = new.withColumns({**time_partitions(d), "_batch_id": F.lit(batch_id)})
     stats = _write_observed(new, "production", "date", lake.raw_production, ["year", "month", "_batch_id"])
     rows = int(stats.get("rows", 0))
     if not rows:

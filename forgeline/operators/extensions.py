@@ -40,8 +40,11 @@ def missing_event_windows(telemetry: DataFrame) -> DataFrame:
     """Per machine, each hour between its first and last event hour with no
     event (machine_id, missing_hour). Hours seen are a distinct (partially
     aggregated) set; the candidate hours come from one row per machine."""
-    hours = telemetry.where(F.col("timestamp").isNotNull()).select(
-        "machine_id", F.date_trunc("hour", "timestamp").alias("hour"))
+    ts = F.col("timestamp")
+    # hour bucket from the value's own fields (date_trunc would return a
+    # zoned timestamp and depend on the session time zone)
+    bucket = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
+    hours = telemetry.where(ts.isNotNull()).select("machine_id", bucket.alias("hour"))
     seen = hours.distinct()
     span = seen.groupBy("machine_id").agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
     every = span.select("machine_id", F.explode(

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgeline.config import TIMESTAMP_FORMAT
 from forgeline.plans.joins import lookup_join
 from forgeline.plans.materialize import materialize
 
@@ -50,6 +49,12 @@ def _pad(expr: str, width: int) -> str:
     return f"CASE WHEN length({t}) >= {width} THEN {t} ELSE lpad({t}, {width}, '0') END"
 
 
+def _iso(ts_ntz: str) -> str:
+    """``yyyy-MM-dd'T'HH:mm:ss`` text of a zone-less timestamp, built from its
+    own text (``date_format`` would go through the session time zone)."""
+    return f"replace(substr(cast({ts_ntz} AS string), 1, 19), ' ', 'T')"
+
+
 def raw_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS s_nationkey", "n_regionkey")
@@ -60,7 +65,7 @@ def raw_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('mach_', {_pad('s_suppkey', 5)}) AS machine_id",
         f"concat('fac_', {_pad('s_nationkey', 2)}) AS factory_id",
         "lower(r_name) AS machine_type",
-        "date_format(date_add(DATE'2020-01-01', cast(s_suppkey AS int)), 'yyyy-MM-dd') AS install_date",
+        "cast(date_add(DATE'2020-01-01', cast(s_suppkey AS int)) AS string) AS install_date",
         "CASE WHEN s_acctbal < 0 THEN 'maintenance' ELSE 'active' END AS status",
         "'0' AS _batch_id",
         "s_suppkey AS _row_seq",
@@ -74,7 +79,7 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('evt_', {_pad('event_id', 6)}) AS event_id",
         None,  # machine_id
         f"concat('fac_', {_pad('user_id % 25', 2)}) AS factory_id",
-        f"date_format(ts, \"{TIMESTAMP_FORMAT}\") AS timestamp",
+        f"{_iso('ts')} AS timestamp",
         None,  # temperature_c
         "cast(get_json_object(props, '$.k') AS int) * 0.05859375D AS vibration_mm_s",
         "value * 0.5D AS power_kw",
@@ -105,7 +110,7 @@ def raw_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_shipdate", "l_suppkey", "l_returnflag", "l_quantity", "l_discount", "l_partkey")
     return li.selectExpr(
-        "date_format(l_shipdate, 'yyyy-MM-dd') AS date",
+        "cast(cast(l_shipdate AS date) AS string) AS date",
         f"concat('mach_', {_pad('l_suppkey', 5)}) AS machine_id",
         "l_returnflag AS shift",
         "cast(l_quantity AS bigint) AS units_produced",
@@ -120,7 +125,7 @@ def raw_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.selectExpr(
         "concat('mnt_', cast(o_orderkey AS string)) AS maintenance_id",
         f"concat('mach_', {_pad('o_custkey div 14', 5)}) AS machine_id",
-        f"date_format(o_orderdate, \"{TIMESTAMP_FORMAT}\") AS timestamp",
+        f"{_iso('o_orderdate')} AS timestamp",
         "replace(substr(o_orderpriority, 3), ' ', '_') AS maintenance_type",
         "CASE o_orderstatus WHEN 'O' THEN 'none' WHEN 'F' THEN 'bearing' WHEN 'P' THEN 'motor' END "
         "AS part_replaced",

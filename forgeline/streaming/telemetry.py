@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from forgeline.config import Lake
 from forgeline.schemas import RAW_TELEMETRY
+from forgeline.functions.time import time_partitions
 from forgeline.sinks.files import write_batch_partitions
 
 PARTITIONS = ["year", "month", "day", "hour", "_batch_id"]
@@ -40,10 +41,7 @@ def land_batch(lake: Lake, stream_name: str = "telemetry"):
         ts = F.to_timestamp_ntz("timestamp")
         out = batch.withColumns({
             "_row_seq": F.monotonically_increasing_id(),
-            "year": F.date_format(ts, "yyyy"),
-            "month": F.date_format(ts, "MM"),
-            "day": F.date_format(ts, "dd"),
-            "hour": F.date_format(ts, "HH"),
+            **time_partitions(ts, with_day_hour=True),
             "_batch_id": F.lit(batch_label(epoch_id, stream_name)),
         })
         write_batch_partitions(out, lake.raw_telemetry, PARTITIONS)

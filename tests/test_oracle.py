@@ -44,3 +44,14 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["factory_id", "total_downtime_minutes", "avg_downtime_minutes",
                                              "downtime_events"]
+
+
+@pytest.mark.parametrize("key", ["stage_telemetry", "stage_maintenance", "telemetry_status",
+                                 "overheating_before_shutdown", "missing_event_windows", "alert_late_data"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
