@@ -31,9 +31,18 @@ def _has_join(df: DataFrame) -> bool:
     return "Join" in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+# bytes per value used to turn a byte limit into a row limit (UnsafeRow:
+# 8 bytes per field; strings and nested values also take their payload)
+_FIXED = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+
+
 def row_width(df: DataFrame) -> int:
-    return max(8, int(df.schema.fields and sum(f.dataType.defaultSize() if hasattr(f.dataType, "defaultSize")
-                                                 else 16 for f in df.schema.fields) + 8 * len(df.schema.fields)))
+    """Rough in-memory bytes per row, generous for variable-length values."""
+    width = 0
+    for _, dtype in df.dtypes:
+        width += 8 + (0 if dtype in _FIXED or dtype in ("bigint", "double", "timestamp", "timestamp_ntz")
+                      or dtype.startswith("decimal") else 32)
+    return max(width, 8)
 
 
 def fits_broadcast(dim: DataFrame, limit: int) -> bool:
