@@ -74,6 +74,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
     return with_source_order(raw) if source_order else raw
 
 
+def read_json_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """Whole-file JSON documents (state, reports): one record per file or a
+    top-level array of records; absent -> None."""
+    return read_or_none(spark, path, "json", schema=schema, multiLine="true", mode="FAILFAST")
+
+
 def with_source_order(df: DataFrame) -> DataFrame:
     """Scan-order columns of a file read: source file, split offset and row
     position inside the split (increasing in file order within a split)."""
