@@ -84,7 +84,7 @@ def pk_violations(df: DataFrame, key: str) -> DataFrame:
 def fk_violations(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose non-null ``key`` has no parent row."""
     parents = parent.select(key).where(F.col(key).isNotNull()).distinct()
-    return lookup_join(child.where(F.col(key).isNotNull()), parents, key, how="left_anti")
+    return lookup_join(child.where(F.col(key).isNotNull()), parents, key, how="left_anti", bound_by=parent)
 
 
 def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:

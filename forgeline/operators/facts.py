@@ -20,12 +20,12 @@ def _dim(machines: DataFrame, *cols: str) -> DataFrame:
 
 def fact_machine_events(telemetry: DataFrame, machines: DataFrame) -> DataFrame:
     """Telemetry + machine_type (the telemetry keeps its own factory_id)."""
-    out = lookup_join(telemetry, _dim(machines, "machine_type"), "machine_id")
+    out = lookup_join(telemetry, _dim(machines, "machine_type"), "machine_id", bound_by=machines)
     return out.select(*telemetry.columns, "machine_type")
 
 
 def fact_production(production: DataFrame, machines: DataFrame) -> DataFrame:
-    out = lookup_join(production, _dim(machines, "factory_id"), "machine_id")
+    out = lookup_join(production, _dim(machines, "factory_id"), "machine_id", bound_by=machines)
     return out.select(
         *production.columns, "factory_id",
         safe_ratio(F.col("scrap_units"), F.col("units_produced")).alias("scrap_rate"),
@@ -33,7 +33,8 @@ def fact_production(production: DataFrame, machines: DataFrame) -> DataFrame:
 
 
 def fact_maintenance(maintenance: DataFrame, machines: DataFrame) -> DataFrame:
-    out = lookup_join(maintenance, _dim(machines, "factory_id", "machine_type"), "machine_id")
+    out = lookup_join(maintenance, _dim(machines, "factory_id", "machine_type"), "machine_id",
+                      bound_by=machines)
     return out.select(*maintenance.columns, "factory_id", "machine_type")
 
 
@@ -41,5 +42,5 @@ def fact_downtime(maintenance: DataFrame, machines: DataFrame) -> DataFrame:
     """Maintenance rows with downtime > 0, + factory_id. The filter sits below
     the join so it reaches the scan."""
     down = maintenance.where(F.col("downtime_minutes") > 0)
-    out = lookup_join(down, _dim(machines, "factory_id"), "machine_id")
+    out = lookup_join(down, _dim(machines, "factory_id"), "machine_id", bound_by=machines)
     return out.select(*maintenance.columns, "factory_id")

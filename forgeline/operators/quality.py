@@ -160,7 +160,7 @@ def unknown_machine_ids(machines: DataFrame, sources: dict[str, DataFrame]) -> D
     parts = []
     for name, df in sources.items():
         ids = df.select("machine_id").distinct()
-        unknown = lookup_join(ids, dim, "machine_id", how="left_anti", null_safe=True)
+        unknown = lookup_join(ids, dim, "machine_id", how="left_anti", null_safe=True, bound_by=machines)
         parts.append(unknown.select(F.lit(name).alias("source"), "machine_id"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -28,7 +28,7 @@ _MEASURED: dict[tuple[int, int], bool] = {}
 
 
 def _has_join(df: DataFrame) -> bool:
-    return "Join" in df._jdf.queryExecution().optimizedPlan().toString()
+    return "Join" in df._jdf.queryExecution().analyzed().toString()
 
 
 # bytes per value used to turn a byte limit into a row limit (UnsafeRow:
@@ -45,28 +45,41 @@ def row_width(df: DataFrame) -> int:
     return max(width, 8)
 
 
-def fits_broadcast(dim: DataFrame, limit: int) -> bool:
+def row_bound(base: DataFrame, max_rows: int) -> bool:
+    """Whether ``base`` has at most ``max_rows`` rows (a probe that stops
+    after ``max_rows + 1`` rows; kept per analyzed plan for the session)."""
+    key = ("rows", int(base._jdf.queryExecution().analyzed().semanticHash()), max_rows)
+    if key not in _MEASURED:
+        _MEASURED[key] = base.limit(max_rows + 1).count() <= max_rows
+    return _MEASURED[key]
+
+
+def fits_broadcast(dim: DataFrame, limit: int, bound_by: DataFrame | None = None) -> bool:
     """Whether ``dim`` is at most ``limit`` bytes.
 
     The optimizer's estimate is used when the dimension's plan is scans,
-    filters, projections and aggregates. With a join inside, Spark (without
-    CBO statistics) estimates the product of the join's inputs, far above
-    the real size of a lookup (N:1) join; then the rows are counted by a
-    probe that stops after ``limit / row width`` rows, and the answer is
-    kept per plan for the session.
+    filters, projections and aggregates (a fresh estimate each time, since
+    the files below it can change). With a join inside, Spark (without CBO
+    statistics) estimates the product of the join's inputs, far above the
+    real size of a lookup (N:1) join; then the rows are counted by a probe
+    that stops after ``limit / row width`` rows, and the answer is kept per
+    plan for the session.
     """
+    if bound_by is not None and _has_join(dim):
+        # dim is a projection / filter / distinct of bound_by: no more rows
+        return row_bound(bound_by, max(1, limit // row_width(dim)))
+    if _has_join(dim):
+        key = (int(dim._jdf.queryExecution().analyzed().semanticHash()), limit)
+        if key not in _MEASURED:
+            est = estimated_size_bytes(dim)
+            if est is not None and est <= limit:
+                _MEASURED[key] = True
+            else:
+                max_rows = max(1, limit // row_width(dim))
+                _MEASURED[key] = dim.limit(max_rows + 1).count() <= max_rows
+        return _MEASURED[key]
     est = estimated_size_bytes(dim)
-    if est is None:
-        return False
-    if est <= limit:
-        return True
-    if not _has_join(dim):
-        return False
-    key = (int(dim._jdf.queryExecution().optimizedPlan().semanticHash()), limit)
-    if key not in _MEASURED:
-        max_rows = max(1, limit // row_width(dim))
-        _MEASURED[key] = dim.limit(max_rows + 1).count() <= max_rows
-    return _MEASURED[key]
+    return est is not None and est <= limit
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -76,16 +89,19 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-                max_broadcast_bytes: int | None = None, null_safe: bool = False) -> DataFrame:
+                max_broadcast_bytes: int | None = None, null_safe: bool = False,
+                bound_by: DataFrame | None = None) -> DataFrame:
     """Join ``fact`` to ``dim`` on key column(s) ``on`` (same name both sides).
 
     ``how`` is ``left`` (keep every fact row; unmatched gets null attributes),
     ``inner`` or ``left_anti``. With ``null_safe`` a null key matches a null
-    key, as a Python dict lookup would.
+    key, as a Python dict lookup would. ``bound_by`` names a table that
+    ``dim`` is a projection, filter or distinct of (so it has no more rows);
+    its row count is probed once and shared by all such dimensions.
     """
     keys = [on] if isinstance(on, str) else list(on)
     limit = broadcast_limit(dim) if max_broadcast_bytes is None else max_broadcast_bytes
-    right = F.broadcast(dim) if fits_broadcast(dim, limit) else dim
+    right = F.broadcast(dim) if fits_broadcast(dim, limit, bound_by) else dim
     if not null_safe:
         return fact.join(right, keys, how)
     renamed = right.select(*[F.col(c).alias(f"__dim_{c}") if c in keys else F.col(c) for c in right.columns])
