@@ -28,7 +28,10 @@ _MEASURED: dict[tuple[int, int], bool] = {}
 
 
 def _has_join(df: DataFrame) -> bool:
-    return "Join" in df._jdf.queryExecution().analyzed().toString()
+    try:
+        return "Join" in df._jdf.queryExecution().analyzed().toString()
+    except Exception:  # pragma: no cover - Spark Connect has no JVM handle
+        return False
 
 
 # bytes per value used to turn a byte limit into a row limit (UnsafeRow:
@@ -48,7 +51,10 @@ def row_width(df: DataFrame) -> int:
 def row_bound(base: DataFrame, max_rows: int) -> bool:
     """Whether ``base`` has at most ``max_rows`` rows (a probe that stops
     after ``max_rows + 1`` rows; kept per analyzed plan for the session)."""
-    key = ("rows", int(base._jdf.queryExecution().analyzed().semanticHash()), max_rows)
+    try:
+        key = ("rows", int(base._jdf.queryExecution().analyzed().semanticHash()), max_rows)
+    except Exception:  # pragma: no cover - Spark Connect: no plan handle, no cache
+        return base.limit(max_rows + 1).count() <= max_rows
     if key not in _MEASURED:
         _MEASURED[key] = base.limit(max_rows + 1).count() <= max_rows
     return _MEASURED[key]
@@ -68,7 +74,7 @@ def fits_broadcast(dim: DataFrame, limit: int, bound_by: DataFrame | None = None
     if bound_by is not None and _has_join(dim):
         # dim is a projection / filter / distinct of bound_by: no more rows
         return row_bound(bound_by, max(1, limit // row_width(dim)))
-    if _has_join(dim):
+    if _has_join(dim):  # implies a JVM handle
         key = (int(dim._jdf.queryExecution().analyzed().semanticHash()), limit)
         if key not in _MEASURED:
             est = estimated_size_bytes(dim)

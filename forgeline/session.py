@@ -40,7 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the deployment sets it to a shared folder. Only a local
     session without the setting gets a fresh scratch folder here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - Spark Connect: the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -28,7 +28,11 @@ def _cached(spark: SparkSession, key: tuple, build) -> DataFrame:
     """DataFrames of the binding are immutable plans over read-only files:
     one plan object per session and table serves every query (each query
     still runs over the whole table)."""
-    full = (spark._jsparkSession.sessionUUID(), *key)
+    try:
+        session = spark._jsparkSession.sessionUUID()
+    except Exception:  # pragma: no cover - Spark Connect
+        session = getattr(spark, "session_id", id(spark))
+    full = (session, *key)
     if full not in _PLANS:
         _PLANS[full] = build()
     return _PLANS[full]
