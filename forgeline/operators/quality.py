@@ -130,8 +130,21 @@ def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N) ->
 
 # -- negative production -----------------------------------------------------
 
-def check_negative_production(production: DataFrame) -> DataFrame:
-    stats = production.agg(
+def production_profile(production: DataFrame) -> DataFrame:
+    """One scan of production for both the negative-value and the null
+    checks: rows, nulls of the critical fields (``n0``, ``n1``) and negative
+    cells. Used by both checks, the aggregate's exchange is shared."""
+    fields = CRITICAL_FIELDS["production"]
+    return production.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(fields)],
+        F.count_if(F.col("units_produced") < 0).alias("neg_units"),
+        F.count_if(F.col("scrap_units") < 0).alias("neg_scrap"),
+    )
+
+
+def check_negative_production(production: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    stats = profile if profile is not None else production.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("units_produced") < 0).alias("neg_units"),
         F.count_if(F.col("scrap_units") < 0).alias("neg_scrap"),
@@ -215,17 +228,22 @@ CRITICAL_FIELDS = {
 }
 
 
-def null_counts(tables: dict[str, DataFrame], fields: dict[str, list[str]] | None = None) -> DataFrame:
-    """(table_name, column_name, position, rows, nulls): one scan per table."""
+def null_counts(tables: dict[str, DataFrame], fields: dict[str, list[str]] | None = None,
+                profiles: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(table_name, column_name, position, rows, nulls): one scan per table,
+    or a given profile aggregate with columns ``rows``, ``n0``, ``n1``, ..."""
     fields = CRITICAL_FIELDS if fields is None else fields
+    profiles = profiles or {}
     parts = []
     pos = 0
     for name, cols in fields.items():
         df = tables.get(name)
         if df is None:
             continue
-        agg = df.agg(F.count(F.lit(1)).alias("rows"),
-                     *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+        agg = profiles.get(name)
+        if agg is None:
+            agg = df.agg(F.count(F.lit(1)).alias("rows"),
+                         *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
         stacked = agg.select(
             "rows",
             F.explode(F.array(*[
@@ -238,8 +256,9 @@ def null_counts(tables: dict[str, DataFrame], fields: dict[str, list[str]] | Non
 
 
 def check_null_critical_fields(tables: dict[str, DataFrame],
-                               fields: dict[str, list[str]] | None = None) -> DataFrame:
-    counts = null_counts(tables, fields)
+                               fields: dict[str, list[str]] | None = None,
+                               profiles: dict[str, DataFrame] | None = None) -> DataFrame:
+    counts = null_counts(tables, fields, profiles)
     entry = F.when(F.col("nulls") > 0, F.struct(
         "position", F.concat("table_name", F.lit(":"), "column_name", F.lit("="),
                              F.col("nulls").cast("string")).alias("e")))
@@ -269,10 +288,11 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
     An absent staged table gives the failed/error row of the reference."""
     spark = spark or next(df for df in (telemetry, production, maintenance, machines)
                           if df is not None).sparkSession
+    profiles = {"production": production_profile(production)} if production is not None else {}
     rows = [
         check_missing_telemetry(telemetry) if telemetry is not None
         else missing_table_result(spark, "missing_telemetry", "telemetry"),
-        check_negative_production(production) if production is not None
+        check_negative_production(production, profiles.get("production")) if production is not None
         else missing_table_result(spark, "negative_production", "production"),
     ]
     sources = {k: v for k, v in (("telemetry", telemetry), ("production", production),
@@ -285,7 +305,7 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
         rows.append(check_machine_id_mismatches(machines, {"machines": machines.limit(0)}))
     tables = {"telemetry": telemetry, "production": production, "maintenance_logs": maintenance}
     if any(v is not None for v in tables.values()):
-        rows.append(check_null_critical_fields(tables))
+        rows.append(check_null_critical_fields(tables, profiles=profiles))
     else:
         rows.append(spark.createDataFrame(
             [("null_critical_fields", True, "info", "No nulls in critical fields", 0, 0)], QUALITY_RESULT))
