@@ -98,3 +98,14 @@ def test_lineage_round_trip(spark, lake):
     J.record_lineage(spark, lake, "example", ["raw/telemetry"], ["staging/telemetry"], 500, 500)
     e = J.lineage(spark, lake).first()
     assert (e.step, e.inputs, e.outputs, e.input_rows) == ("example", ["raw/telemetry"], ["staging/telemetry"], 500)
+
+
+def test_run_all_goes_on_after_a_failed_task(spark, lake, tmp_path):
+    # no production file: that ingest task fails (as in the reference), the
+    # others run and every task is recorded
+    failed = J.run_all(spark, lake, str(tmp_path / "empty"), str(tmp_path / "landing"), AS_OF,
+                       steps=["ingest", "staging"])
+    assert "ingestion.production" in failed
+    steps = {(r.step, r.status) for r in J.run_history(spark, lake).collect()}
+    assert ("ingestion.production", "failure") in steps
+    assert ("transformations.staging", "success") in steps

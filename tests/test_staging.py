@@ -105,3 +105,13 @@ def test_stage_maintenance_none_text_kept(spark):
        "part_replaced string, downtime_minutes long, _batch_id string, _row_seq long")
     r = ST.stage_maintenance(raw).first()
     assert (r.part_replaced, r.downtime_minutes, r.maintenance_type) == ("none", 0, "inspection")
+
+
+def test_late_correction_with_earlier_hour_loses(spark):
+    # order is (event-hour partition, batch, ...): a later batch re-sending
+    # the event under an earlier hour does not replace it (reference parity)
+    df = spark.createDataFrame([
+        ("k", 1, 5, "b1", 0, "original hour 5"),
+        ("k", 1, 4, "b2", 0, "later batch, hour 4"),
+    ], "k string, day int, hour int, _batch_id string, _row_seq long, v string")
+    assert ST.keep_last(df, "k").first().v == "original hour 5"
