@@ -96,7 +96,10 @@ def missing_event_ranges(telemetry: DataFrame) -> DataFrame:
                        (F.col("next_n") - F.col("n") - 1).alias("missing"))
 
 
-def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N) -> DataFrame:
+def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N,
+                            details: bool = True) -> DataFrame:
+    """Gaps in the event number sequence. With ``details=False`` the sample
+    of missing numbers (only used in the message) is not computed."""
     counts = number_counts(telemetry)
     stats = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("cnt"),
@@ -104,9 +107,12 @@ def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N) ->
         F.max("n").alias("hi"),
         F.count(F.lit(1)).alias("distinct_n"),
     )
-    sample = missing_event_sample(telemetry, first=sample_size, counts=counts)
-    stats = one_row(stats, sample.agg(F.min("n").alias("sample_lo"), F.max("n").alias("sample_hi")))
-    sample_lo, sample_hi = F.col("sample_lo"), F.col("sample_hi")
+    if details:
+        sample = missing_event_sample(telemetry, first=sample_size, counts=counts)
+        stats = one_row(stats, sample.agg(F.min("n").alias("sample_lo"), F.max("n").alias("sample_hi")))
+        sample_lo, sample_hi = F.col("sample_lo"), F.col("sample_hi")
+    else:
+        sample_lo = sample_hi = F.lit(None).cast("bigint")
     span = F.col("hi") - F.col("lo") + 1
     missing = span - F.col("distinct_n")
     too_few = F.col("cnt") < 2
@@ -179,10 +185,20 @@ def unknown_machine_ids(machines: DataFrame, sources: dict[str, DataFrame]) -> D
 
 
 def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFrame],
-                                sample_size: int = C.TOP_N) -> DataFrame:
+                                sample_size: int = C.TOP_N, details: bool = True) -> DataFrame:
     """Details name the count and the ``sample_size`` smallest unknown ids
-    per source; the whole list is ``unknown_machine_ids``."""
+    per source; the whole list is ``unknown_machine_ids``. With
+    ``details=False`` only the counts are computed."""
     unknown = unknown_machine_ids(machines, sources)
+    if not details:
+        valid = machines.agg(
+            (F.count_distinct("machine_id") + F.max(F.col("machine_id").isNull().cast("int"))).alias("valid"))
+        combined = one_row(valid, unknown.agg(F.count(F.lit(1)).alias("bad")))
+        bad = F.coalesce(F.col("bad"), F.lit(0))
+        return _result(combined, "machine_id_mismatch", passed=bad == 0,
+                       severity=F.when(bad > 0, F.lit("warning")).otherwise(F.lit("info")),
+                       details=F.lit(None).cast("string"),
+                       checked=F.coalesce(F.col("valid"), F.lit(0)), failed=bad)
     order = {name: i for i, name in enumerate(sources)}
     rank = F.row_number().over(Window.partitionBy("source").orderBy(F.col("machine_id").asc_nulls_first()))
     shown = unknown.withColumn("_r", rank).where(F.col("_r") <= sample_size)
@@ -283,14 +299,16 @@ def check_null_critical_fields(tables: dict[str, DataFrame],
 
 def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
                    maintenance: DataFrame | None, machines: DataFrame | None,
-                   spark: SparkSession | None = None) -> DataFrame:
+                   spark: SparkSession | None = None, details: bool = True) -> DataFrame:
     """All four checks in the reference's order, with ``check_order``.
-    An absent staged table gives the failed/error row of the reference."""
+    An absent staged table gives the failed/error row of the reference.
+    ``details=False`` skips the work that only feeds the message texts
+    (enough for ``quality_summary`` and for fail-early decisions)."""
     spark = spark or next(df for df in (telemetry, production, maintenance, machines)
                           if df is not None).sparkSession
     profiles = {"production": production_profile(production)} if production is not None else {}
     rows = [
-        check_missing_telemetry(telemetry) if telemetry is not None
+        check_missing_telemetry(telemetry, details=details) if telemetry is not None
         else missing_table_result(spark, "missing_telemetry", "telemetry"),
         check_negative_production(production, profiles.get("production")) if production is not None
         else missing_table_result(spark, "negative_production", "production"),
@@ -300,9 +318,9 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
     if machines is None:
         rows.append(missing_table_result(spark, "machine_id_mismatch", "machines"))
     elif sources:
-        rows.append(check_machine_id_mismatches(machines, sources))
+        rows.append(check_machine_id_mismatches(machines, sources, details=details))
     else:
-        rows.append(check_machine_id_mismatches(machines, {"machines": machines.limit(0)}))
+        rows.append(check_machine_id_mismatches(machines, {"machines": machines.limit(0)}, details=details))
     tables = {"telemetry": telemetry, "production": production, "maintenance_logs": maintenance}
     if any(v is not None for v in tables.values()):
         rows.append(check_null_critical_fields(tables, profiles=profiles))

@@ -84,3 +84,14 @@ def test_gap_sample_more_than_ten_gaps(spark):
     assert r.records_failed == 20 and r.details.endswith("Sample: evt_000001..evt_000019")
     got = [x.n for x in Q.missing_event_sample(tel(spark, ids)).collect()]
     assert got == list(range(1, 20, 2))
+
+
+def test_summary_without_details_has_same_flags(spark):
+    machines = spark.createDataFrame([("m1",)], "machine_id string")
+    telemetry = spark.createDataFrame([("evt_1", "m1", None), ("evt_4", "zz", None)],
+                                      "event_id string, machine_id string, timestamp timestamp_ntz")
+    full = Q.quality_report(telemetry, None, None, machines)
+    light = Q.quality_report(telemetry, None, None, machines, details=False)
+    cols = ["check_name", "passed", "severity", "records_checked", "records_failed"]
+    assert rows(full, *cols) == rows(light, *cols)
+    assert Q.quality_summary(light).first().asDict() == Q.quality_summary(full).first().asDict()
