@@ -36,7 +36,19 @@ def stream_name_of(landing_dir: str) -> str:
     return hashlib.sha1(landing_dir.rstrip("/").encode()).hexdigest()[:12]
 
 
-def land_batch(lake: Lake, stream_name: str = "telemetry"):
+def partitions_written(spark: SparkSession, root: str, label: str) -> int:
+    """Hour partitions holding files of one batch: a listing of the batch's
+    folders (bounded by the number of partitions), not a pass over data."""
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/year=*/month=*/day=*/hour=*/_batch_id={label}")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern)
+    return 0 if found is None else len(found)
+
+
+def land_batch(lake: Lake, stream_name: str = "telemetry", stats: dict | None = None):
+    """foreachBatch function; with ``stats`` it adds the partitions written
+    per batch (``partitions``) and the last batch label (``batch_id``)."""
     def _land(batch: DataFrame, epoch_id: int) -> None:
         ts = F.to_timestamp_ntz("timestamp")
         out = batch.withColumns({
@@ -45,6 +57,11 @@ def land_batch(lake: Lake, stream_name: str = "telemetry"):
             "_batch_id": F.lit(batch_label(epoch_id, stream_name)),
         })
         write_batch_partitions(out, lake.raw_telemetry, PARTITIONS)
+        if stats is not None:
+            label = batch_label(epoch_id, stream_name)
+            stats["partitions"] = stats.get("partitions", 0) + partitions_written(
+                batch.sparkSession, lake.raw_telemetry, label)
+            stats["batch_id"] = label
     return _land
 
 
@@ -63,13 +80,14 @@ def telemetry_stream(spark: SparkSession, landing_dir: str,
 
 def land_telemetry(spark: SparkSession, lake: Lake, landing_dir: str,
                    max_files_per_trigger: int | None = None, available_now: bool = True,
-                   processing_time: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
+                   processing_time: str | None = None, checkpoint: str | None = None,
+                   stats: dict | None = None) -> StreamingQuery:
     """Start the landing query. With ``available_now`` it takes every file
     present, in one or more micro-batches, and stops. One landing folder
     has one checkpoint (by default below the lake's metadata)."""
     name = stream_name_of(landing_dir)
     writer = (telemetry_stream(spark, landing_dir, max_files_per_trigger)
-              .writeStream.foreachBatch(land_batch(lake, name))
+              .writeStream.foreachBatch(land_batch(lake, name, stats))
               .option("checkpointLocation", checkpoint or f"{lake.stream_checkpoint}/{name}"))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -80,10 +98,13 @@ def land_telemetry(spark: SparkSession, lake: Lake, landing_dir: str,
 
 def ingest_telemetry(spark: SparkSession, lake: Lake, landing_dir: str,
                      max_files_per_trigger: int | None = None) -> dict:
-    """Run the landing query to completion and report what it took."""
-    q = land_telemetry(spark, lake, landing_dir, max_files_per_trigger)
+    """Run the landing query to completion and report what it took: events,
+    micro-batches, hour partitions written and the last batch label."""
+    stats: dict = {}
+    q = land_telemetry(spark, lake, landing_dir, max_files_per_trigger, stats=stats)
     q.awaitTermination()
     progress = [p for p in q.recentProgress if p.get("numInputRows") is not None]
     events = sum(int(p["numInputRows"]) for p in progress)
     batches = sum(1 for p in progress if int(p["numInputRows"]) > 0)
-    return {"source": landing_dir, "total_events": events, "total_batches": batches}
+    return {"source": landing_dir, "total_events": events, "total_batches": batches,
+            "total_partitions_written": stats.get("partitions", 0), "batch_id": stats.get("batch_id")}

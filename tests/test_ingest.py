@@ -75,6 +75,7 @@ def test_stream_lands_every_event_restart_and_duplicates(spark, lake, tmp_path):
         (landing / f"part{k}.jsonl").write_text("\n".join(_events(40, 4, 40 * k)) + "\n\n")
     s1 = ingest_telemetry(spark, lake, str(landing), max_files_per_trigger=1)
     assert (s1["total_events"], s1["total_batches"]) == (120, 3)
+    assert s1["total_partitions_written"] == 3 and s1["batch_id"].startswith("e000000000002-")  # one hour per batch
     assert read_raw_parquet(spark, lake.raw_telemetry).count() == 120
 
     s2 = ingest_telemetry(spark, lake, str(landing))  # restart: nothing new
