@@ -80,6 +80,26 @@ def read_json_document(spark: SparkSession, path: str, schema: T.StructType) ->
     return read_or_none(spark, path, "json", schema=schema, multiLine="true", mode="FAILFAST")
 
 
+def read_jdbc_by_name(spark: SparkSession, url: str, table: str, schema: T.StructType,
+                      properties: dict | None = None, partition_column: str | None = None,
+                      lower_bound: int | None = None, upper_bound: int | None = None,
+                      num_partitions: int | None = None) -> DataFrame:
+    """A relational source table (the maintenance data the reference's
+    documents describe as coming from Postgres), typed by name like the CSV
+    sources. With ``partition_column`` and bounds the read is split into
+    ``num_partitions`` parallel range queries instead of one connection.
+
+    Not exercised by the tests: it needs a database server, and none may be
+    started in this environment.
+    """
+    options = dict(properties or {})
+    if partition_column is not None:
+        options.update(partitionColumn=partition_column, lowerBound=str(lower_bound),
+                       upperBound=str(upper_bound), numPartitions=str(num_partitions or 1))
+    raw = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
+    return by_name(raw, schema)
+
+
 def with_source_order(df: DataFrame) -> DataFrame:
     """Scan-order columns of a file read: source file, split offset and row
     position inside the split (increasing in file order within a split)."""
