@@ -28,6 +28,25 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 PARTITION_COLUMNS = ("year", "month", "day", "hour")
 
+# Report and alert texts, which must read as the reference's.
+# Placeholders in braces are filled from data or parameters.
+MSG_NO_STAGED = "No staged {what} data found"
+MSG_TOO_FEW_EVENTS = "Too few events to check gaps"
+MSG_GAPS = "{missing} missing event(s) in sequence. Sample: evt_{first}..evt_{last}"
+MSG_NO_GAPS = "No gaps in telemetry event sequence"
+MSG_NEGATIVES = "{units} negative units_produced, {scrap} negative scrap_units"
+MSG_NO_NEGATIVES = "No negative production values"
+MSG_UNKNOWN_IDS = "Unknown machine_ids — {entries}"
+MSG_IDS_MATCH = "All machine_ids match the machines dimension"
+MSG_NULLS = "Nulls found: {entries}"
+MSG_NO_NULLS = "No nulls in critical fields"
+MSG_SILENCE = "{n} machine(s) have not sent telemetry in {hours}h"
+MSG_TEMPERATURE = "{n} machine(s) exceeded {threshold}°C temperature threshold"
+MSG_SCRAP = "{n} machine(s) exceed {percent}% scrap rate threshold"
+MSG_MAINTENANCE_LATE = "Maintenance data is {hours}h old (threshold: {limit}h)"
+MSG_PRODUCTION_LATE = "Production data is {days} day(s) behind"
+MSG_FAILURES = "{n} pipeline step(s) failed in the last {hours}h"
+
 # Reference time for the driver's test tables (events end on 2024-01-30).
 DEFAULT_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 

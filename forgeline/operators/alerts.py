@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgeline import config as C
+from forgeline.functions.messages import message
 from forgeline.functions.text import decimal_text
 from forgeline.functions.time import hours_between, ts_literal
 from forgeline.operators.metrics import latest_event_per_machine
@@ -19,14 +20,14 @@ from forgeline.plans.joins import lookup_join
 HEADER_COLUMNS = ["alert_type", "severity", "message", "item_count"]
 
 
-def _header(items: DataFrame, alert_type: str, severity: Column, message_tail: str,
-            message_head: str = "") -> DataFrame:
-    """One header row when ``items`` is not empty, else no row."""
-    agg = items.agg(F.count(F.lit(1)).alias("item_count"), *[])
+def _header(items: DataFrame, alert_type: str, severity: Column, template: str, **params) -> DataFrame:
+    """One header row when ``items`` is not empty, else no row; ``{n}`` in
+    the message template is the number of items."""
+    agg = items.agg(F.count(F.lit(1)).alias("item_count"))
     return agg.where(F.col("item_count") > 0).select(
         F.lit(alert_type).alias("alert_type"),
         severity.alias("severity"),
-        F.concat(F.lit(message_head), F.col("item_count").cast("string"), F.lit(message_tail)).alias("message"),
+        message(template, n=F.col("item_count"), **params).alias("message"),
         "item_count",
     )
 
@@ -44,8 +45,7 @@ def telemetry_silence_items(telemetry: DataFrame, machines: DataFrame, as_of: dt
 
 
 def telemetry_silence_alert(items: DataFrame, silence_hours: float = C.TELEMETRY_SILENCE_HOURS) -> DataFrame:
-    return _header(items, "telemetry_silence", F.lit("warning"),
-                   f" machine(s) have not sent telemetry in {float(silence_hours)}h")
+    return _header(items, "telemetry_silence", F.lit("warning"), C.MSG_SILENCE, hours=float(silence_hours))
 
 
 def temperature_items(health: DataFrame, threshold: float = C.TEMP_THRESHOLD_C) -> DataFrame:
@@ -63,8 +63,7 @@ def temperature_alert(items: DataFrame, threshold: float = C.TEMP_THRESHOLD_C,
     return agg.where(F.col("item_count") > 0).select(
         F.lit("temperature_exceedance").alias("alert_type"),
         F.when(F.col("any_critical"), F.lit("critical")).otherwise(F.lit("warning")).alias("severity"),
-        F.concat(F.col("item_count").cast("string"),
-                 F.lit(f" machine(s) exceeded {float(threshold)}°C temperature threshold")).alias("message"),
+        message(C.MSG_TEMPERATURE, n=F.col("item_count"), threshold=float(threshold)).alias("message"),
         "item_count",
     )
 
@@ -79,8 +78,7 @@ def scrap_items(scrap: DataFrame, threshold: float = C.SCRAP_RATE_THRESHOLD) ->
 
 
 def scrap_alert(items: DataFrame, threshold: float = C.SCRAP_RATE_THRESHOLD) -> DataFrame:
-    return _header(items, "scrap_rate_spike", F.lit("warning"),
-                   f" machine(s) exceed {threshold * 100:.0f}% scrap rate threshold")
+    return _header(items, "scrap_rate_spike", F.lit("warning"), C.MSG_SCRAP, percent=f"{threshold * 100:.0f}")
 
 
 def late_data_alerts(state: DataFrame, as_of: dt.datetime,
@@ -94,8 +92,7 @@ def late_data_alerts(state: DataFrame, as_of: dt.datetime,
     maint = maint.where(hours > late_hours).select(
         F.lit("late_data").alias("alert_type"),
         F.lit("warning").alias("severity"),
-        F.concat(F.lit("Maintenance data is "), decimal_text(hours, 1),
-                 F.lit(f"h old (threshold: {float(late_hours)}h)")).alias("message"),
+        message(C.MSG_MAINTENANCE_LATE, hours=decimal_text(hours, 1), limit=float(late_hours)).alias("message"),
         F.lit(1).cast("bigint").alias("item_count"),
         F.lit("maintenance").alias("source"),
         F.col("mark").alias("last_watermark"),
@@ -106,7 +103,7 @@ def late_data_alerts(state: DataFrame, as_of: dt.datetime,
     prod = prod.where(days > 0).select(
         F.lit("late_data").alias("alert_type"),
         F.when(days <= 1, F.lit("info")).otherwise(F.lit("warning")).alias("severity"),
-        F.concat(F.lit("Production data is "), days.cast("string"), F.lit(" day(s) behind")).alias("message"),
+        message(C.MSG_PRODUCTION_LATE, days=days).alias("message"),
         F.lit(1).cast("bigint").alias("item_count"),
         F.lit("production").alias("source"),
         F.col("mark").alias("last_watermark"),
@@ -122,8 +119,7 @@ def failed_run_items(history: DataFrame, as_of: dt.datetime,
 
 
 def pipeline_failure_alert(items: DataFrame, since_hours: int = C.FAILED_RUN_WINDOW_HOURS) -> DataFrame:
-    return _header(items, "pipeline_failure", F.lit("critical"),
-                   f" pipeline step(s) failed in the last {since_hours}h")
+    return _header(items, "pipeline_failure", F.lit("critical"), C.MSG_FAILURES, hours=since_hours)
 
 
 def alert_report(headers: list[DataFrame]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgeline import config as C
+from forgeline.functions.messages import message
 from forgeline.functions.text import id_number, zero_pad
 from forgeline.plans.joins import lookup_join
 from forgeline.plans.materialize import one_row
@@ -38,7 +39,7 @@ def _result(df: DataFrame, name: str, passed: Column, severity: Column, details:
 
 def missing_table_result(spark: SparkSession, name: str, what: str) -> DataFrame:
     return spark.createDataFrame(
-        [(name, False, "error", f"No staged {what} data found", 0, 0)], QUALITY_RESULT)
+        [(name, False, "error", C.MSG_NO_STAGED.format(what=what), 0, 0)], QUALITY_RESULT)
 
 
 # -- missing telemetry (gaps in the event number sequence) -------------------
@@ -118,11 +119,10 @@ def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N,
     too_few = F.col("cnt") < 2
     gaps = missing > 0
     details = (
-        F.when(too_few, F.lit("Too few events to check gaps"))
-        .when(gaps, F.concat(
-            missing.cast("string"), F.lit(" missing event(s) in sequence. Sample: evt_"),
-            zero_pad(sample_lo, 6), F.lit("..evt_"), zero_pad(sample_hi, 6)))
-        .otherwise(F.lit("No gaps in telemetry event sequence"))
+        F.when(too_few, F.lit(C.MSG_TOO_FEW_EVENTS))
+        .when(gaps, message(C.MSG_GAPS, missing=missing, first=zero_pad(sample_lo, 6),
+                            last=zero_pad(sample_hi, 6)))
+        .otherwise(F.lit(C.MSG_NO_GAPS))
     )
     return _result(
         stats, "missing_telemetry",
@@ -160,10 +160,8 @@ def check_negative_production(production: DataFrame, profile: DataFrame | None =
         stats, "negative_production",
         passed=total == 0,
         severity=F.when(total > 0, F.lit("error")).otherwise(F.lit("info")),
-        details=F.when(total > 0, F.concat(
-            F.col("neg_units").cast("string"), F.lit(" negative units_produced, "),
-            F.col("neg_scrap").cast("string"), F.lit(" negative scrap_units")))
-        .otherwise(F.lit("No negative production values")),
+        details=F.when(total > 0, message(C.MSG_NEGATIVES, units=F.col("neg_units"), scrap=F.col("neg_scrap")))
+        .otherwise(F.lit(C.MSG_NO_NEGATIVES)),
         checked=F.col("rows"),
         failed=total,
     )
@@ -228,8 +226,8 @@ def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFram
         combined, "machine_id_mismatch",
         passed=bad == 0,
         severity=F.when(bad > 0, F.lit("warning")).otherwise(F.lit("info")),
-        details=F.when(bad > 0, F.concat(F.lit("Unknown machine_ids — "), text))
-        .otherwise(F.lit("All machine_ids match the machines dimension")),
+        details=F.when(bad > 0, message(C.MSG_UNKNOWN_IDS, entries=text))
+        .otherwise(F.lit(C.MSG_IDS_MATCH)),
         checked=F.coalesce(F.col("valid"), F.lit(0)),
         failed=bad,
     )
@@ -288,8 +286,8 @@ def check_null_critical_fields(tables: dict[str, DataFrame],
         stats, "null_critical_fields",
         passed=nulls == 0,
         severity=F.when(nulls > 0, F.lit("error")).otherwise(F.lit("info")),
-        details=F.when(nulls > 0, F.concat(F.lit("Nulls found: "), F.col("text")))
-        .otherwise(F.lit("No nulls in critical fields")),
+        details=F.when(nulls > 0, message(C.MSG_NULLS, entries=F.col("text")))
+        .otherwise(F.lit(C.MSG_NO_NULLS)),
         checked=F.coalesce(F.col("checked"), F.lit(0)),
         failed=nulls,
     )
@@ -326,7 +324,7 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
         rows.append(check_null_critical_fields(tables, profiles=profiles))
     else:
         rows.append(spark.createDataFrame(
-            [("null_critical_fields", True, "info", "No nulls in critical fields", 0, 0)], QUALITY_RESULT))
+            [("null_critical_fields", True, "info", C.MSG_NO_NULLS, 0, 0)], QUALITY_RESULT))
     report = reduce(DataFrame.unionByName, rows)
     order = F.create_map(*[x for i, n in enumerate(CHECK_ORDER) for x in (F.lit(n), F.lit(i))])
     return report.withColumn("check_order", F.element_at(order, F.col("check_name")))
