@@ -28,6 +28,14 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 PARTITION_COLUMNS = ("year", "month", "day", "hour")
 
+# Labels of the reference's reports and data sets.
+INFO, WARNING, ERROR, CRITICAL = "info", "warning", "error", "critical"
+CHECK_NAMES = ("missing_telemetry", "negative_production", "machine_id_mismatch", "null_critical_fields")
+ALERT_TYPES = ("telemetry_silence", "temperature_exceedance", "scrap_rate_spike", "late_data", "pipeline_failure")
+ACTIVE, SILENT, NO_DATA = "active", "silent", "no_data"
+DANGER, WARN = "danger", "warn"
+SUCCESS = "success"
+
 # Report and alert texts, which must read as the reference's.
 # Placeholders in braces are filled from data or parameters.
 MSG_NO_STAGED = "No staged {what} data found"

@@ -45,7 +45,7 @@ def telemetry_silence_items(telemetry: DataFrame, machines: DataFrame, as_of: dt
 
 
 def telemetry_silence_alert(items: DataFrame, silence_hours: float = C.TELEMETRY_SILENCE_HOURS) -> DataFrame:
-    return _header(items, "telemetry_silence", F.lit("warning"), C.MSG_SILENCE, hours=float(silence_hours))
+    return _header(items, C.ALERT_TYPES[0], F.lit(C.WARNING), C.MSG_SILENCE, hours=float(silence_hours))
 
 
 def temperature_items(health: DataFrame, threshold: float = C.TEMP_THRESHOLD_C) -> DataFrame:
@@ -61,8 +61,8 @@ def temperature_alert(items: DataFrame, threshold: float = C.TEMP_THRESHOLD_C,
     agg = items.agg(F.count(F.lit(1)).alias("item_count"),
                     F.max(F.col("max_temperature_c") > critical).alias("any_critical"))
     return agg.where(F.col("item_count") > 0).select(
-        F.lit("temperature_exceedance").alias("alert_type"),
-        F.when(F.col("any_critical"), F.lit("critical")).otherwise(F.lit("warning")).alias("severity"),
+        F.lit(C.ALERT_TYPES[1]).alias("alert_type"),
+        F.when(F.col("any_critical"), F.lit(C.CRITICAL)).otherwise(F.lit(C.WARNING)).alias("severity"),
         message(C.MSG_TEMPERATURE, n=F.col("item_count"), threshold=float(threshold)).alias("message"),
         "item_count",
     )
@@ -78,7 +78,7 @@ def scrap_items(scrap: DataFrame, threshold: float = C.SCRAP_RATE_THRESHOLD) ->
 
 
 def scrap_alert(items: DataFrame, threshold: float = C.SCRAP_RATE_THRESHOLD) -> DataFrame:
-    return _header(items, "scrap_rate_spike", F.lit("warning"), C.MSG_SCRAP, percent=f"{threshold * 100:.0f}")
+    return _header(items, C.ALERT_TYPES[2], F.lit(C.WARNING), C.MSG_SCRAP, percent=f"{threshold * 100:.0f}")
 
 
 def late_data_alerts(state: DataFrame, as_of: dt.datetime,
@@ -90,8 +90,8 @@ def late_data_alerts(state: DataFrame, as_of: dt.datetime,
     maint = state.where((F.col("source") == "maintenance_logs") & (F.coalesce(F.col("mark"), F.lit("")) != ""))
     hours = hours_between(F.to_timestamp_ntz("mark"), as_of_ts)
     maint = maint.where(hours > late_hours).select(
-        F.lit("late_data").alias("alert_type"),
-        F.lit("warning").alias("severity"),
+        F.lit(C.ALERT_TYPES[3]).alias("alert_type"),
+        F.lit(C.WARNING).alias("severity"),
         message(C.MSG_MAINTENANCE_LATE, hours=decimal_text(hours, 1), limit=float(late_hours)).alias("message"),
         F.lit(1).cast("bigint").alias("item_count"),
         F.lit("maintenance").alias("source"),
@@ -101,8 +101,8 @@ def late_data_alerts(state: DataFrame, as_of: dt.datetime,
     prod = state.where((F.col("source") == "production") & (F.coalesce(F.col("mark"), F.lit("")) != ""))
     days = F.datediff(F.lit(as_of.date().isoformat()).cast("date"), F.to_date("mark"))
     prod = prod.where(days > 0).select(
-        F.lit("late_data").alias("alert_type"),
-        F.when(days <= 1, F.lit("info")).otherwise(F.lit("warning")).alias("severity"),
+        F.lit(C.ALERT_TYPES[3]).alias("alert_type"),
+        F.when(days <= 1, F.lit(C.INFO)).otherwise(F.lit(C.WARNING)).alias("severity"),
         message(C.MSG_PRODUCTION_LATE, days=days).alias("message"),
         F.lit(1).cast("bigint").alias("item_count"),
         F.lit("production").alias("source"),
@@ -115,11 +115,11 @@ def late_data_alerts(state: DataFrame, as_of: dt.datetime,
 def failed_run_items(history: DataFrame, as_of: dt.datetime,
                      since_hours: int = C.FAILED_RUN_WINDOW_HOURS) -> DataFrame:
     cutoff = ts_literal(as_of - dt.timedelta(hours=since_hours))
-    return history.where((F.col("timestamp") >= cutoff) & (F.col("status") != "success"))
+    return history.where((F.col("timestamp") >= cutoff) & (F.col("status") != C.SUCCESS))
 
 
 def pipeline_failure_alert(items: DataFrame, since_hours: int = C.FAILED_RUN_WINDOW_HOURS) -> DataFrame:
-    return _header(items, "pipeline_failure", F.lit("critical"), C.MSG_FAILURES, hours=since_hours)
+    return _header(items, C.ALERT_TYPES[4], F.lit(C.CRITICAL), C.MSG_FAILURES, hours=since_hours)
 
 
 def alert_report(headers: list[DataFrame]) -> DataFrame:
@@ -131,6 +131,6 @@ def alert_report(headers: list[DataFrame]) -> DataFrame:
 def alert_summary(report: DataFrame) -> DataFrame:
     return report.agg(
         F.count(F.lit(1)).alias("total_alerts"),
-        F.count_if(F.col("severity") == "critical").alias("critical"),
-        F.count_if(F.col("severity") == "warning").alias("warnings"),
+        F.count_if(F.col("severity") == C.CRITICAL).alias("critical"),
+        F.count_if(F.col("severity") == C.WARNING).alias("warnings"),
     )

@@ -22,7 +22,7 @@ from forgeline.plans.materialize import one_row
 from forgeline.plans.sequence import next_row_pairs
 from forgeline.schemas import QUALITY_RESULT
 
-CHECK_ORDER = ["missing_telemetry", "negative_production", "machine_id_mismatch", "null_critical_fields"]
+CHECK_ORDER = list(C.CHECK_NAMES)
 
 
 def _result(df: DataFrame, name: str, passed: Column, severity: Column, details: Column,
@@ -39,7 +39,7 @@ def _result(df: DataFrame, name: str, passed: Column, severity: Column, details:
 
 def missing_table_result(spark: SparkSession, name: str, what: str) -> DataFrame:
     return spark.createDataFrame(
-        [(name, False, "error", C.MSG_NO_STAGED.format(what=what), 0, 0)], QUALITY_RESULT)
+        [(name, False, C.ERROR, C.MSG_NO_STAGED.format(what=what), 0, 0)], QUALITY_RESULT)
 
 
 # -- missing telemetry (gaps in the event number sequence) -------------------
@@ -125,9 +125,9 @@ def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N,
         .otherwise(F.lit(C.MSG_NO_GAPS))
     )
     return _result(
-        stats, "missing_telemetry",
+        stats, C.CHECK_NAMES[0],
         passed=too_few | ~gaps,
-        severity=F.when(~too_few & gaps, F.lit("warning")).otherwise(F.lit("info")),
+        severity=F.when(~too_few & gaps, F.lit(C.WARNING)).otherwise(F.lit(C.INFO)),
         details=details,
         checked=F.when(too_few, F.col("cnt")).when(gaps, span).otherwise(F.col("distinct_n")),
         failed=F.when(~too_few & gaps, missing).otherwise(F.lit(0)),
@@ -157,9 +157,9 @@ def check_negative_production(production: DataFrame, profile: DataFrame | None =
     )
     total = F.col("neg_units") + F.col("neg_scrap")
     return _result(
-        stats, "negative_production",
+        stats, C.CHECK_NAMES[1],
         passed=total == 0,
-        severity=F.when(total > 0, F.lit("error")).otherwise(F.lit("info")),
+        severity=F.when(total > 0, F.lit(C.ERROR)).otherwise(F.lit(C.INFO)),
         details=F.when(total > 0, message(C.MSG_NEGATIVES, units=F.col("neg_units"), scrap=F.col("neg_scrap")))
         .otherwise(F.lit(C.MSG_NO_NEGATIVES)),
         checked=F.col("rows"),
@@ -193,8 +193,8 @@ def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFram
             (F.count_distinct("machine_id") + F.max(F.col("machine_id").isNull().cast("int"))).alias("valid"))
         combined = one_row(valid, unknown.agg(F.count(F.lit(1)).alias("bad")))
         bad = F.coalesce(F.col("bad"), F.lit(0))
-        return _result(combined, "machine_id_mismatch", passed=bad == 0,
-                       severity=F.when(bad > 0, F.lit("warning")).otherwise(F.lit("info")),
+        return _result(combined, C.CHECK_NAMES[2], passed=bad == 0,
+                       severity=F.when(bad > 0, F.lit(C.WARNING)).otherwise(F.lit(C.INFO)),
                        details=F.lit(None).cast("string"),
                        checked=F.coalesce(F.col("valid"), F.lit(0)), failed=bad)
     order = {name: i for i, name in enumerate(sources)}
@@ -223,9 +223,9 @@ def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFram
     combined = one_row(valid, summary)
     bad, text = F.coalesce(F.col("bad"), F.lit(0)), F.col("text")
     return _result(
-        combined, "machine_id_mismatch",
+        combined, C.CHECK_NAMES[2],
         passed=bad == 0,
-        severity=F.when(bad > 0, F.lit("warning")).otherwise(F.lit("info")),
+        severity=F.when(bad > 0, F.lit(C.WARNING)).otherwise(F.lit(C.INFO)),
         details=F.when(bad > 0, message(C.MSG_UNKNOWN_IDS, entries=text))
         .otherwise(F.lit(C.MSG_IDS_MATCH)),
         checked=F.coalesce(F.col("valid"), F.lit(0)),
@@ -283,9 +283,9 @@ def check_null_critical_fields(tables: dict[str, DataFrame],
     )
     nulls = F.coalesce(F.col("nulls"), F.lit(0))
     return _result(
-        stats, "null_critical_fields",
+        stats, C.CHECK_NAMES[3],
         passed=nulls == 0,
-        severity=F.when(nulls > 0, F.lit("error")).otherwise(F.lit("info")),
+        severity=F.when(nulls > 0, F.lit(C.ERROR)).otherwise(F.lit(C.INFO)),
         details=F.when(nulls > 0, message(C.MSG_NULLS, entries=F.col("text")))
         .otherwise(F.lit(C.MSG_NO_NULLS)),
         checked=F.coalesce(F.col("checked"), F.lit(0)),
@@ -307,14 +307,14 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
     profiles = {"production": production_profile(production)} if production is not None else {}
     rows = [
         check_missing_telemetry(telemetry, details=details) if telemetry is not None
-        else missing_table_result(spark, "missing_telemetry", "telemetry"),
+        else missing_table_result(spark, C.CHECK_NAMES[0], "telemetry"),
         check_negative_production(production, profiles.get("production")) if production is not None
-        else missing_table_result(spark, "negative_production", "production"),
+        else missing_table_result(spark, C.CHECK_NAMES[1], "production"),
     ]
     sources = {k: v for k, v in (("telemetry", telemetry), ("production", production),
                                  ("maintenance_logs", maintenance)) if v is not None}
     if machines is None:
-        rows.append(missing_table_result(spark, "machine_id_mismatch", "machines"))
+        rows.append(missing_table_result(spark, C.CHECK_NAMES[2], "machines"))
     elif sources:
         rows.append(check_machine_id_mismatches(machines, sources, details=details))
     else:
@@ -324,7 +324,7 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
         rows.append(check_null_critical_fields(tables, profiles=profiles))
     else:
         rows.append(spark.createDataFrame(
-            [("null_critical_fields", True, "info", C.MSG_NO_NULLS, 0, 0)], QUALITY_RESULT))
+            [(C.CHECK_NAMES[3], True, C.INFO, C.MSG_NO_NULLS, 0, 0)], QUALITY_RESULT))
     report = reduce(DataFrame.unionByName, rows)
     order = F.create_map(*[x for i, n in enumerate(CHECK_ORDER) for x in (F.lit(n), F.lit(i))])
     return report.withColumn("check_order", F.element_at(order, F.col("check_name")))
@@ -341,5 +341,5 @@ def quality_summary(report: DataFrame) -> DataFrame:
 def first_blocking_failure(report: DataFrame) -> DataFrame:
     """The first failed check of severity error, in check order (for
     fail-early runs); empty when none."""
-    return report.where(~F.col("passed") & (F.col("severity") == "error")) \
+    return report.where(~F.col("passed") & (F.col("severity") == C.ERROR)) \
         .orderBy("check_order").limit(1)

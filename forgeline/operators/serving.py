@@ -25,9 +25,9 @@ def telemetry_status(telemetry: DataFrame, machines: DataFrame, as_of: dt.dateti
         "machine_id",
         "last_event",
         F.round(hours, 1).alias("hours_since"),
-        F.when(F.col("last_event").isNull(), F.lit("no_data"))
-        .when(hours > silence_hours, F.lit("silent"))
-        .otherwise(F.lit("active")).alias("status"),
+        F.when(F.col("last_event").isNull(), F.lit(C.NO_DATA))
+        .when(hours > silence_hours, F.lit(C.SILENT))
+        .otherwise(F.lit(C.ACTIVE)).alias("status"),
     )
 
 
@@ -45,7 +45,7 @@ def dashboard_kpis(spark: SparkSession, downtime_metrics: DataFrame, health: Dat
         count(downtime_metrics, "factories"),
         count(health, "machines"),
         count(health, "abnormal", F.coalesce(F.col("max_temperature_c"), F.lit(0.0)) > temp_threshold),
-        count(status, "silent", F.col("status") != "active"),
+        count(status, "silent", F.col("status") != C.ACTIVE),
         count(scrap, "high_scrap", F.coalesce(F.col("scrap_rate"), F.lit(0.0)) > scrap_threshold),
         totals,
     )
@@ -60,7 +60,7 @@ def dashboard_abnormal(health: DataFrame, n: int = C.TOP_N,
     top = health.where(max_t > temp_threshold).orderBy(max_t.desc(), F.col("machine_id").asc_nulls_first()).limit(n)
     return top.select(
         "machine_id", "max_temperature_c", "avg_temperature_c", "max_vibration_mm_s", "event_count",
-        F.when(max_t > danger, F.lit("danger")).otherwise(F.lit("warn")).alias("css_class"),
+        F.when(max_t > danger, F.lit(C.DANGER)).otherwise(F.lit(C.WARN)).alias("css_class"),
     )
 
 
@@ -72,7 +72,7 @@ def dashboard_high_scrap(scrap: DataFrame, n: int = C.TOP_N,
 
 
 def dashboard_silent(status: DataFrame, n: int = C.TOP_N) -> DataFrame:
-    return status.where(F.col("status") != "active") \
+    return status.where(F.col("status") != C.ACTIVE) \
         .orderBy(F.col("machine_id").asc_nulls_first()).limit(n)
 
 
