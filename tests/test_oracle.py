@@ -25,14 +25,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.library_queries()) == set(E._library_oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.library_queries()))
 def test_query_matches_oracle(spark, duck, key):
-    sdf = E.queries()[key](spark, SF)
+    sdf = E.library_queries()[key](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(E.oracle_sql()[key])
+    res = duck.execute(E._library_oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
