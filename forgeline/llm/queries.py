@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import bpe, exact_dedup, mixing, pii, quality_divergence, simhash_trie, token_files, url_rules
+from forgeline.llm import (bpe, exact_dedup, line_dedup, mixing, pii, pseudo_likelihood, quality_divergence, simhash_trie,
+                           token_files, url_rules)
 from forgeline.llm.shared import ship_package
 
 
@@ -37,11 +38,19 @@ def op1(spark, d):
     return exact_dedup.exact_dedup(_table(spark, d, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2(spark, d):
+    return line_dedup.line_report(_table(spark, d, "documents"))
+
+
 def op3(spark, d):
     found = simhash_trie.simhash_groups(_table(spark, d, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op4(spark, d):
+    return pseudo_likelihood.score_corpus(_table(spark, d, "documents"))
+
+
 def op5(spark, d):
     return mixing.mix(_table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -70,7 +79,9 @@ def op10(spark, d):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1,
+        "op2_line_dedup": op2,
         "op3_simhash_near_dedup": op3,
+        "op4_lm_scoring": op4,
         "op5_source_mixing": op5,
         "op6_url_filters": op6,
         "op7_token_files": op7,
