@@ -3,7 +3,9 @@
 1. Lines are normalised: lower case, digit runs to one 0, all that is no
    letter or digit to single blanks. A line of which nothing is left is never
    a copy. Equal lines (by the MD5 of the normalised line) are one.
-2. Each different line has a 64-bit SimHash of its words. Two lines link if
+2. Each different line has a 64-bit SimHash of its words of over five bytes
+   (of all its words where it has no such one): the short words that most
+   lines share would make unlike lines look alike. Two lines link if
    their fingerprints differ in at most 3 bits and the edit distance of the
    normalised lines is at most 20 % of the longer one.
 3. Candidates: of five blocks two at least are equal where at most three bits
@@ -38,6 +40,7 @@ MAX_BITS = 3
 BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.8
 SEED = 42
+SHORT_WORD = 5
 
 
 def normalised(line: Column) -> Column:
@@ -56,7 +59,10 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
-    words = [line.split(b" ") for line in lines]
+    words = []
+    for line in lines:
+        own = line.split(b" ")
+        words.append([w for w in own if len(w) > SHORT_WORD] or own)
     sizes = np.array([len(w) for w in words])
     out = np.zeros(len(lines), np.uint64)
     ends = np.cumsum(sizes)
