@@ -79,8 +79,7 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
 
 
 def line_occurrences(docs: DataFrame) -> DataFrame:
-    """row (which row of ``docs``, within its doc_id: by text), doc_id,
-    line_no, md5, fp of every line that has a word."""
+    """doc_id, line_no, md5, fp of every line that has a word."""
     def run(batches):
         import pyarrow as pa
 
@@ -130,8 +129,11 @@ def line_groups(docs: DataFrame) -> DataFrame:
 
     rows = distinct.select("id", "fp", F.explode(F.array(*block_keys())).alias("bucket"))
     bucket = Window.partitionBy("bucket")
-    members = rows.select("*", F.count(F.lit(1)).over(bucket).alias("size"), F.min(F.struct("id", "fp")).over(bucket).alias("lead"))
-    members = write_shared(members.where("size > 1").select("bucket", "id", "fp", "lead"), "line-buckets")
+    members = rows.select("*", F.count(F.lit(1)).over(bucket).alias("size"), F.min(F.struct("id", "fp")).over(bucket).alias("lead"),
+                          F.min("fp").over(bucket).alias("low"), F.max("fp").over(bucket).alias("high"))
+    # a bucket of two is a pair, and mostly two unlike lines
+    members = write_shared(members.where((F.col("size") > 2) | ((F.col("size") == 2) & _near("low", "high")))
+                           .select("bucket", "id", "fp", "lead"), "line-buckets")
 
     ids = members.select("id").distinct().join(distinct.select("id", "first"), "id")
     whole = lines_of(docs, "doc_id").select(place.alias("first"), normalised(F.col("line")).alias("line"))
