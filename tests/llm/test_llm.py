@@ -1,0 +1,455 @@
+"""The training-data operators against brute force, SQL and round trips."""
+
+import base64
+import hashlib
+import io
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from forgeline.llm import (bpe, components, exact_dedup, line_dedup, mixing, pii, pseudo_likelihood, quality_divergence,
+                           simhash_trie, token_files, url_rules)
+from forgeline.llm.queries import bpe_pattern, hex16, oracle_sql, queries, tokenizer_path
+from forgeline.llm.shared import ship_package
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, bucket string, `key` string"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
+def table(spark, texts, **columns):
+    """Documents with extra columns whose names clash with the operators' own."""
+    rows = []
+    for i, t in enumerate(texts):
+        rows.append((columns.get("ids", range(len(texts)))[i], t, "en", columns.get("sources", ["a"] * len(texts))[i], 0, "x", "y", "z"))
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+EDGE = [None, "", " \n\t", "one", "one", "Ünï \x1c code \U0001F600 e-mail a@b.co", "word " * 30000, "x" * 50000, "a b c d e f g h " * 20]
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    return table(spark, EDGE + EDGE[:3], ids=[*range(len(EDGE)), None, 1, 2])
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return table(spark, [])
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+
+
+@pytest.mark.parametrize("key", sorted(oracle_sql()))
+def test_sql(spark, key):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = queries()[key](spark, SF)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({oracle_sql()[key]})").fetchall()
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_edges_do_not_crash(spark, edge, empty):
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    for f in (exact_dedup.exact_dedup, lambda d: simhash_trie.simhash_groups(d, 4, 4), mixing.mix, pii.find_pii, quality_divergence.quality,
+              lambda d: bpe.round_trip(d, path, bpe_pattern()),
+              lambda d: token_files.token_file_digests(d, tokenizer_path("byte_bpe_50k.json"))):
+        assert f(empty).count() == 0
+        assert f(edge).count() == len(EDGE) + 3
+    assert line_dedup.line_report(empty).count() == 0
+    assert line_dedup.line_report(edge).count() == len(EDGE) + 1
+    assert pseudo_likelihood.score_corpus(empty).count() == 0
+    assert pseudo_likelihood.score_corpus(edge).where("n_words = 0 and log_probability = 0 and mean_log_probability is null").count() == 6
+
+
+# -- exact dedup -----------------------------------------------------------------
+
+@pytest.mark.parametrize("bits", [64, 3])
+def test_exact_dedup(spark, bits):
+    rng = random.Random(1)
+    texts = [f"text {rng.randrange(60)}" for _ in range(300)] + [None, ""]
+    got = exact_dedup.exact_dedup(table(spark, texts), bucket_keys=4, hash_bits=bits).collect()
+    group = {}
+    for i, t in enumerate(texts):
+        group.setdefault(t or "", []).append(i)
+    for r in got:
+        t = texts[r["doc_id"]] or ""
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (max(group[t]), len(group[t]), r["doc_id"] == max(group[t]))
+        assert r["text_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+    assert len(got) == len(texts)
+    if bits == 3:  # colliding keys are chained
+        assert max(r["chain"] for r in got) > 1
+
+
+def test_exact_dedup_repeated_rows(spark):
+    d = table(spark, ["a", "a", "a", "b"], ids=[1, 1, 0, 2])
+    assert sorted(r["kept"] for r in exact_dedup.exact_dedup(d).collect()) == [False, False, True, True]
+    assert sorted(r["text"] for r in exact_dedup.keep_distinct(d).collect()) == ["a", "b"]
+
+
+def test_buckets_split_until_they_fit():
+    counts = {p: 1 for p in range(256)} | {5: 50}
+    buckets = exact_dedup.split_buckets(counts, 8, 16)
+    assert sum(n for _, _, n in buckets) == sum(counts.values())
+    assert all(n <= 16 or d == 8 for d, _, n in buckets)
+
+
+# -- components, SimHash -----------------------------------------------------------
+
+def union(pairs, nodes):
+    least = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            m = min(least[a], least[b])
+            changed |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    return least
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 260)]
+    got = {r["id"]: r["component"] for r in components.connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    nodes = {x for a, b in pairs if a != b for x in (a, b)}
+    assert got == {n: c for n, c in union(pairs, nodes).items()}
+
+
+def brute_fingerprint(text):
+    import xxhash
+
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
+    bits = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for i in range(64):
+            bits[i] += h >> i & 1
+    return sum(1 << i for i in range(64) if bits[i] * 2 > len(shingles))
+
+
+def test_simhash_query(spark, texts):
+    got = {r["doc_id"]: r for r in queries()["op3_simhash_near_dedup"](spark, SF).collect()}
+    fps = {i: brute_fingerprint(t) for i, t in texts.items()}
+    assert {i: r["fingerprint"] for i, r in got.items()} == {i: f"{f:016x}" for i, f in fps.items()}
+    pairs = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 4]
+    assert {i: r["component_id"] for i, r in got.items()} == union(pairs, fps)
+
+
+@pytest.mark.parametrize("node_rows", [50_000, 3])
+def test_trie_links_find_every_pair(spark, node_rows):
+    rng = random.Random(3)
+    fps = {rng.getrandbits(64) for _ in range(60)}
+    for f in list(fps):
+        for _ in range(6):  # balls, within the budget and just beyond it
+            g = f
+            for bit in rng.sample(range(64), rng.randrange(1, 7)):
+                g ^= 1 << bit
+            fps.add(g)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    links = simhash_trie.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), 4, node_rows=node_rows, batch_rows=50)
+    links = [(r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in links.collect()]
+    pairs = [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4]
+    assert union(links, fps) == union(pairs, fps)
+
+
+def test_near_dedup_keeps_one(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    d = table(spark, [base, base + " end", None, "", "quite another text than these two"], ids=[4, 5, None, None, 9])
+    assert sorted(str(r["doc_id"]) for r in simhash_trie.keep_one_of_each(d).collect()) == ["4", "9", "None"]
+
+
+# -- lines ---------------------------------------------------------------------------
+
+def test_line_groups_against_all_pairs(spark):
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(400)]
+    lines = [" ".join(rng.choice(vocabulary) for _ in range(60)) for _ in range(25)]
+    for line in lines[:12]:
+        for _ in range(6):
+            words = line.split()
+            words[rng.randrange(60)] = rng.choice(vocabulary)
+            lines.append(" ".join(words))
+    docs = ["\n".join(lines[i::10] + ["", lines[0].upper() + "!"]) for i in range(10)]
+    got = {(r["doc_id"], r["line_no"]): (r["first_doc"], r["first_line"], r["kept"]) for r in line_dedup.line_groups(table(spark, docs)).collect()}
+    place, text = [], {}
+    for d, t in enumerate(docs):
+        for n, line in enumerate(t.split("\n")):
+            if line:
+                place.append((d, n))
+                text[d, n] = re.sub(r"[^a-z0-9]+", " ", line.lower()).strip()
+    fp = dict(zip(place, simple_fps([text[p] for p in place])))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    pairs = [(a, b) for a in place for b in place if a < b and (text[a] == text[b] or (
+        (int(fp[a]) ^ int(fp[b])).bit_count() <= 3 and distance(text[a], text[b]) <= 0.2 * max(len(text[a]), len(text[b]))))]
+    least = union(pairs, place)
+    sizes = Counter(least.values())
+    assert got == {p: (*least[p], p == least[p]) for p in place if sizes[least[p]] > 1}
+    assert len(set(least.values())) < len({text[p] for p in place})
+
+
+def simple_fps(lines):
+    import xxhash
+
+    for line in lines:
+        words = [w for w in line.encode().split() if len(w) > 5] or line.encode().split()
+        yield sum(1 << i for i in range(64) if 2 * sum(xxhash.xxh64_intdigest(w, 42) >> i & 1 for w in words) > len(words))
+
+
+def test_dedup_lines_takes_them_out(spark):
+    d = table(spark, ["first line here\nonly once", "First line, here!\n\nlast", None])
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(d).collect()} == {0: "first line here\nonly once", 1: "\nlast", 2: None}
+
+
+# -- language model ---------------------------------------------------------------------
+
+def test_score_is_the_sum_of_conditional_log_probabilities():
+    net, ids = pseudo_likelihood.Network(classes=4, dim=8), np.array([3, 7, 1, 15, 2], np.int32)
+    total, padded = 0.0, [0, 0, *ids, 0, 0]
+    for i in range(2, 7):
+        h = np.tanh(net.bias + sum(net.place[k, padded[i + s]] for k, s in enumerate((-2, -1, 1, 2))))
+        c, w = divmod(padded[i], 4)
+        p = np.exp(net.of_class @ h + net.class_bias)
+        q = np.exp(net.of_word[c] @ h + net.word_bias[c])
+        total += np.log(p[c] / p.sum()) + np.log(q[w] / q.sum())
+    none = np.zeros(0, np.int32)
+    assert pseudo_likelihood.score_texts(net, [ids, none, ids]) == pytest.approx([total, 0, total], rel=1e-4)
+
+
+def test_both_sides_are_learnt(spark):
+    rng = random.Random(5)
+
+    def sentence(n):  # the middle word follows from its neighbours
+        out = []
+        for _ in range(n):
+            a, c = rng.randrange(6), rng.randrange(6)
+            out += [f"left{a}", f"mid{(a + c) % 6}", f"right{c}", "."]
+        return " ".join(out)
+
+    words, weights = pseudo_likelihood.train(table(spark, [sentence(150) for _ in range(1500)]), classes=16)
+    held = [sentence(30) for _ in range(20)]
+    shuffled = [" ".join(rng.sample(t.split(), len(t.split()))) for t in held]
+    means = [r["mean_log_probability"] for r in pseudo_likelihood.score(table(spark, held + shuffled), words, weights).orderBy("doc_id").collect()]
+    assert min(means[:20]) > max(means[20:])
+    assert np.mean(means[:20]) > -np.log(19)  # better than guessing among the words that occur
+
+
+# -- mixing ------------------------------------------------------------------------------
+
+def test_targets_share_the_excess(spark):
+    sizes = {"a": 100, "b": 1000, "c": 10, "d": 5000, None: 400, "e": 0}
+    order = sorted(k for k in sizes if k is not None) + [None]
+    weight = {k: (3, 1, 2)[i % 3] for i, k in enumerate(order)}
+    target, open_, left = {}, set(sizes), 1.5 * sum(sizes.values())
+    while True:
+        level = left / sum(weight[k] for k in open_)
+        full = {k for k in open_ if level * weight[k] > 2 * sizes[k]}
+        if not full:
+            break
+        for k in full:
+            target[k] = 2.0 * sizes[k]
+            left -= target[k]
+        open_ -= full
+    target |= {k: level * weight[k] for k in open_}
+    sums = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(sums).collect()}
+    assert got == pytest.approx(target)
+
+
+def test_mix_comes_near_its_targets(spark, docs):
+    got = mixing.mix(docs, bins=8).collect()
+    for source in {r["source"] for r in got}:
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+        assert all(0 <= r["taken"] <= 2 * r["size"] for r in own)
+    rows = mixing.mixed_documents(docs).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in rows} == {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect() if r["taken"]}
+
+
+# -- URLs --------------------------------------------------------------------------------
+
+def test_urls_against_every_rule(spark):
+    urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/x?q", "x://example.org/en/12", "x://org/", "x://org", "x://myorg/", "x://a.com/de/",
+            "x://example.com/fr/1#f", "x://example.org?/es/", "x://a://b.org/", "x://.org/", "x://example.org/es"]
+    pages = spark.createDataFrame(list(enumerate(urls)) + [(0, urls[4])], "page_id long, url string").withColumn("host", F.lit("clash"))
+    got = url_rules.judge_urls(pages, url_rules.rule_table(spark)).collect()
+    assert len(got) == len(urls) + 1
+    for r in got:
+        fits = [(len(h + p), h + p, v) for v, h, p in url_rules.RULES if (r["host"] == h or r["host"].endswith("." + h)) and r["path"].startswith(p)]
+        assert (r["rule"], r["verdict"]) == (max(fits)[1:] if fits else (None, "allow"))
+    by = {r["page_id"]: (r["host"], r["path"]) for r in got if r["page_id"]}
+    assert by[4] == ("a.example.org", "/es/x") and by[12] == ("a:", "//b.org/") and by[1] == ("", "") and by[11] == ("example.org", "")
+
+
+# -- tokens ---------------------------------------------------------------------------------
+
+def test_bpe_matches_the_library(texts):
+    import tiktoken
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library, own = tiktoken.Encoding("own", pat_str=bpe_pattern(), mergeable_ranks=ranks, special_tokens={}), bpe.Codec(path, bpe_pattern())
+    rng = random.Random(6)
+    odd = ["", " ", "\n", "a\n b", "a  b", "tab\there", "it's 'quoted' don't", " lead", "x\u00a0y", "12³ ⅷ", "e\u0301", "\U0001F600 ok", "aaaa" * 500,
+           "".join(rng.choice("abc ") for _ in range(5000)), "".join(chr(rng.randrange(1, 0x300)) for _ in range(5000)), "l'eau, c'est. fin!\nNow (so) #*$ a's"]
+    for t in [*list(texts.values()), *odd]:
+        ids = own.encode(t).tolist()
+        assert ids == library.encode_ordinary(t)
+        assert own.decode(ids) == t.encode()
+
+
+def test_token_files_match_the_library(spark, docs, texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    odd = {10**9 + i: t for i, t in enumerate(["", "a  b\t<|endoftext|> it's", "é" * 300, "x" * 70000, "don't 'tis, l'eau. 12³ ß!"])}
+    extra = spark.createDataFrame(list(odd.items()), "doc_id long, text string")
+    got = token_files.token_file_digests(docs.select("doc_id", "text").unionByName(extra), tokenizer_path("byte_bpe_50k.json")).orderBy("doc_id").collect()
+    start = 0
+    for r, (doc_id, t) in zip(got, sorted((texts | odd).items()), strict=True):
+        ids = library.encode(t, add_special_tokens=False).ids + [0]
+        assert tuple(r) == (doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_reader_unpacks_only_what_is_asked():
+    import zstandard
+
+    out = io.BytesIO()
+    writer = token_files.TokenFileWriter(out, frame_ids=100)
+    ids = {i: np.arange(i * 7, dtype="<u4") for i in range(1, 40)}
+    for i, v in ids.items():
+        writer.add(i, v.tobytes())
+    writer.close()
+    reader = token_files.TokenFileReader(out, len(out.getvalue()))
+    assert {k: v.tolist() for k, v in reader.documents([3, 39]).items()} == {3: ids[3].tolist(), 39: ids[39].tolist()}
+    assert reader.frames_read <= 1 + 2 + 4
+    plain = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(out.getvalue()), read_across_frames=True).read()
+    assert plain.startswith(b"".join(v.tobytes() for v in ids.values()))
+    broken = bytearray(out.getvalue())
+    broken[20] ^= 255
+    with pytest.raises(Exception):
+        list(token_files.TokenFileReader(io.BytesIO(bytes(broken)), len(broken)).digests())
+
+
+# -- personal data ---------------------------------------------------------------------------
+
+def brute_spans(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_pii_base_spans(texts):
+    rng, anchors = random.Random(7), pii.automaton()
+    parts = ["a@b.co", "@", ".", "x_y%z@q-r.s.t", "1.2.3.4", "255", "256.1.1.1", "+", "+49 (30) 1234-5678", "4111 1111 1111 1111", "-", " ", "12", "é", "\U0001F600", "://", "u:p@h.de", "a@b@c.d", "+1+2"]
+    made = ["".join(rng.choice(parts) for _ in range(40)) for _ in range(400)]
+    for t in [*texts.values(), *made]:
+        assert [s for s in pii.find_spans(t, anchors) if s[0] in pii.BASE_KINDS] == brute_spans(t)
+
+
+def test_pii_added_spans():
+    anchors = pii.automaton()
+    text = "see ftp://bob:secret@h.org, IBAN: DE89370400440532013000 or account no 12; account 123-456-78"
+    assert [text[s:e] for k, s, e in pii.find_spans(text, anchors) if k in ("login", "account")] == ["bob:secret", "DE89370400440532013000", "123-456-78"]
+
+
+# -- quality rules -----------------------------------------------------------------------------
+
+def brute_quality(text):
+    words = WORDS.findall(text)
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    counts = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if WORDS.search(x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
+            len(words) < 20 or 100 * len(covered) > 30 * len(words))
+
+
+def test_quality_counts(spark, texts):
+    rng = random.Random(8)
+    odd = {10**9 + i: " ".join(rng.choice("ab") for _ in range(n)) + "\n\nx \n" * (n % 3) for i, n in enumerate([0, 1, 7, 8, 9, 25, 60, 200])}
+    extra = table(spark, list(odd.values()), ids=list(odd)).select("doc_id", "text", "lang")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").unionByName(extra)
+    for r in quality_divergence.quality(docs).collect():
+        own = brute_quality((texts | odd)[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == own
+        assert not (own[-1] and r["kept"])
+
+
+def test_quality_divergence(spark):
+    rng = random.Random(9)
+    common, rare = ["the", "of", "and", "to", "in"], ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(500)]
+    clean = [" ".join(rng.choice(common if rng.random() < 0.4 else rare) for _ in range(120)) for _ in range(60)]
+    junk = [" ".join(w + "$$$" for w in clean[0].split()), " | ".join(rng.choice(rare) for _ in range(100)), "short but clean of the text"]
+    got = {r["doc_id"]: r for r in quality_divergence.quality(table(spark, clean + junk)).collect()}
+    assert all(got[i]["kept"] for i in range(60))
+    assert not got[60]["kept"] and not got[61]["kept"] and not got[60]["base_failed"] and not got[61]["base_failed"]
+    p, q = [0.5, 0.5, 0.0], [0.0, 0.5, 0.5]
+    js = spark.range(1).select(quality_divergence.jensen_shannon(F.array(*map(F.lit, p)), F.array(*map(F.lit, q)))).first()[0]
+    assert js == pytest.approx(0.5 ** 0.5)
+
+
+# -- pipeline -----------------------------------------------------------------------------------
+
+def test_pipeline(spark, docs, texts):
+    import corpus_pipeline as P
+
+    kept = {r["doc_id"] for r in quality_divergence.quality(docs).where("kept").collect()}
+    by_text = {}
+    for i in kept:
+        by_text[texts[i]] = max(i, by_text.get(texts[i], -1))
+    fps = {i: brute_fingerprint(texts[i]) for i in by_text.values()}
+    least = union([(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 4], fps)
+    left = set(least.values())
+    taken = {r["doc_id"]: r["copies"] for r in mixing.mix(docs.where(F.col("doc_id").isin(sorted(left)))).collect() if r["copies"]}
+    codec = bpe.Codec(tokenizer_path("byte_bpe_multi_50k.tiktoken"), bpe_pattern())
+    got = P.run(spark, SF).collect()
+    assert Counter(r["doc_id"] for r in got) == taken
+    assert all(list(r["ids"]) == codec.encode(texts[r["doc_id"]]).tolist() and r["n_tokens"] == len(r["ids"]) for r in got)
+    stage = P.STAGES[2][1](spark, docs, SF)
+    assert stage.columns == docs.columns
