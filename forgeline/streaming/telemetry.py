@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,19 +36,11 @@ def stream_name_of(landing_dir: str) -> str:
     return hashlib.sha1(landing_dir.rstrip("/").encode()).hexdigest()[:12]
 
 
-def partitions_written(spark: SparkSession, root: str, label: str) -> int:
-    """Hour partitions holding files of one batch: a listing of the batch's
-    folders (bounded by the number of partitions), not a pass over data."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/year=*/month=*/day=*/hour=*/_batch_id={label}")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern)
-    return 0 if found is None else len(found)
-
-
 def land_batch(lake: Lake, stream_name: str = "telemetry", stats: dict | None = None):
-    """foreachBatch function; with ``stats`` it adds the partitions written
-    per batch (``partitions``) and the last batch label (``batch_id``)."""
+    """foreachBatch function; with ``stats`` it adds the events, batches and
+    partitions written (``events``, ``batches``, ``partitions``) and the last
+    batch label (``batch_id``). Events are observed by the write itself,
+    partitions are counted over the batch, not over the table."""
     def _land(batch: DataFrame, epoch_id: int) -> None:
         ts = F.to_timestamp_ntz("timestamp")
         out = batch.withColumns({
@@ -56,12 +48,16 @@ def land_batch(lake: Lake, stream_name: str = "telemetry", stats: dict | None =
             **time_partitions(ts, with_day_hour=True),
             "_batch_id": F.lit(batch_label(epoch_id, stream_name)),
         })
-        write_batch_partitions(out, lake.raw_telemetry, PARTITIONS)
-        if stats is not None:
-            label = batch_label(epoch_id, stream_name)
-            stats["partitions"] = stats.get("partitions", 0) + partitions_written(
-                batch.sparkSession, lake.raw_telemetry, label)
-            stats["batch_id"] = label
+        if stats is None:
+            write_batch_partitions(out, lake.raw_telemetry, PARTITIONS)
+            return
+        seen = Observation()
+        write_batch_partitions(out.observe(seen, F.count(F.lit(1)).alias("events")), lake.raw_telemetry, PARTITIONS)
+        events = int(seen.get.get("events", 0))
+        stats["events"] = stats.get("events", 0) + events
+        stats["batches"] = stats.get("batches", 0) + (events > 0)
+        stats["partitions"] = stats.get("partitions", 0) + out.select(*PARTITIONS).distinct().count()
+        stats["batch_id"] = batch_label(epoch_id, stream_name)
     return _land
 
 
@@ -103,8 +99,5 @@ def ingest_telemetry(spark: SparkSession, lake: Lake, landing_dir: str,
     stats: dict = {}
     q = land_telemetry(spark, lake, landing_dir, max_files_per_trigger, stats=stats)
     q.awaitTermination()
-    progress = [p for p in q.recentProgress if p.get("numInputRows") is not None]
-    events = sum(int(p["numInputRows"]) for p in progress)
-    batches = sum(1 for p in progress if int(p["numInputRows"]) > 0)
-    return {"source": landing_dir, "total_events": events, "total_batches": batches,
+    return {"source": landing_dir, "total_events": stats.get("events", 0), "total_batches": stats.get("batches", 0),
             "total_partitions_written": stats.get("partitions", 0), "batch_id": stats.get("batch_id")}

@@ -88,3 +88,16 @@ def test_stream_lands_every_event_restart_and_duplicates(spark, lake, tmp_path):
     assert raw.count() == 160 and "junk" not in raw.columns
     stats = run_staging(spark, lake)
     assert stats["telemetry"] == 120
+
+
+def test_stream_counts_more_batches_than_progress_keeps(spark, lake, tmp_path):
+    landing = tmp_path / "many"
+    landing.mkdir()
+    for k in range(6):
+        (landing / f"part{k}.jsonl").write_text(_events(1, 4, k)[0] + "\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        got = ingest_telemetry(spark, lake, str(landing), max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (got["total_events"], got["total_batches"]) == (6, 6)
