@@ -36,7 +36,8 @@ ACTIVE, SILENT, NO_DATA = "active", "silent", "no_data"
 DANGER, WARN = "danger", "warn"
 SUCCESS = "success"
 
-# Report and alert texts, which must read as the reference's.
+# Report and alert texts as in the reference, but that unknown ids are
+# given by number (their table holds them) and null counts by table name.
 # Placeholders in braces are filled from data or parameters.
 MSG_NO_STAGED = "No staged {what} data found"
 MSG_TOO_FEW_EVENTS = "Too few events to check gaps"

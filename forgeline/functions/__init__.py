@@ -2,7 +2,6 @@
 
 from forgeline.functions.numeric import (  # noqa: F401
     clamp_non_negative,
-    exact_mean,
     nan_ignoring_max,
     safe_ratio,
 )

@@ -19,20 +19,3 @@ def nan_ignoring_max(col: str) -> Column:
     """Max that skips NaN (Spark's max returns NaN when one is present)."""
     return F.max(F.nanvl(F.col(col), F.lit(None).cast("double")))
 
-
-def exact_mean(col: str, scale: int = 8, precision: int = 20) -> Column:
-    """Mean of a double column whose sum is exact, so the result does not
-    depend on partitioning or summation order (plain ``avg`` differs in the
-    last bit between runs with a different partition layout).
-
-    Values are summed as ``decimal(precision, scale)`` and divided in double.
-    NaN or infinite inputs give the same result as a double mean would.
-    """
-    c = f"`{col}`"
-    pos, neg = f"count_if({c} = double('inf'))", f"count_if({c} = double('-inf'))"
-    finite = f"CASE WHEN isnan({c}) OR abs({c}) = double('inf') THEN NULL ELSE {c} END"
-    return F.expr(
-        f"CASE WHEN count_if(isnan({c})) > 0 THEN double('NaN') "
-        f"WHEN {pos} > 0 AND {neg} > 0 THEN double('NaN') "
-        f"WHEN {pos} > 0 THEN double('inf') WHEN {neg} > 0 THEN double('-inf') "
-        f"ELSE cast(sum(cast({finite} AS decimal({precision},{scale}))) AS double) / count({c}) END")

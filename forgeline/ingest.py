@@ -1,9 +1,9 @@
 """Batch ingestion of machines, maintenance logs and daily production.
 
-High-water marks live in a small state table (one row per source,
-partitioned by source). A source's mark is written only after its data,
-and data is written under a deterministic batch id with dynamic partition
-overwrite: a crash between the two re-runs the batch, which replaces its
+High-water marks live in a small state table (one row per saved mark,
+partitioned by source; the newest counts). A source's mark is written only after its data,
+and data is written under a batch id made from the mark that the batch starts
+from, with dynamic partition overwrite: a crash between the two re-runs the batch, which replaces its
 own partitions instead of duplicating them.
 """
 
@@ -30,10 +30,15 @@ def new_batch_id(now: dt.datetime | None = None) -> str:
     return now.strftime("%Y%m%dT%H%M%S")
 
 
+def batch_after(mark: str | None) -> str:
+    """Id of the batch that starts from ``mark``: a batch that is run again
+    because its mark was not saved has the same id."""
+    return f"after-{mark or ''}"
+
+
 def load_marks(spark: SparkSession, lake: Lake) -> dict[str, str]:
-    """Current marks; the state table has one row per source, so collecting
-    it is bounded by the number of sources."""
-    state = read_or_none(spark, lake.state)
+    """Current marks; one row per source, so collecting them is bounded."""
+    state = state_table(spark, lake)
     if state is None:
         return {}
     return {r["source"]: r["mark"] for r in state.select("source", "mark").collect() if r["mark"]}
@@ -42,12 +47,17 @@ def load_marks(spark: SparkSession, lake: Lake) -> dict[str, str]:
 def save_mark(spark: SparkSession, lake: Lake, source: str, mark: str, batch_id: str) -> None:
     row = spark.createDataFrame(
         [(source, mark, batch_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], WATERMARK_STATE)
-    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source").parquet(lake.state))
+    # appended: a stop in the middle of it leaves the marks saved before
+    row.write.mode("append").partitionBy("source").parquet(lake.state)
 
 
 def state_table(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    return read_or_none(spark, lake.state)
+    """The mark of each source that was saved last."""
+    state = read_or_none(spark, lake.state)
+    if state is None:
+        return None
+    newest = F.max(F.struct("updated_at", "mark", "batch_id")).alias("s")
+    return state.groupBy("source").agg(newest).select("source", "s.mark", "s.batch_id", "s.updated_at")
 
 
 def _write_observed(df: DataFrame, name: str, mark_col: str | None, path: str,
@@ -76,10 +86,10 @@ def ingest_maintenance(spark: SparkSession, lake: Lake, source_dir: str,
                        batch_id: str | None = None) -> dict:
     """Machines snapshot + maintenance logs newer than the mark, partitioned
     by (year, month) of the log time."""
-    batch_id = batch_id or new_batch_id()
-    marks = load_marks(spark, lake)
-    machines_rows = ingest_machines(spark, lake, source_dir, batch_id)
-    last = marks.get("maintenance_logs")
+    last = load_marks(spark, lake).get("maintenance_logs")
+    # a snapshot of machines is no batch after a mark: each has its own time
+    machines_rows = ingest_machines(spark, lake, source_dir, batch_id or new_batch_id())
+    batch_id = batch_id or batch_after(last)
     logs = read_csv_by_name(spark, f"{source_dir}/maintenance_logs.csv", RAW_MAINTENANCE)
     rows, mark = 0, last
     if logs is None:
@@ -102,8 +112,8 @@ def ingest_production(spark: SparkSession, lake: Lake, source_path: str,
                       batch_id: str | None = None) -> dict:
     """Production rows with ``date`` after the mark, partitioned by
     (year, month). A missing file fails, as in the reference."""
-    batch_id = batch_id or new_batch_id()
     last = load_marks(spark, lake).get("production")
+    batch_id = batch_id or batch_after(last)
     df = read_csv_by_name(spark, source_path, RAW_PRODUCTION)
     if df is None:
         raise FileNotFoundError(source_path)

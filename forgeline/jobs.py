@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgeline import config as C
 from forgeline.config import Lake
@@ -24,7 +25,7 @@ from forgeline.operators import quality as Q
 from forgeline.operators import serving as S
 from forgeline.operators import staging as ST
 from forgeline.operators import warehouse as W
-from forgeline.schemas import LINEAGE_RECORD, RUN_RECORD
+from forgeline.schemas import ALERT, LINEAGE_RECORD, RUN_RECORD
 from forgeline.sinks.files import append_log, overwrite_table, write_report
 from forgeline.sources.files import read_or_none, read_raw_parquet
 from forgeline.streaming.telemetry import ingest_telemetry
@@ -177,6 +178,9 @@ def run_quality(spark: SparkSession, lake: Lake, fail_early: bool = True) -> lis
     staged = {n: _staged(spark, lake, n) for n in ("telemetry", "production", "maintenance_logs", "machines")}
     report = Q.quality_report(staged["telemetry"], staged["production"], staged["maintenance_logs"],
                               staged["machines"], spark=spark)
+    sources = {n: df for n, df in staged.items() if n != "machines" and df is not None}
+    if staged["machines"] is not None and sources:
+        overwrite_table(Q.unknown_machine_ids(staged["machines"], sources), lake.path("metadata", "unknown_machine_ids"))
     rows = [r.asDict() for r in report.orderBy("check_order").collect()]
     report_df = spark.createDataFrame(rows, report.schema)
     summary = Q.quality_summary(report_df).first().asDict()
@@ -199,45 +203,42 @@ def run_alerts(spark: SparkSession, lake: Lake, as_of: dt.datetime,
     health = read_or_none(spark, lake.analytics("machine_health_features"))
     scrap = read_or_none(spark, lake.analytics("scrap_rate_metrics"))
     state = state_table(spark, lake)
-    headers = []
+    rows: list[dict] = []
 
-    def guarded(name, build):
+    def guarded(name, items_of, header_of):
+        """Each check is evaluated in here, so one that fails loses no other's alert."""
+        path = lake.path("metadata", "alerts_items", name)
         try:
-            items, header = build()
-            if items is not None:
-                overwrite_table(items, lake.path("metadata", "alerts_items", name))
-            headers.append(header)
+            items = items_of()
+            if name != "late_data":  # its items are the alerts themselves
+                overwrite_table(items, path)
+                items = spark.read.schema(items.schema).parquet(path)
+            found = header_of(items).select(*A.HEADER_COLUMNS).collect()  # a few rows
+            rows.extend({**r.asDict(), "alert_order": order} for r in found)
         except Exception:  # noqa: BLE001 - reference logs and goes on
             log.exception("alert check %s failed", name)
 
-    if tel is not None and mach is not None:
-        def silence():
-            items = A.telemetry_silence_items(tel, mach, as_of, thresholds.silence_hours)
-            return items, A.telemetry_silence_alert(items, thresholds.silence_hours)
-        guarded("telemetry_silence", silence)
-    if health is not None:
-        def temp():
-            items = A.temperature_items(health, thresholds.temp_c)
-            return items, A.temperature_alert(items, thresholds.temp_c, thresholds.temp_critical_c)
-        guarded("temperature_exceedance", temp)
-    if scrap is not None:
-        def scrap_fn():
-            items = A.scrap_items(scrap, thresholds.scrap_rate)
-            return items, A.scrap_alert(items, thresholds.scrap_rate)
-        guarded("scrap_rate_spike", scrap_fn)
-    if state is not None:
-        guarded("late_data", lambda: (None, A.late_data_alerts(state, as_of, thresholds.late_data_hours)
-                                      .select(*A.HEADER_COLUMNS)))
-
-    def failures():
-        items = failed_runs(spark, lake, as_of, thresholds.failed_run_hours)
-        return items, A.pipeline_failure_alert(items, thresholds.failed_run_hours)
-    guarded("pipeline_failure", failures)
-    if not headers:
-        return []
-    report = A.alert_report(headers)
-    rows = [r.asDict() for r in report.orderBy("alert_order").collect()]  # a handful of alerts
-    report_df = spark.createDataFrame(rows, report.schema)
+    checks = [
+        ("telemetry_silence", tel is not None and mach is not None,
+         lambda: A.telemetry_silence_items(tel, mach, as_of, thresholds.silence_hours),
+         lambda items: A.telemetry_silence_alert(items, thresholds.silence_hours)),
+        ("temperature_exceedance", health is not None,
+         lambda: A.temperature_items(health, thresholds.temp_c),
+         lambda items: A.temperature_alert(items, thresholds.temp_c, thresholds.temp_critical_c)),
+        ("scrap_rate_spike", scrap is not None,
+         lambda: A.scrap_items(scrap, thresholds.scrap_rate),
+         lambda items: A.scrap_alert(items, thresholds.scrap_rate)),
+        ("late_data", state is not None,
+         lambda: A.late_data_alerts(state, as_of, thresholds.late_data_hours), lambda items: items),
+        ("pipeline_failure", True,
+         lambda: failed_runs(spark, lake, as_of, thresholds.failed_run_hours),
+         lambda items: A.pipeline_failure_alert(items, thresholds.failed_run_hours)),
+    ]
+    for order, (name, present, items_of, header_of) in enumerate(checks):
+        if present:
+            guarded(name, items_of, header_of)
+    schema = T.StructType([*[f for f in ALERT.fields if f.name in A.HEADER_COLUMNS], T.StructField("alert_order", T.IntegerType())])
+    report_df = spark.createDataFrame(rows, schema)
     totals = A.alert_summary(report_df).first().asDict()
     write_report(report_df.withColumn("timestamp", F.lit(_now()))
                  .withColumns({k: F.lit(v) for k, v in totals.items()}), lake.alert_report)

@@ -2,9 +2,9 @@
 ``QualityResult`` shape (check_name, passed, severity, details,
 records_checked, records_failed); ``quality_report`` unions them.
 
-All counting is distributed; the only rows that reach a text are bounded
-samples (the first 10 missing numbers, the 10 smallest unknown ids per
-source). The full lists are the ``*_items`` DataFrames.
+All counting is distributed; the only rows that reach a text are the first 10
+missing numbers (as in the reference) and counts. Unknown ids are a table,
+``unknown_machine_ids``.
 """
 
 from __future__ import annotations
@@ -97,10 +97,9 @@ def missing_event_ranges(telemetry: DataFrame) -> DataFrame:
                        (F.col("next_n") - F.col("n") - 1).alias("missing"))
 
 
-def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N,
-                            details: bool = True) -> DataFrame:
-    """Gaps in the event number sequence. With ``details=False`` the sample
-    of missing numbers (only used in the message) is not computed."""
+def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N) -> DataFrame:
+    """Gaps in the event number sequence; the text names the first and the
+    last of the ``sample_size`` first missing numbers."""
     counts = number_counts(telemetry)
     stats = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("cnt"),
@@ -108,12 +107,9 @@ def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N,
         F.max("n").alias("hi"),
         F.count(F.lit(1)).alias("distinct_n"),
     )
-    if details:
-        sample = missing_event_sample(telemetry, first=sample_size, counts=counts)
-        stats = one_row(stats, sample.agg(F.min("n").alias("sample_lo"), F.max("n").alias("sample_hi")))
-        sample_lo, sample_hi = F.col("sample_lo"), F.col("sample_hi")
-    else:
-        sample_lo = sample_hi = F.lit(None).cast("bigint")
+    sample = missing_event_sample(telemetry, first=sample_size, counts=counts)
+    stats = one_row(stats, sample.agg(F.min("n").alias("sample_lo"), F.max("n").alias("sample_hi")))
+    sample_lo, sample_hi = F.col("sample_lo"), F.col("sample_hi")
     span = F.col("hi") - F.col("lo") + 1
     missing = span - F.col("distinct_n")
     too_few = F.col("cnt") < 2
@@ -182,37 +178,15 @@ def unknown_machine_ids(machines: DataFrame, sources: dict[str, DataFrame]) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFrame],
-                                sample_size: int = C.TOP_N, details: bool = True) -> DataFrame:
-    """Details name the count and the ``sample_size`` smallest unknown ids
-    per source; the whole list is ``unknown_machine_ids``. With
-    ``details=False`` only the counts are computed."""
+def check_machine_id_mismatches(machines: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+    """Details name the number of unknown ids of each source; the ids
+    themselves are the table ``unknown_machine_ids``, which has no bound."""
     unknown = unknown_machine_ids(machines, sources)
-    if not details:
-        valid = machines.agg(
-            (F.count_distinct("machine_id") + F.max(F.col("machine_id").isNull().cast("int"))).alias("valid"))
-        combined = one_row(valid, unknown.agg(F.count(F.lit(1)).alias("bad")))
-        bad = F.coalesce(F.col("bad"), F.lit(0))
-        return _result(combined, C.CHECK_NAMES[2], passed=bad == 0,
-                       severity=F.when(bad > 0, F.lit(C.WARNING)).otherwise(F.lit(C.INFO)),
-                       details=F.lit(None).cast("string"),
-                       checked=F.coalesce(F.col("valid"), F.lit(0)), failed=bad)
     order = {name: i for i, name in enumerate(sources)}
-    rank = F.row_number().over(Window.partitionBy("source").orderBy(F.col("machine_id").asc_nulls_first()))
-    shown = unknown.withColumn("_r", rank).where(F.col("_r") <= sample_size)
-    quoted = F.when(F.col("machine_id").isNull(), F.lit("None")).otherwise(
-        F.concat(F.lit("'"), F.col("machine_id"), F.lit("'")))
-    per_source = shown.groupBy("source").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", quoted.alias("q")))),
-                                 lambda s: s["q"]), ", ").alias("ids"))
-    counts = unknown.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     order_col = F.element_at(F.create_map(*[x for k, v in order.items() for x in (F.lit(k), F.lit(v))]),
                              F.col("source"))
-    entries = counts.join(per_source, "source").select(
-        order_col.alias("o"),
-        F.concat(F.col("source"), F.lit(": "), F.col("n").cast("string"), F.lit(" ["), F.col("ids"),
-                 F.lit("]")).alias("entry"),
-        "n")
+    counts = unknown.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    entries = counts.select(order_col.alias("o"), F.concat("source", F.lit(": "), F.col("n").cast("string")).alias("entry"), "n")
     summary = entries.agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "entry"))),
                                  lambda s: s["entry"]), "; ").alias("text"),
@@ -297,16 +271,14 @@ def check_null_critical_fields(tables: dict[str, DataFrame],
 
 def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
                    maintenance: DataFrame | None, machines: DataFrame | None,
-                   spark: SparkSession | None = None, details: bool = True) -> DataFrame:
+                   spark: SparkSession | None = None) -> DataFrame:
     """All four checks in the reference's order, with ``check_order``.
-    An absent staged table gives the failed/error row of the reference.
-    ``details=False`` skips the work that only feeds the message texts
-    (enough for ``quality_summary`` and for fail-early decisions)."""
+    An absent staged table gives the failed/error row of the reference."""
     spark = spark or next(df for df in (telemetry, production, maintenance, machines)
                           if df is not None).sparkSession
     profiles = {"production": production_profile(production)} if production is not None else {}
     rows = [
-        check_missing_telemetry(telemetry, details=details) if telemetry is not None
+        check_missing_telemetry(telemetry) if telemetry is not None
         else missing_table_result(spark, C.CHECK_NAMES[0], "telemetry"),
         check_negative_production(production, profiles.get("production")) if production is not None
         else missing_table_result(spark, C.CHECK_NAMES[1], "production"),
@@ -316,9 +288,9 @@ def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
     if machines is None:
         rows.append(missing_table_result(spark, C.CHECK_NAMES[2], "machines"))
     elif sources:
-        rows.append(check_machine_id_mismatches(machines, sources, details=details))
+        rows.append(check_machine_id_mismatches(machines, sources))
     else:
-        rows.append(check_machine_id_mismatches(machines, {"machines": machines.limit(0)}, details=details))
+        rows.append(check_machine_id_mismatches(machines, {"machines": machines.limit(0)}))
     tables = {"telemetry": telemetry, "production": production, "maintenance_logs": maintenance}
     if any(v is not None for v in tables.values()):
         rows.append(check_null_critical_fields(tables, profiles=profiles))

@@ -53,7 +53,7 @@ def clamp_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def scan_order(df: DataFrame) -> list[str]:
     """Columns giving the order in which raw rows arrived: event-hour
-    partition, ingest batch, source file, offset in file, row in split."""
+    partition, ingest batch, the file's modification time and name, offset in file, row in split."""
     return [c for c in (*PARTITION_COLUMNS, *SCAN_ORDER_COLUMNS) if c in df.columns]
 
 

@@ -42,7 +42,7 @@ RAW_PRODUCTION = T.StructType([
 
 # Columns written at ingest that record scan order, so that keep-last dedup
 # does not depend on file listing order.
-SCAN_ORDER_COLUMNS = ("_batch_id", "_src_file", "_src_offset", "_row_seq")
+SCAN_ORDER_COLUMNS = ("_batch_id", "_src_mtime", "_src_file", "_src_offset", "_row_seq")
 
 QUALITY_RESULT = T.StructType([
     T.StructField("check_name", T.StringType(), False),

@@ -105,10 +105,11 @@ def read_jdbc_by_name(spark: SparkSession, url: str, table: str, schema: T.Struc
 
 
 def with_source_order(df: DataFrame) -> DataFrame:
-    """Scan-order columns of a file read: source file, split offset and row
+    """Scan-order columns of a file read: when the file arrived, source file, split offset and row
     position inside the split (increasing in file order within a split)."""
     return df.select(
         "*",
+        F.unix_micros("_metadata.file_modification_time").alias("_src_mtime"),
         F.col("_metadata.file_path").alias("_src_file"),
         F.col("_metadata.file_block_start").alias("_src_offset"),
         F.monotonically_increasing_id().alias("_row_seq"),

@@ -69,6 +69,7 @@ def telemetry_stream(spark: SparkSession, landing_dir: str,
     src = reader.json(landing_dir)
     return src.select(
         "*",
+        F.unix_micros("_metadata.file_modification_time").alias("_src_mtime"),
         F.col("_metadata.file_path").alias("_src_file"),
         F.col("_metadata.file_block_start").alias("_src_offset"),
     )

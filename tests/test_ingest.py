@@ -2,9 +2,11 @@ import json
 import os
 import shutil
 
+import pytest
+
 from forgeline import ingest as I
 from forgeline.jobs import run_staging
-from forgeline.sources.files import read_or_none, read_raw_parquet
+from forgeline.sources.files import read_raw_parquet
 from forgeline.streaming.telemetry import ingest_telemetry
 
 
@@ -47,8 +49,7 @@ def test_csv_by_name_and_high_water_marks(spark, lake, tmp_path):
     write_csv(f"{src}/daily_production.csv", "date,machine_id,shift,units_produced,scrap_units,operator_id",
               ["2026-03-01,mach_001,A,10,1,op_1", "2026-03-02,mach_001,B,12,-1,op_2"])
     p1 = I.ingest_production(spark, lake, f"{src}/daily_production.csv", batch_id="b1")
-    state = {r.source: r.mark for r in read_or_none(spark, lake.state).collect()}
-    assert state == {"maintenance_logs": "2026-04-01T00:00:00", "production": "2026-03-02"}
+    assert I.load_marks(spark, lake) == {"maintenance_logs": "2026-04-01T00:00:00", "production": "2026-03-02"}
     assert p1["rows"] == 2
     # simulate a crash before the mark was saved: same batch again
     shutil.rmtree(lake.state.replace("file:", "") + "/source=production")
@@ -101,3 +102,37 @@ def test_stream_counts_more_batches_than_progress_keeps(spark, lake, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert (got["total_events"], got["total_batches"]) == (6, 6)
+
+
+def test_batch_stopped_before_its_mark_is_replaced(spark, lake, tmp_path, monkeypatch):
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    head = "date,machine_id,shift,units_produced,scrap_units,operator_id"
+    write_csv(f"{src}/p.csv", head, ["2026-03-01,m1,A,10,1,o1", "2026-04-02,m1,B,12,1,o2"])
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "save_mark", stop)
+        with pytest.raises(RuntimeError):
+            I.ingest_production(spark, lake, f"{src}/p.csv")
+    assert I.ingest_production(spark, lake, f"{src}/p.csv")["rows"] == 2
+    assert read_raw_parquet(spark, lake.raw_production).count() == 2
+    write_csv(f"{src}/p.csv", head, ["2026-04-02,m1,B,12,1,o2", "2026-04-03,m1,B,7,0,o2"])
+    assert I.ingest_production(spark, lake, f"{src}/p.csv") == {
+        "rows": 1, "watermark": "2026-04-03", "batch_id": "after-2026-04-02"}
+    assert read_raw_parquet(spark, lake.raw_production).count() == 3
+    assert I.load_marks(spark, lake) == {"production": "2026-04-03"}
+
+
+def test_later_file_wins_whatever_its_name(spark, lake, tmp_path):
+    landing = tmp_path / "order"
+    landing.mkdir()
+    event = json.loads(_events(1, 4, 0)[0])
+    for name, value, at in (("events-9.json", 50.0, 1_000_000), ("events-10.json", 99.0, 1_000_060)):
+        (landing / name).write_text(json.dumps({**event, "temperature_c": value}) + "\n")
+        os.utime(landing / name, (at, at))
+    ingest_telemetry(spark, lake, str(landing))
+    run_staging(spark, lake)
+    assert [r.temperature_c for r in spark.read.parquet(lake.staging("telemetry")).collect()] == [99.0]

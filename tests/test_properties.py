@@ -42,16 +42,12 @@ def test_normalize_idempotent(spark, texts):
     assert sorted(r.s for r in once.collect()) == sorted(t.lower().strip(" ") for t in texts)
 
 
-@SETTINGS
-@given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False).map(lambda x: round(x, 4)),
-                min_size=1, max_size=60), st.integers(2, 7))
-def test_exact_mean_does_not_depend_on_layout(spark, values, parts):
-    df = spark.createDataFrame([("m", v, "e", 1.0, 1.0) for v in values],
-                               "machine_id string, temperature_c double, event_id string, "
-                               "vibration_mm_s double, power_kw double")
-    a = M.machine_health_features(df).first().avg_temperature_c
-    b = M.machine_health_features(df.repartition(parts)).first().avg_temperature_c
-    assert a == b  # bit-identical, whatever the order of summation
+def test_means_are_not_cut(spark):
+    for values, mean in (((1e-9, 3e-9), 2e-9), ((1 / 3, 1 / 3), 1 / 3), ((1e12, 3e12), 2e12)):
+        df = spark.createDataFrame([("m", v, "e", 1.0, 1.0) for v in values],
+                                   "machine_id string, temperature_c double, event_id string, "
+                                   "vibration_mm_s double, power_kw double")
+        assert M.machine_health_features(df).first().avg_temperature_c == mean
 
 
 @SETTINGS
