@@ -21,6 +21,7 @@ whatever their names.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from heapq import heappop, heappush
 
 import numpy as np
@@ -83,18 +84,27 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             continue  # stale: the pair has changed since
         j = end[i]  # the part that is joined to i
         stop = end[j]
-        end[i], pair[j] = stop, -1
+        end[i], pair[j], pair[i] = stop, -1, -1
+        # the joined part makes new pairs with the next one and the one before it
         if stop < n:
             before[stop] = i
-            changed = ((i, end[stop]), (before[i], stop))
-        else:
-            pair[i] = -1
-            changed = ((before[i], stop),)
-        for k, to in changed:
-            if k < 0:
-                continue
-            pair[k] = rank = get(piece[k:to], -1)
-            if rank >= 0:
+            rank = get(piece[i:end[stop]])
+            if rank is not None:
+                pair[i] = rank
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> WORD_BITS
+                    words[word] = words.get(word, 0) | 1 << (rank & low_bits)
+                    summary |= 1 << word
+        k = before[i]
+        if k >= 0:
+            rank = get(piece[k:stop])
+            if rank is None:
+                pair[k] = -1
+            else:
+                pair[k] = rank
                 if rank in buckets:
                     heappush(buckets[rank], k)
                 else:
@@ -138,19 +148,24 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.names = {rank: str(rank) for rank in self.bytes_of}
         self.cut = regex.compile(pattern).findall
+        # whether the pattern leaves a run of letters whole, whatever their case
+        self.letter_runs = all(self.cut(run) == [run] for run in ("aBc", "Abc", "ABc", " aBc", " Abc", " ABc"))
         self.remembered = remembered
         self.after_blank, self.bare = _Known(self, " "), _Known(self, "")
 
     def encode_piece(self, lead: str, piece: str) -> bytes:
         """Ids of a piece without white space (but a ``lead`` blank), or of a whole text."""
         letters = piece.rstrip(SIGNS)
-        if letters and letters != piece and letters.isalpha() and max(letters) < LATIN_END:
-            # letters and signs are pre-tokens of their own, and each is known more often
-            return (self.after_blank if lead else self.bare)[letters] + self.bare[piece[len(letters):]]
+        if letters and letters.isalpha() and max(letters) < LATIN_END:
+            if letters != piece:
+                # letters and signs are pre-tokens of their own, and each is known more often
+                return (self.after_blank if lead else self.bare)[letters] + self.bare[piece[len(letters):]]
+            if self.letter_runs:
+                return array("i", merge((lead + piece).encode(), self.ranks)).tobytes()
         ids = []
         for token in self.cut(lead + piece):
             ids += merge(token.encode(), self.ranks)
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(encoded_parts(text, self.bare, self.after_blank)), np.int32)
