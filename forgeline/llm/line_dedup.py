@@ -9,13 +9,18 @@
    their fingerprints differ in at most 3 bits and the edit distance of the
    normalised lines is at most 20 % of the longer one.
 3. Candidates: of five blocks two at least are equal where at most three bits
-   differ, so lines are joined on each of the ten pairs of blocks.
+   differ, so fingerprints are joined on each of the ten pairs of blocks. The
+   join works on different fingerprints, packed as bytes by slots of the key
+   range (their number follows the number of fingerprints); a slot's task
+   keeps those that have a partner within three bits in their bucket, and
+   unlike lines that share a bucket by chance end there. Buckets of over
+   1,024 fingerprints are passed on whole.
 4. A bucket of n lines is not expanded to its pairs. First every member is
    compared with the bucket's first line. Components of what links so far
    leave most buckets with one component: these are done. In the others the
    members outside the largest component are compared with the members of
-   other components. No pair of lines of different components is left out,
-   so the final components are exact.
+   other components. Lines of equal fingerprint are a bucket too. No pair of
+   lines of different components is left out, so the final components are exact.
 5. Of each group the first occurrence stays: least ``doc_id``, then place.
 
 Defined cases: a null text counts as empty. Null ``doc_id`` come first.
@@ -41,6 +46,10 @@ BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.8
 SEED = 42
 SHORT_WORD = 5
+#: fingerprints in a slot of the block join, on average
+SLOT = 1 << 18
+LARGE_RUN = 1024
+BUCKET = ["pair", "bits"]
 
 
 def normalised(line: Column) -> Column:
@@ -95,14 +104,74 @@ def line_occurrences(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "line_no", F.col("line").cast("binary")).mapInArrow(run, f"doc_id {kind}, line_no int, md5 binary, fp long")
 
 
-def block_keys() -> list[Column]:
-    """A key for each pair of blocks: the pair's number and the blocks' bits."""
+def block_pairs() -> list[tuple[int, int, int, int]]:
+    """(shift, width) of both blocks of each pair of blocks."""
     ends = np.cumsum(BLOCKS)
-    cut = [F.shiftrightunsigned("fp", int(64 - end)).bitwiseAND(F.lit((1 << width) - 1)) for end, width in zip(ends, BLOCKS)]
-    keys = []
-    for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - MAX_BITS)):
-        keys.append(F.lit(n << 26) + F.shiftleft(cut[i], 13) + cut[j])
-    return keys
+    at = [(int(64 - end), width) for end, width in zip(ends, BLOCKS)]
+    return [(*at[i], *at[j]) for i, j in combinations(range(len(BLOCKS)), len(BLOCKS) - MAX_BITS)]
+
+
+def block_bits(prints: np.ndarray, pair: int) -> np.ndarray:
+    """The bits of the two blocks of pair number ``pair``, as one number."""
+    shift, width, shift2, width2 = (np.uint64(v) for v in block_pairs()[pair])
+    one = np.uint64(1)
+    first = (prints >> shift) & ((one << width) - one)
+    return (first << width2) | ((prints >> shift2) & ((one << width2) - one))
+
+
+def near_in_runs(prints: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bits, print, lead) of each print with a partner within ``MAX_BITS``
+    among those of equal ``bits``; ``lead`` is the least such print there."""
+    order = np.lexsort((prints, bits))
+    f, k = prints[order], bits[order]
+    run = np.cumsum(np.r_[False, k[1:] != k[:-1]])
+    size = np.bincount(run)
+    end = np.cumsum(size)[run]
+    hit = (size > LARGE_RUN)[run]
+    left, step = np.flatnonzero(~hit), 1
+    while True:
+        left = left[left + step < end[left]]
+        if not left.size:
+            break
+        near = left[np.bitwise_count(f[left] ^ f[left + step]) <= MAX_BITS]
+        hit[near] = hit[near + step] = True
+        step += 1
+    found = np.flatnonzero(hit)
+    _, first, of = np.unique(run[found], return_index=True, return_inverse=True)
+    return k[found], f[found], f[found[first]][of] if found.size else f[found]
+
+
+def near_prints(prints: DataFrame) -> DataFrame:
+    """pair, bits, fp, lead: the buckets (pair of blocks, their bits) of
+    ``prints`` (fp: long, all different), of the members that have a partner."""
+    pairs = len(block_pairs())
+    slots = prints.count() // SLOT + 1
+
+    def pack(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            own = b.column(0).to_numpy().view(np.uint64)
+            slot, packed = [], []
+            for pair in range(pairs):
+                at = (block_bits(own, pair) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(slots)
+                order = np.argsort(at, kind="stable")
+                ids, starts = np.unique(at[order], return_index=True)
+                slot.extend(int(i) * pairs + pair for i in ids)
+                packed.extend(part.tobytes() for part in np.split(own[order], starts[1:]) if part.size)
+            yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(packed, pa.binary())], ["slot", "packed"])
+
+    def members(table):
+        import pyarrow as pa
+
+        pair = table.column("slot")[0].as_py() % pairs
+        own = np.frombuffer(b"".join(table.column("packed").to_pylist()), np.uint64)
+        bits, f, lead = near_in_runs(own, block_bits(own, pair))
+        return pa.table({"pair": pa.array(np.full(len(f), pair), pa.int32()), "bits": bits.view(np.int64),
+                         "fp": f.view(np.int64), "lead": lead.view(np.int64)})
+
+    packed = prints.select("fp").mapInArrow(pack, "slot long, packed binary")
+    return packed.groupBy("slot").applyInArrow(members, "pair int, bits long, fp long, lead long")
 
 
 def _near(a: str, b: str) -> Column:
@@ -114,8 +183,10 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     both = both.withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(round(1 - SIMILARITY, 6))).cast("int"))
-    # -1: more than ``most``
-    return both.where("levenshtein(x, y, most) >= 0").select("a", "b")
+    # -1: more than the bound. Small bounds are tried first, as the work grows
+    # with length times bound and copies mostly differ in few places
+    bounds = ["least(8, most)", "least(64, most)", "most"]
+    return both.where(" or ".join(f"levenshtein(x, y, {bound}) >= 0" for bound in bounds)).select("a", "b")
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
@@ -127,43 +198,42 @@ def line_groups(docs: DataFrame) -> DataFrame:
     # the numbers hold once they are written
     distinct = write_shared(distinct.withColumn("id", F.monotonically_increasing_id()), "lines-distinct")
 
-    rows = distinct.select("id", "fp", F.explode(F.array(*block_keys())).alias("bucket"))
-    bucket = Window.partitionBy("bucket")
-    members = rows.select("*", F.count(F.lit(1)).over(bucket).alias("size"), F.min(F.struct("id", "fp")).over(bucket).alias("lead"),
-                          F.min("fp").over(bucket).alias("low"), F.max("fp").over(bucket).alias("high"))
-    # a bucket of two is a pair, and mostly two unlike lines
-    members = write_shared(members.where((F.col("size") > 2) | ((F.col("size") == 2) & _near("low", "high")))
-                           .select("bucket", "id", "fp", "lead"), "line-buckets")
+    prints = write_shared(distinct.groupBy("fp").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")), "line-prints")
+    equal = prints.where("n > 1").select(F.lit(-1).alias("pair"), F.col("fp").alias("bits"), "fp", F.col("fp").alias("lead"))
+    buckets = write_shared(near_prints(prints).unionByName(equal), "line-buckets")
+    heads = prints.select(F.col("fp").alias("lead"), F.col("head").alias("lead_id"))
+    members = write_shared(buckets.join(heads, "lead").join(distinct.select("id", "fp"), "fp"), "line-members")
 
     ids = members.select("id").distinct().join(distinct.select("id", "first"), "id")
-    whole = lines_of(docs, "doc_id").select(place.alias("first"), normalised(F.col("line")).alias("line"))
-    texts = write_shared(whole.join(ids, "first").select("id", "line").dropDuplicates(["id"]), "line-texts")
+    whole = lines_of(docs, "doc_id").select(place.alias("first"), "line")
+    texts = whole.join(ids, "first").dropDuplicates(["id"]).select("id", normalised(F.col("line")).alias("line"))
+    texts = write_shared(texts, "line-texts")
 
-    with_first = members.where("id <> lead.id").withColumn("lead_fp", F.col("lead.fp")).where(_near("fp", "lead_fp"))
-    links = write_shared(similar(with_first.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct(), texts), "line-links")
+    with_first = members.where("id <> lead_id").where(_near("fp", "lead"))
+    links = write_shared(similar(with_first.select(F.col("lead_id").alias("a"), F.col("id").alias("b")).distinct(), texts), "line-links")
 
     found = connected_components(links)
-    labelled = members.join(found, "id", "left").select("bucket", "id", "fp", F.coalesce("component", "id").alias("label"))
+    labelled = members.join(found, "id", "left").select(*BUCKET, "id", "fp", F.coalesce("component", "id").alias("label"))
     labelled = write_shared(labelled, "line-labels")
-    per = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("most")).where("labels > 1")
-    mixed = labelled.join(mixed.select("bucket", "most"), "bucket")
-    few = mixed.where("label <> most").select("bucket", F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("label").alias("la"))
-    all_ = mixed.select("bucket", F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("label").alias("lb"))
-    more = few.join(all_, "bucket").where((F.col("la") != F.col("lb")) & _near("fa", "fb")).select(
+    per = labelled.groupBy(*BUCKET, "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("most")).where("labels > 1")
+    mixed = labelled.join(mixed.select(*BUCKET, "most"), BUCKET)
+    few = mixed.where("label <> most").select(*BUCKET, F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("label").alias("la"))
+    all_ = mixed.select(*BUCKET, F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("label").alias("lb"))
+    more = few.join(all_, BUCKET).where((F.col("la") != F.col("lb")) & _near("fa", "fb")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = write_shared(links.unionByName(similar(more, texts)), "line-links")
 
-    groups = distinct.join(connected_components(links), "id", "left").withColumn("group", F.coalesce("component", "id"))
+    groups = distinct.join(connected_components(links), "id", "left").where("component is not null or n > 1")
+    groups = groups.withColumn("group", F.coalesce("component", "id"))
     groups = write_shared(groups.select("md5", "first", "n", "group"), "line-groups")
     firsts = groups.groupBy("group").agg(F.min("first").alias("group_first"), F.sum("n").alias("size")).where("size > 1")
     known = groups.join(firsts, "group").select("md5", "group_first")
     found = lines.join(known, "md5").select("doc_id", "line_no", F.col("group_first.doc_id").alias("first_doc"), F.col("group_first.line_no").alias("first_line"))
     # of rows with the same id and place (repeated rows) one is kept
-    place = Window.partitionBy("doc_id", "line_no").orderBy("first_doc", "first_line")
     first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
-    kept = found.where(first).withColumn("kept", F.row_number().over(place) == 1)
-    return kept.unionByName(found.where(~first).withColumn("kept", F.lit(False)))
+    place = Window.partitionBy("doc_id", "line_no").orderBy((~first).cast("int"), "first_doc", "first_line")
+    return found.withColumn("kept", first & (F.row_number().over(place) == 1))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
