@@ -21,7 +21,9 @@
    members outside the largest component are compared with the members of
    other components. Lines of equal fingerprint are a bucket too. No pair of
    lines of different components is left out, so the final components are exact.
-5. Of each group the first occurrence stays: least ``doc_id``, then place.
+5. Of each group the first occurrence stays: least ``doc_id``, then place,
+   then the MD5 of the normalised line, then the row. Rows are numbered as the
+   lines are written, so unlike texts of one ``doc_id`` (or of none) are told apart.
 
 Defined cases: a null text counts as empty. Null ``doc_id`` come first.
 Repeated rows are documents of their own: of their lines one stays. Lines are
@@ -35,7 +37,7 @@ import hashlib
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgeline.llm.components import connected_components
@@ -87,21 +89,23 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     return out
 
 
-def line_occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, md5, fp of every line that has a word."""
+def line_occurrences(docs: DataFrame, row: Column) -> DataFrame:
+    """doc_id, row, line_no, raw (hash of the line as it is), md5, fp of every
+    line that has a word; ``row`` differs from row to row of ``docs``."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            texts = b.column(2).to_pylist()
+            texts = b.column(4).to_pylist()
             if texts:
                 md5 = pa.array([hashlib.md5(t).digest() for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), md5, pa.array(simhashes(texts).view(np.int64))],
-                                                 ["doc_id", "line_no", "md5", "fp"])
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], md5, pa.array(simhashes(texts).view(np.int64))],
+                                                 ["doc_id", "row", "line_no", "raw", "md5", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = lines_of(docs, "doc_id").select("doc_id", "line_no", normalised(F.col("line")).alias("line")).where("line <> ''")
-    return rows.select("doc_id", "line_no", F.col("line").cast("binary")).mapInArrow(run, f"doc_id {kind}, line_no int, md5 binary, fp long")
+    rows = lines_of(docs, "doc_id", row.alias("row")).select("doc_id", "row", "line_no", F.xxhash64("line").alias("raw"), normalised(F.col("line")).alias("line"))
+    rows = rows.where("line <> ''").withColumn("line", F.col("line").cast("binary"))
+    return rows.mapInArrow(run, f"doc_id {kind}, row long, line_no int, raw long, md5 binary, fp long")
 
 
 def block_pairs() -> list[tuple[int, int, int, int]]:
@@ -189,11 +193,12 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(" or ".join(f"levenshtein(x, y, {bound}) >= 0" for bound in bounds)).select("a", "b")
 
 
-def line_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, first_doc, first_line, kept for every line that has a
-    copy (itself among them): its group's first occurrence and whether it is it."""
-    lines = write_shared(line_occurrences(docs), "lines")
-    place = F.struct("doc_id", "line_no")
+def line_groups(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc_id, row, line_no, first_doc, first_line, kept for every line that has
+    a copy (itself among them): its group's first occurrence and whether it is
+    it. ``row`` numbers the rows of ``docs``; by default they are numbered here."""
+    lines = write_shared(line_occurrences(docs, F.monotonically_increasing_id() if row is None else row), "lines")
+    place = F.struct("doc_id", "line_no", "md5", "row", "raw")
     distinct = lines.groupBy("md5", "fp").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     # the numbers hold once they are written
     distinct = write_shared(distinct.withColumn("id", F.monotonically_increasing_id()), "lines-distinct")
@@ -205,8 +210,10 @@ def line_groups(docs: DataFrame) -> DataFrame:
     members = write_shared(buckets.join(heads, "lead").join(distinct.select("id", "fp"), "fp"), "line-members")
 
     ids = members.select("id").distinct().join(distinct.select("id", "first"), "id")
-    whole = lines_of(docs, "doc_id").select(place.alias("first"), "line")
-    texts = whole.join(ids, "first").dropDuplicates(["id"]).select("id", normalised(F.col("line")).alias("line"))
+    # the line as it is must be the same: a place alone can be shared
+    ids = ids.select("id", F.struct("first.doc_id", "first.line_no", "first.raw").alias("at"))
+    whole = lines_of(docs, "doc_id").select(F.struct("doc_id", "line_no", F.xxhash64("line").alias("raw")).alias("at"), "line")
+    texts = whole.join(ids, "at").dropDuplicates(["id"]).select("id", normalised(F.col("line")).alias("line"))
     texts = write_shared(texts, "line-texts")
 
     with_first = members.where("id <> lead_id").where(_near("fp", "lead"))
@@ -228,12 +235,9 @@ def line_groups(docs: DataFrame) -> DataFrame:
     groups = groups.withColumn("group", F.coalesce("component", "id"))
     groups = write_shared(groups.select("md5", "first", "n", "group"), "line-groups")
     firsts = groups.groupBy("group").agg(F.min("first").alias("group_first"), F.sum("n").alias("size")).where("size > 1")
-    known = groups.join(firsts, "group").select("md5", "group_first")
-    found = lines.join(known, "md5").select("doc_id", "line_no", F.col("group_first.doc_id").alias("first_doc"), F.col("group_first.line_no").alias("first_line"))
-    # of rows with the same id and place (repeated rows) one is kept
-    first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
-    place = Window.partitionBy("doc_id", "line_no").orderBy((~first).cast("int"), "first_doc", "first_line")
-    return found.withColumn("kept", first & (F.row_number().over(place) == 1))
+    known = groups.join(firsts, "group").select("md5", F.col("group_first.doc_id").alias("first_doc"), F.col("group_first.line_no").alias("first_line"), F.col("group_first.row").alias("first_row"))
+    kept = (F.col("row") == F.col("first_row")) & (F.col("line_no") == F.col("first_line"))
+    return lines.join(known, "md5").select("doc_id", "row", "line_no", "first_doc", "first_line", kept.alias("kept"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -247,9 +251,12 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the dropped lines taken out of ``text``; ``doc_id`` must identify a row."""
-    gone = line_groups(docs).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("__places"))
-    rows = docs.join(gone.select(F.struct("doc_id").alias("__k"), "__places"), F.struct(docs["doc_id"]) == F.col("__k"), "left")
-    left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__places", i))
-    text = F.when(F.col("__places").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return rows.withColumn("text", text).select(*docs.columns)
+    """``docs`` with the dropped lines taken out of ``text``. The rows are
+    written once with their numbers, so ``doc_id`` may be null or repeated."""
+    rows = write_shared(docs.select(F.struct("*").alias("__whole"), F.monotonically_increasing_id().alias("__row")), "line-docs")
+    named = rows.select(F.col("__whole.doc_id").alias("doc_id"), F.col("__whole.text").alias("text"), "__row")
+    gone = line_groups(named, F.col("__row")).where("not kept").groupBy("row").agg(F.collect_set("line_no").alias("__places"))
+    rows = rows.join(gone, rows["__row"] == gone["row"], "left")
+    left = F.filter(F.split("__whole.text", "\n", -1), lambda line, i: ~F.array_contains("__places", i))
+    text = F.when(F.col("__places").isNull(), F.col("__whole.text")).otherwise(F.array_join(left, "\n"))
+    return rows.select(*[text.alias(c) if c == "text" else F.col("__whole")[c].alias(c) for c in docs.columns])

@@ -233,6 +233,23 @@ def test_dedup_lines_takes_them_out(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(d).collect()} == {0: "first line here\nonly once", 1: "\nlast", 2: None}
 
 
+def test_lines_of_rows_without_an_id_stay_once(spark):
+    one, two = "the quick brown foxes jumped over sleeping hounds", "unrelated sentences describe various mountain villages"
+    d = table(spark, [one, two, two, one, one + "\n" + two, two], ids=[None, None, 5, 6, 7, 7])
+    left = [line for r in line_dedup.dedup_lines(d).collect() for line in r["text"].split("\n") if line]
+    assert sorted(left) == sorted([one, two])
+    dropped = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup.line_report(d).collect()}
+    assert dropped == {None: (2, 0), 5: (1, 1), 6: (1, 1), 7: (3, 3)}
+
+
+def test_distances_are_of_the_rows_own_lines(spark):
+    # three rows of one id and place; only the last two are near
+    words = " ".join(f"ordinary{i}" for i in range(40))
+    texts = ["quite another sentence altogether", words, words + " x", "quite another sentence altogether"]
+    left = {r["text"] for r in line_dedup.dedup_lines(table(spark, texts, ids=[3, 3, 3, 3])).collect()}
+    assert len(left - {""}) == 2 and "quite another sentence altogether" in left
+
+
 # -- language model ---------------------------------------------------------------------
 
 def test_score_is_the_sum_of_conditional_log_probabilities():
