@@ -9,8 +9,12 @@ leftmost matches that don't overlap; a match that fails its check is dropped
 and not tried again at another boundary.
 Added kinds: ``login`` (user and password before the host of an address:
 ``scheme://user:password@host``) and ``account`` (an identifier after a cue
-word such as "iban" or "account": letters and digits, at least six digits;
-an IBAN must pass its check digits).
+word such as "iban" or "account", in any case mix: letters and digits, at
+least six digits). Between the two may stand signs and connector words such as
+"number" or "is", any number of them; the identifier may be written in groups
+with single blanks or hyphens between them. An IBAN has the length that its check digits
+confirm, the longest if there are several; any other identifier goes on over
+a blank as long as the groups are digits and it has 34 characters at most.
 
 Defined cases: a null text counts as empty and has no spans. Repeated rows
 each give a row; an empty table gives an empty result; extra columns are not
@@ -30,11 +34,18 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("login", "account")
 #: words after which an identifier may stand
 CUES = ("iban", "account", "acct", "ssn", "passport")
+#: words that may stand between a cue and its identifier; no cue is among them, so no text is read for two cues
+CONNECTORS = frozenset(("number", "num", "no", "nr", "is", "was", "id", "code", "the", "my", "your", "of", "for"))
+#: code points of an identifier at most (an IBAN's limit)
+LONGEST = 34
 
 _DIGITS = frozenset("0123456789")
 _ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _LABEL = _ALNUM | {"-"}
 _LOCAL = _ALNUM | set("._%+-")
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_BETWEEN = frozenset(" \t\n\r:#=.,()'\"*_\u00a0")
+_CONNECTOR_LENGTH = max(map(len, CONNECTORS))
 _PHONE = _DIGITS | set(" ().-")
 _USERINFO_END = frozenset("/?#@ \t\n\r\x0b\x0c\"'<>")
 
@@ -52,6 +63,10 @@ def iban_ok(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+#: A-Z to a-z, everything else, and so every place, as it is
+_LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
 def _run(text: str, at: int, allowed) -> int:
     n = len(text)
     while at < n and text[at] in allowed:
@@ -136,17 +151,45 @@ def grow_account(text: str, cue_start: int, after: int) -> tuple[int, int] | Non
     if (cue_start and text[cue_start - 1].isalnum()) or (after < len(text) and text[after].isalnum()):
         return None
     at = after
-    while at < len(text) and at < after + 12 and text[at] in " :#=.":
-        at += 1
+    while True:
+        at = _run(text, at, _BETWEEN)
+        end = _run(text, at, _LETTERS)
+        if end == at or end - at > _CONNECTOR_LENGTH or text[at:end].lower() not in CONNECTORS or (end < len(text) and (text[end].isalnum() or text[end] == "-")):
+            break
+        at = end
+    if text[cue_start:after].lower() == "iban":
+        return _iban(text, at)
+    end, digits = _group(text, at)
+    n = end - at
+    while digits and end + 1 < len(text) and text[end] == " ":  # groups of digits, a blank between
+        stop, more = _group(text, end + 1)
+        if not more or more != sum(c != "-" for c in text[end + 1:stop]) or (stop < len(text) and text[stop].isalnum()) or n + stop - end - 1 > LONGEST:
+            break
+        n, digits, end = n + stop - end - 1, digits + more, stop
+    return (at, end) if digits >= 6 else None
+
+
+def _group(text: str, at: int) -> tuple[int, int]:
+    """Where the letters and digits (single hyphens between) from ``at`` end; their digits."""
     end = at
-    while end < len(text) and (text[end] in _ALNUM or text[end] == "-" and end + 1 < len(text) and text[end + 1] in _ALNUM):
+    while end < len(text) and (text[end] in _ALNUM or end > at and text[end] == "-" and end + 1 < len(text) and text[end + 1] in _ALNUM):
         end += 1
-    code = text[at:end].replace("-", "")
-    if sum(c in _DIGITS for c in code) < 6:
-        return None
-    if text[cue_start:after].lower() == "iban" and not (15 <= len(code) <= 34 and code[:2].isalpha() and iban_ok(code)):
-        return None
-    return at, end
+    return end, sum(c in _DIGITS for c in text[at:end])
+
+
+def _iban(text: str, at: int) -> tuple[int, int] | None:
+    """The longest run of groups from ``at`` whose check digits hold."""
+    code, end, best = "", at, None
+    while True:
+        stop = _run(text, end, _ALNUM)
+        code += text[end:stop]
+        if stop == end or len(code) > LONGEST:
+            return best
+        if len(code) >= 15 and code[:2].isalpha() and code[2:4].isdigit() and iban_ok(code):
+            best = at, stop
+        if stop + 1 >= len(text) or text[stop] not in " -":
+            return best
+        end = stop + 1
 
 
 def automaton():
@@ -156,8 +199,7 @@ def automaton():
     for anchor in ("@", "://", "+", *_DIGITS):
         a.add_word(anchor, anchor)
     for cue in CUES:
-        for form in (cue, cue.upper(), cue.capitalize()):
-            a.add_word(form, form)
+        a.add_word(cue, cue)
     a.make_automaton()
     return a
 
@@ -166,7 +208,7 @@ def find_spans(text: str, anchors) -> list[tuple[str, int, int]]:
     """All spans, by kind as in ``KINDS``, then start."""
     found = {k: [] for k in KINDS}
     floor = dict.fromkeys(KINDS, 0)  # per kind, up to where the text was read
-    for last, word in anchors.iter(text):
+    for last, word in anchors.iter(text.translate(_LOWER)):
         at = last - len(word) + 1
         if word in _DIGITS:
             if at >= floor["ip"]:

@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -415,6 +416,25 @@ def test_pii_added_spans():
     assert [text[s:e] for k, s, e in pii.find_spans(text, anchors) if k in ("login", "account")] == ["bob:secret", "DE89370400440532013000", "123-456-78"]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("account number 12345678", "12345678"), ("Account no. 12345678.", "12345678"), ("my SSN is 123-45-6789, ok", "123-45-6789"),
+    ("passport no. X1234567", "X1234567"), ("IBAN DE89 3704 0044 0532 0130 00 and so on", "DE89 3704 0044 0532 0130 00"),
+    ("IBAN: GB82 WEST 1234 5698 7654 32", "GB82 WEST 1234 5698 7654 32"), ("iBAN no: DE89370400440532013000", "DE89370400440532013000"),
+    ("IBAN DE89 3704 0044 0532 0130 00 12 items", "DE89 3704 0044 0532 0130 00"), ("PassPort#                    X1234567", "X1234567"),
+    ("iban DE88 3704 0044 0532 0130 00", None), ("account nothing 12345678", None), ("account 1234 5678 90", "1234 5678 90"),
+    ("account 123456 in 2021", "123456"), ("the account is open since 12345678", None), ("SSN 123 45 6789", "123 45 6789"), ("account no", None)])
+def test_pii_accounts_as_they_are_written(text, want):
+    got = [text[s:e] for k, s, e in pii.find_spans(text, pii.automaton()) if k == "account"]
+    assert got == ([want] if want else [])
+
+
+def test_pii_long_runs_of_cues_are_linear():
+    anchors, start = pii.automaton(), time.process_time()
+    for text in ("account " * 60000, "iban a1 " * 60000, "account" + " " * 300000 + "1", "account 1" + "a" * 300000, "account " + "number " * 60000, "account 1 " * 60000):
+        pii.find_spans(text, anchors)
+    assert time.process_time() - start < 10
+
+
 # -- quality rules -----------------------------------------------------------------------------
 
 def brute_quality(text):
