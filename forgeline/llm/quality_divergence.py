@@ -1,17 +1,21 @@
 """Quality rules by distribution divergence.
 
 Each document has two histograms: character classes (lower-case and other
-letters, capitals, digits, white space, signs) and the common short words of
-its language with one bin for all other words. The references are the same
+letters, capitals, digits, white space, signs) and the 4,096 most frequent
+words of its language, of any length: the first 16 have a bin each, the others
+share bins by rank (17 to 32, 33 to 64 and so on), and one bin has all further
+words. The references are the same
 histograms summed over all documents of the language. A document is rejected
 where the Jensen-Shannon distance (base 2, 0 to 1) to a reference exceeds its
 limit, provided it is long enough for its histogram to mean anything and the
 reference rests on enough words; and it is rejected by the base rules of the
 contract (too few words, too many of them in repeated eight-word windows).
+The limit for words is a share of the distance that a document without any
+common word has from the reference of the language, and a fixed distance at most.
 
 Only DataFrame functions run; there is no Python in the plan. A document's
 own counts are made in its row and written once, so nothing is shuffled by
-document; only the partial counts of short words by language are, and the
+document; only the partial counts of words by language are, and the
 references, a row for each language, are joined. Texts are read twice: for
 the common words, then for the counts.
 
@@ -19,7 +23,7 @@ Defined cases: a null text has no words. ``lang`` null is a language of its
 own. Documents without a usable reference, or shorter than the guard, are
 judged by the base rules alone. Repeated rows each give a row. An empty table
 gives an empty result. Extra columns are not read, whatever their names.
-Windows are compared by a 64-bit hash of their words.
+Windows are compared by a 64-bit hash of their words, common words by 59 bits.
 """
 
 from __future__ import annotations
@@ -30,13 +34,21 @@ from pyspark.sql import functions as F
 from forgeline.llm.shared import SPACES, text_or_empty, words_of, write_shared
 
 WINDOW = 8
-COMMON_WORDS = 16
-#: code points of a common word at most: the words that mark a language are short
-COMMON_LENGTH = 5
+COMMON_WORDS = 4096
+#: most frequent words that have a bin of their own (a power of two)
+OWN_BINS = 16
+#: the bin of all words that are not common; five bits hold a bin
+OTHERS = OWN_BINS + (COMMON_WORDS // OWN_BINS).bit_length() - 1
+BIN_BITS = 5
+#: lists that the hashes of a language's common words are dealt to
+LISTS = 1024
+PARTS = 32
 MIN_WORDS = 50
 MIN_REFERENCE_WORDS = 2000
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
+#: of the distance of a document without common words
+MAX_WORD_SHARE = 0.75
 ROW = "__row"
 CLASSES = ("letter", "capital", "digit", "space", "sign")
 
@@ -58,17 +70,28 @@ def text_counts(text: Column) -> dict[str, Column]:
 
 def word_counts(text: Column, words: Column, common: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.trim(line, F.lit(SPACES)) != "")
-    short = F.filter(words, lambda w: F.length(w) <= COMMON_LENGTH)
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
     return {
         "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_dup_lines": _let(lines, lambda own: (F.size(own) - F.size(F.array_distinct(own))).cast("long")),
         "n_repeat_words": _let(window_hashes(words), repeated_words),
-        # a list without one word is shorter by the number of times that the word occurs
-        "common": _let(short, lambda own: F.transform(common, lambda w: (F.size(own) - F.size(F.array_remove(own, w))).cast("double"))),
+        # a list without one bin is shorter by the number of times that the bin occurs
+        "words": _let(F.transform(hashes, lambda h: word_bin(h, common)), lambda own: F.transform(
+            F.array(*[F.lit(i) for i in range(OTHERS + 1)]), lambda i: (F.size(own) - F.size(F.array_remove(own, i))).cast("double"))),
     }
 
 
+def _list_of(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(LISTS - 1)).cast("int")
+
+
+def word_bin(h: Column, common: Column) -> Column:
+    """The bin of the word with hash ``h``; ``common`` as in ``common_words``."""
+    found = F.filter(F.get(common, _list_of(h)), lambda x: F.shiftrightunsigned(x.bitwiseXOR(h), BIN_BITS) == 0)
+    return F.coalesce(F.get(found, F.lit(0)).bitwiseAND(F.lit((1 << BIN_BITS) - 1)).cast("int"), F.lit(OTHERS))
+
+
 def repeated_words(windows: Column) -> Column:
     """Words covered by windows that occur twice or more, from the array of
     the windows' hashes. Sorting (hash, place) brings equal ones together;
@@ -128,35 +151,41 @@ def jensen_shannon(p: Column, q: Column) -> Column:
 
 
 def common_words(docs: DataFrame, most: int = COMMON_WORDS) -> DataFrame:
-    """l (the language), common (its most frequent short words)."""
-    words = docs.select("lang", F.explode(words_of(text_or_empty())).alias("word")).where(F.length("word") <= COMMON_LENGTH)
+    """l (the language), common: ``LISTS`` lists by a part of the hash, of its
+    most frequent words' hashes with the bin in the lowest bits."""
+    words = docs.select("lang", F.explode(words_of(text_or_empty())).alias("word"))
     counted = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    rank = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= most)
-    top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("top"))  # ``most`` words
-    return top.select(F.col("lang").alias("l"), F.transform("top", lambda t: t["word"]).alias("common"))
+    # the most frequent ones of each part of a language's words, then of all: no task ranks a whole language
+    part, order = F.pmod(F.xxhash64("word"), F.lit(PARTS)), [F.desc("n"), F.col("word")]
+    top = counted.withColumn("place", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(F.col("place") <= most)
+    top = top.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)) - 1).where(F.col("place") < most)
+    # from OWN_BINS on, one bin for each number of binary digits of the place
+    shared = F.length(F.bin("place")) + (OWN_BINS - OWN_BINS.bit_length())
+    own = F.when(F.col("place") < OWN_BINS, F.col("place")).otherwise(shared)
+    code = F.xxhash64("word").bitwiseAND(F.lit(-1 << BIN_BITS)).bitwiseOR(own.cast("long"))
+    top = top.groupBy("lang").agg(F.collect_list(code).alias("top"))  # ``most`` hashes
+    lists = F.transform(F.sequence(F.lit(0), F.lit(LISTS - 1)), lambda i: F.filter("top", lambda x: _list_of(x) == i))
+    return top.select(F.col("lang").alias("l"), lists.alias("common"))
 
 
 def document_counts(docs: DataFrame, with_row: bool = False) -> DataFrame:
     """doc_id, lang, the counts of each document, ``classes`` and ``words``
-    (how often each common word occurs, then all others), written to the
-    shared folder."""
+    (how often words of each bin occur), written to the shared folder."""
     known = write_shared(common_words(docs), "common-words")
     rows = docs.select("doc_id", "lang", text_or_empty().alias("__text"), *([F.struct("*").alias(ROW)] if with_row else []))
     rows = rows.join(known, rows["lang"].eqNullSafe(known["l"]), "left")
-    text, common = F.col("__text"), F.coalesce("common", F.array().cast("array<string>"))
+    text, common = F.col("__text"), F.col("common")
     by_word = _let(words_of(text), lambda words: F.struct(*[c.alias(k) for k, c in word_counts(text, words, common).items()]))
     counts = F.struct(by_word.alias("w"), *[c.alias(k) for k, c in text_counts(text).items()])
     rows = rows.withColumn("c", _once(counts)).select("doc_id", "lang", "c.*", *([ROW] if with_row else [])).select("*", "w.*").drop("w")
     letter = F.col("word_chars") - F.col("capital") - F.col("digit") - F.col("sign")
     classes = [letter, F.col("capital"), F.col("digit"), F.col("n_chars") - F.col("word_chars"), F.col("sign")]
-    others = F.greatest(F.lit(0.0), F.col("n_words") - F.aggregate("common", F.lit(0.0), lambda a, x: a + x))
-    rows = rows.withColumns({"classes": F.array(*[c.cast("double") for c in classes]), "words": F.concat("common", F.array(others))})
+    rows = rows.withColumn("classes", F.array(*[c.cast("double") for c in classes]))
     return write_shared(rows, "quality-counts")
 
 
 def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_class_distance: float = MAX_CLASS_DISTANCE,
-            max_word_distance: float = MAX_WORD_DISTANCE, min_reference_words: int = MIN_REFERENCE_WORDS, with_row: bool = False) -> DataFrame:
+            max_word_distance: float = MAX_WORD_DISTANCE, max_word_share: float = MAX_WORD_SHARE, min_reference_words: int = MIN_REFERENCE_WORDS, with_row: bool = False) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     class_distance, word_distance, base_failed, kept; with the whole row of
     ``docs`` as a struct if ``with_row``."""
@@ -164,21 +193,23 @@ def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_class_distance: flo
     sums = rows.groupBy("lang").agg(
         F.sum("n_words").alias("total"),
         F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]).alias("classes"),
-        F.array(*[F.sum(F.get("words", F.lit(i))) for i in range(COMMON_WORDS + 1)]).alias("words"))
+        F.array(*[F.sum(F.get("words", F.lit(i))) for i in range(OTHERS + 1)]).alias("words"))
     refs = sums.where(F.col("total") >= min_reference_words).select(
         F.col("lang").alias("l"), _share(F.col("classes")).alias("ref_classes"),
-        _share(F.filter("words", lambda n: n.isNotNull())).alias("ref_words"))
+        _share(F.col("words")).alias("ref_words"))
+    without = F.array(*[F.lit(0.0)] * OTHERS, F.lit(1.0))
+    refs = refs.withColumn("max_word_distance", F.least(F.lit(max_word_distance), max_word_share * jensen_shannon(without, F.col("ref_words"))))
     rows = rows.join(refs, rows["lang"].eqNullSafe(refs["l"]), "left")
     n, known = F.col("n_words"), F.col("ref_classes").isNotNull()
     distances = F.struct(F.when(known, jensen_shannon(_share(F.col("classes")), F.col("ref_classes"))).alias("class_distance"),
                          F.when(known, jensen_shannon(_share(F.col("words")), F.col("ref_words"))).alias("word_distance"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     rows = rows.withColumn("d", _once(distances)).select(
-        "doc_id", *names, "d.class_distance", "d.word_distance",
+        "doc_id", *names, "d.class_distance", "d.word_distance", "max_word_distance",
         ((n < 20) | (F.col("n_repeat_words") * 100 > n * 30)).alias("base_failed"), *([ROW] if with_row else []))
     diverges = (F.col("n_words") >= min_words) & (
-        (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance) | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance))
-    return rows.withColumn("kept", ~F.col("base_failed") & ~diverges)
+        (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance) | F.coalesce(F.col("word_distance") > F.col("max_word_distance"), F.lit(False)))
+    return rows.withColumn("kept", ~F.col("base_failed") & ~diverges).drop("max_word_distance")
 
 
 def keep_good(docs: DataFrame, **params) -> DataFrame:

@@ -471,6 +471,21 @@ def test_quality_divergence(spark):
     assert js == pytest.approx(0.5 ** 0.5)
 
 
+def test_quality_rejects_other_languages_and_word_salad(spark):
+    docs = spark.read.parquet(SF + "/../sf0.01/documents.parquet")  # references of over 4,096 words
+    rows = [r for r in docs.collect() if r["lang"] in ("de", "en") and len(WORDS.findall(r["text"] or "")) >= 60]
+    good = {r["doc_id"] for r in quality_divergence.quality(docs).where("kept").collect()}
+    german, english = ([r["text"] for r in rows if r["lang"] == lang and r["doc_id"] in good] for lang in ("de", "en"))
+    rng = random.Random(10)
+    salad = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(200)) for _ in range(10)]
+    # few and short ones: what makes up some percent of a reference shapes it
+    wrong = [t for t in german if len(WORDS.findall(t)) < 250 and not {"the", "of", "and"} & set(WORDS.findall(t.lower()))][:4] + salad
+    got = {r["doc_id"]: r for r in quality_divergence.quality(table(spark, english + wrong)).collect()}
+    assert len(german) >= 5 and len(english) >= 30
+    assert not any(got[len(english) + i]["kept"] for i in range(len(wrong)))
+    assert sum(got[i]["kept"] for i in range(len(english))) >= 0.95 * len(english)
+
+
 # -- pipeline -----------------------------------------------------------------------------------
 
 def test_pipeline(spark, docs, texts):
