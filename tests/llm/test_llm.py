@@ -284,6 +284,30 @@ def test_both_sides_are_learnt(spark):
     assert np.mean(means[:20]) > -np.log(19)  # better than guessing among the words that occur
 
 
+def test_rare_words_have_a_probability_of_their_own(spark):
+    rng = random.Random(11)
+    many = [f"w{i}" for i in range(3000)]
+    docs = table(spark, [" ".join(many), " ".join(many), "seldom " * 40 + " ".join(rng.sample(many, 200))] + ["often " * 50])
+    words = pseudo_likelihood.vocabulary(docs, classes=16)
+    # one shared id: its words' probabilities are shares of it, and sum to it with that of unseen words
+    rare = [w for w in many if w.encode() not in words.ids]
+    net = pseudo_likelihood.Network(classes=16)
+    slot = {w: int(words.encode(w.encode())[0]) for w in rare}
+    one = [w for w in rare if slot[w] == slot[rare[0]]]
+    log = {r["doc_id"]: r["log_probability"] for r in pseudo_likelihood.score(table(spark, one), words, net.weights).collect()}
+    of_id = pseudo_likelihood.score_texts(net, [words.encode(rare[0].encode())])[0]
+    n = Counter(w for r in docs.collect() for w in r["text"].split())
+    total = sum(n[w] for w in one)
+    assert words.totals[slot[rare[0]] - words.first_hashed] == total
+    assert [log[i] for i in range(len(one))] == pytest.approx([of_id + np.log(n[w] / (total + 1)) for w in one], abs=2e-3)
+    assert len({log[i] for i in range(len(one))}) == len({n[w] for w in one})
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    sizes = [pseudo_likelihood.vocabulary(table(spark, [" ".join(f"w{i}" for i in range(n))])).size for n in (1000, 90_000, 400_000)]
+    assert sizes[0] == 1024 and sizes[0] < sizes[1] < sizes[2] and sizes[2] >= 4 * 400_000 ** 0.5
+
+
 # -- mixing ------------------------------------------------------------------------------
 
 def test_targets_share_the_excess(spark):
