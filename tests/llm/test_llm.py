@@ -284,6 +284,30 @@ def test_both_sides_are_learnt(spark):
     assert np.mean(means[:20]) > -np.log(19)  # better than guessing among the words that occur
 
 
+def test_every_place_is_learnt_whatever_the_partitions(spark):
+    rng = random.Random(12)
+
+    def sentence(n):
+        out = []
+        for _ in range(n):
+            a, c = rng.randrange(6), rng.randrange(6)
+            out += [f"left{a}", f"mid{(a + c) % 6}", f"right{c}", "."]
+        return " ".join(out)
+
+    d = table(spark, [sentence(150) for _ in range(120)])
+    words, one = pseudo_likelihood.train(d.coalesce(1), classes=16, shard_words=20000)
+    assert words.total == 120 * 600
+    many = pseudo_likelihood.train(d.repartition(7), classes=16, shard_words=20000)[1]
+    assert np.array_equal(one, many)
+    turns = pseudo_likelihood._passes(1000, 5, 0.2)
+    assert sorted(set(turns)) == [0, 1, 2, 3, 4]
+    assert pseudo_likelihood.plan_shards(1 << 20) == (2, 1) and pseudo_likelihood.plan_shards(100 << 20) == (10, 10)
+    held = [sentence(30) for _ in range(20)]
+    shuffled = [" ".join(rng.sample(t.split(), len(t.split()))) for t in held]
+    means = [r["mean_log_probability"] for r in pseudo_likelihood.score(table(spark, held + shuffled), words, one).orderBy("doc_id").collect()]
+    assert min(means[:20]) > max(means[20:])
+
+
 def test_rare_words_have_a_probability_of_their_own(spark):
     rng = random.Random(11)
     many = [f"w{i}" for i in range(3000)]
