@@ -31,8 +31,10 @@ Skew: a stretch that holds copies by the million is one row for each slice,
 whatever its number of copies. An anchor that many unlike stretches share
 (a frequent word pair) is told from the candidates' counts: over
 ``heavy`` slices, its strings are dealt out one by one, by their own hash.
-A document longer than a slice is a slice of its own. Long texts are
-hashed a megabyte at a time, whole.
+A document longer than a slice is a slice of its own, hashed a block at a
+time. ``slice_bytes`` and ``block_bytes`` (text whose anchors meet in one task) set
+the memory of a task; the number of packed blocks is (text / slice) x (text / block),
+so both should grow with the memory that a task has.
 
 Defined cases: a null text counts as empty. Null ``doc_id`` come after all
 others; rows with one ``doc_id`` do not remove from each other. Documents
@@ -56,8 +58,8 @@ from forgeline.llm.shared import open_shared, shared_path, text_or_empty, write_
 LENGTH = 50
 GRAM = 16
 SHALLOW = 24
-SLICE_BYTES = 8 << 20
-BLOCK = 1 << 20
+SLICE_BYTES = 4 << 20
+BLOCK = 1 << 18
 LAST = (1 << 63) - 1
 HASH_BYTES = 6  # of an anchor's 64 bits, the leading ones are sent
 _ODD = 0x9E3779B97F4A7C15
@@ -233,13 +235,17 @@ def anchors_of(text: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram:
 
 # -- slices ----------------------------------------------------------------------------
 
+def slice_name(number: int) -> str:
+    return f"slice-{number:016x}.arrow"
+
+
 class Slice:
     """The documents of one packed file."""
 
-    def __init__(self, path: str):
+    def __init__(self, folder: str, number: int):
         import pyarrow as pa
 
-        fs, at = open_shared(path)
+        fs, at = open_shared(f"{folder}/{slice_name(number)}")
         with fs.open_input_file(at) as f:
             rows = pa.ipc.open_file(pa.py_buffer(f.read())).read_all().combine_chunks()
         self.doc_id = rows.column("doc_id").combine_chunks()
@@ -271,14 +277,15 @@ def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFr
 
         def write():
             nonlocal held, size, number
-            name = f"slice-{task.partitionId():06d}-{number:06d}.arrow"
+            own = (task.partitionId() << 32) + number
+            name = slice_name(own)
             attempt = f"{base}/_attempt-{task.taskAttemptId()}-{name}"
             table = pa.Table.from_batches(held).cast(schema).combine_chunks()
             with fs.open_output_stream(attempt, compression=None) as out, \
                     pa.ipc.new_file(out, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_table(table)
             fs.move(attempt, f"{base}/{name}")
-            row = pa.RecordBatch.from_pydict({"slice": [f"{folder}/{name}"], "docs": [table.num_rows], "bytes": [size]})
+            row = pa.RecordBatch.from_pydict({"slice": [own], "docs": [table.num_rows], "bytes": [size]})
             held, size, number = [], 0, number + 1
             return row
 
@@ -297,7 +304,7 @@ def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFr
             yield write()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "slice string, docs long, bytes long")
+    return rows.mapInArrow(run, "slice long, docs long, bytes long")
 
 
 def _cut(h: np.ndarray) -> bytes:
@@ -314,15 +321,15 @@ def _uncut(data: bytes) -> np.ndarray:
 _LOW = np.uint64((1 << (64 - 8 * HASH_BYTES)) - 1)
 
 
-def anchor_blocks(slices: DataFrame, bits: int, gram: int, length: int) -> DataFrame:
+def anchor_blocks(slices: DataFrame, folder: str, bits: int, gram: int, length: int) -> DataFrame:
     """(block, slice, hashes, twice): the different anchors of each slice by
     their leading ``bits``; ``twice``: which ones stand in two documents."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            for path in b.column(0).to_pylist():
-                s = Slice(path)
+            for number in b.column(0).to_pylist():
+                s = Slice(folder, number)
                 h, _, _, _, doc = s.runs(gram, length)
                 h = h & ~_LOW
                 order = np.lexsort((s.rank[doc], h))
@@ -335,12 +342,12 @@ def anchor_blocks(slices: DataFrame, bits: int, gram: int, length: int) -> DataF
                 cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(h) else np.zeros(0, np.int64)
                 stop = np.append(cut[1:], len(h))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(block[cut]), pa.array([path] * len(cut), pa.string()),
+                    pa.array(block[cut]), pa.array([number] * len(cut), pa.int64()),
                     pa.array([_cut(h[i:j]) for i, j in zip(cut, stop)], pa.binary()),
                     pa.array([np.packbits(twice[i:j]).tobytes() for i, j in zip(cut, stop)], pa.binary())],
                     ["block", "slice", "hashes", "twice"])
 
-    return slices.mapInArrow(run, "block long, slice string, hashes binary, twice binary")
+    return slices.mapInArrow(run, "block long, slice long, hashes binary, twice binary")
 
 
 def candidates(blocks: DataFrame, heavy: int) -> DataFrame:
@@ -364,13 +371,13 @@ def candidates(blocks: DataFrame, heavy: int) -> DataFrame:
         cut = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
         stop = np.append(cut[1:], len(of))
         return pa.Table.from_arrays([
-            pa.array([names[of[i]] for i in cut], pa.string()), pa.array([_cut(h[i:j]) for i, j in zip(cut, stop)], pa.binary()),
+            pa.array([names[of[i]] for i in cut], pa.int64()), pa.array([_cut(h[i:j]) for i, j in zip(cut, stop)], pa.binary()),
             pa.array([np.packbits(many[i:j]).tobytes() for i, j in zip(cut, stop)], pa.binary())], ["slice", "hashes", "many"])
 
-    return blocks.groupBy("block").applyInArrow(run, "slice string, hashes binary, many binary")
+    return blocks.groupBy("block").applyInArrow(run, "slice long, hashes binary, many binary")
 
 
-STRETCHES = "deal long, reach int, stretch binary, least long, slice string, number int"
+STRETCHES = "deal long, reach int, stretch binary, least long, slice long, number int"
 
 
 class Stretches:
@@ -420,14 +427,14 @@ def _listed(table) -> tuple[np.ndarray, np.ndarray]:
     return h[order], m[order]
 
 
-def stretches(found: DataFrame, gram: int, length: int) -> DataFrame:
+def stretches(found: DataFrame, folder: str, gram: int, length: int) -> DataFrame:
     """The stretches of each slice's candidates."""
     def run(table):
         import pyarrow as pa
         import xxhash
 
-        path = table.column("slice")[0].as_py()
-        own = Stretches(Slice(path), *_listed(table), gram, length)
+        number = table.column("slice")[0].as_py()
+        own = Stretches(Slice(folder, number), *_listed(table), gram, length)
         deal, reach, bytes_ = [], [], []
         for a, off, alone, text in own.known:
             d = xxhash.xxh64_intdigest(text, off) if alone else a
@@ -436,7 +443,7 @@ def stretches(found: DataFrame, gram: int, length: int) -> DataFrame:
             bytes_.append(text)
         return pa.Table.from_arrays([
             pa.array(deal, pa.int64()), pa.array(reach, pa.int32()), pa.array(bytes_, pa.binary()), pa.array(own.least, pa.int64()),
-            pa.array([path] * len(deal), pa.string()), pa.array(range(len(deal)), pa.int32())], [f.split()[0] for f in STRETCHES.split(", ")])
+            pa.array([number] * len(deal), pa.int64()), pa.array(range(len(deal)), pa.int32())], [f.split()[0] for f in STRETCHES.split(", ")])
 
     return found.groupBy("slice").applyInArrow(run, STRETCHES)
 
@@ -512,7 +519,7 @@ def sort_suffixes(dealt: DataFrame, length: int, batch_bytes: int = 2 << 20) ->
             yield done(pa.Table.from_batches(held))
 
     rows = dealt.repartition("deal").sortWithinPartitions("deal")
-    return rows.mapInArrow(run, "slice string, number int, marks long, least long")
+    return rows.mapInArrow(run, "slice long, number int, marks long, least long")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -540,12 +547,12 @@ def _covered(s: Slice, table, gram: int, length: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def cut_slices(replies: DataFrame, gram: int, length: int, with_bytes: bool) -> DataFrame:
+def cut_slices(replies: DataFrame, folder: str, gram: int, length: int, with_bytes: bool) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept: what is left (null without ``with_bytes``)."""
     def run(table):
         import pyarrow as pa
 
-        s = Slice(table.column("slice")[0].as_py())
+        s = Slice(folder, table.column("slice")[0].as_py())
         gone = _covered(s, table, gram, length)
         out = []
         for i, doc_id in enumerate(s.doc_id.to_pylist()):
@@ -563,24 +570,25 @@ def cut_slices(replies: DataFrame, gram: int, length: int, with_bytes: bool) ->
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slice_bytes: int = SLICE_BYTES,
-                   block_bytes: int = 64 << 20, heavy: int = 4096, with_bytes: bool = True) -> DataFrame:
+                   block_bytes: int = 16 << 20, heavy: int = 4096, with_bytes: bool = True) -> DataFrame:
     """One row for each document: doc_id, n_bytes, n_removed, n_spans,
     kept_sha256 and ``kept``, the bytes that are left. ``gram`` is a power of two, ``length - gram`` at most 62."""
     spark = docs.sparkSession
-    slices = write_shared(pack(docs, shared_path(spark, "slices"), slice_bytes), "slice-list")
+    folder = shared_path(spark, "slices")
+    slices = write_shared(pack(docs, folder, slice_bytes), "slice-list")
     count, total = slices.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     if not count:
         return spark.createDataFrame([], RESULT + ", kept binary")
-    # the blocks of a range of hashes meet in one task: some tens of megabytes of them
+    # the blocks of a range of hashes meet in one task, some megabytes of them
     bits = max(0, (-(-total // block_bytes) - 1).bit_length())
     spread = slices.select("slice").repartition(int(count))
-    found = write_shared(candidates(anchor_blocks(spread, bits, gram, length), heavy), "anchors")
-    sorted_ = sort_suffixes(stretches(found.repartition(int(count), "slice"), gram, length), length).where("marks <> 0")
+    found = write_shared(candidates(anchor_blocks(spread, folder, bits, gram, length), heavy), "anchors")
+    sorted_ = sort_suffixes(stretches(found.repartition(int(count), "slice"), folder, gram, length), length).where("marks <> 0")
     replies = sorted_.groupBy("slice", F.spark_partition_id().alias("task")).agg(
         F.collect_list(F.struct("number", "marks", "least")).alias("c"))
     replies = replies.select("slice", F.col("c.number").alias("numbers"), F.col("c.marks").alias("marks"), F.col("c.least").alias("leasts"))
     every = slices.select("slice").unionByName(found, allowMissingColumns=True).unionByName(replies, allowMissingColumns=True)
-    return cut_slices(every.repartition(int(count), "slice"), gram, length, with_bytes)
+    return cut_slices(every.repartition(int(count), "slice"), folder, gram, length, with_bytes)
 
 
 def repeat_report(docs: DataFrame, **params) -> DataFrame:
