@@ -27,8 +27,8 @@ that can match are brought together and sorted:
    class's least one are marked.
 6. Marks go back to the slices, which cover and cut the bytes.
 
-Skew: a stretch that holds copies by the million is one row for each slice,
-whatever its number of copies. An anchor that many unlike stretches share
+Skew: a group of copies of a document is sorted once. A passage that stands in
+millions of documents is one row for each slice, whatever their number. An anchor that many unlike stretches share
 (a frequent word pair) is told from the candidates' counts: over
 ``heavy`` slices, its strings are dealt out one by one, by their own hash.
 A document longer than a slice is a slice of its own, hashed a block at a
@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from forgeline.llm.shared import open_shared, shared_path, text_or_empty, write_shared
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 SHALLOW = 24
 SLICE_BYTES = 4 << 20
 BLOCK = 1 << 18
@@ -190,12 +190,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(text: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """64-bit hash of the ``gram`` bytes (a power of two) at every place."""
+    """64-bit hash of the ``gram`` bytes at every place."""
     h, n = text.astype(np.uint64) + np.uint64(1), 1
-    while n < gram:
+    out, done, places = None, 0, len(text) - gram + 1
+    while True:  # a polynomial over the bytes, from pieces of doubling lengths
+        if gram & n:
+            own = h[done:done + places]
+            out = own.copy() if out is None else out * np.uint64(pow(_ODD, n, 1 << 64)) + own
+            done += n
+        if done == gram:
+            return _mixed(out)
         h = h[:-n] * np.uint64(pow(_ODD, n, 1 << 64)) + h[n:]
         n *= 2
-    return _mixed(h)
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -255,15 +261,21 @@ class Slice:
         self.starts = self.starts - self.starts[0]
         self.rank = self.doc_id.fill_null(LAST).to_numpy()
 
-    def runs(self, gram: int, length: int):
-        """Anchors with the rank (``doc_id``) of their documents."""
+    def runs(self, gram: int, length: int, copies: np.ndarray):
+        """Anchors with their document; none of the later ``copies``."""
         h, anchor, first, last = anchors_of(self.text, self.starts, length, gram)
         doc = np.searchsorted(self.starts, first, "right") - 1
+        if len(copies):
+            copy = np.zeros(len(self.rank), bool)
+            copy[copies] = True
+            keep = ~copy[doc]
+            return h[keep], anchor[keep], first[keep], last[keep], doc[keep]
         return h, anchor, first, last, doc
 
 
 def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """Write the documents in slices below ``folder``; returns (slice, docs, bytes) of each."""
+    """Write the documents in slices below ``folder``; returns (slice, bytes,
+    digests, ranks) of each, packed in the documents' order."""
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -285,7 +297,9 @@ def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFr
                     pa.ipc.new_file(out, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_table(table)
             fs.move(attempt, f"{base}/{name}")
-            row = pa.RecordBatch.from_pydict({"slice": [own], "docs": [table.num_rows], "bytes": [size]})
+            digests = b"".join(hashlib.sha256(memoryview(t.as_buffer())).digest() for t in table.column("text"))
+            ranks = table.column("doc_id").combine_chunks().fill_null(LAST).to_numpy().tobytes()
+            row = pa.RecordBatch.from_pydict({"slice": [own], "bytes": [size], "digests": [digests], "ranks": [ranks]})
             held, size, number = [], 0, number + 1
             return row
 
@@ -304,7 +318,31 @@ def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFr
             yield write()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "slice long, docs long, bytes long")
+    return rows.mapInArrow(run, "slice long, bytes long, digests binary, ranks binary")
+
+
+def later_copies(slices: DataFrame) -> DataFrame:
+    """(slice, copies): the numbers of the documents in each slice that equal,
+    as a whole, one with a smaller ``doc_id``."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for number, digests, ranks in zip(*(c.to_pylist() for c in b.columns)):
+                rank = np.frombuffer(ranks, np.int64)
+                own = pa.array([digests[i * 32:i * 32 + 32] for i in range(len(rank))], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(rank), pa.int64()), pa.array(np.arange(len(rank), dtype=np.int32)), own,
+                                                  pa.array(rank)], ["slice", "number", "digest", "rank"])
+
+    docs = slices.select("slice", "digests", "ranks").mapInArrow(run, "slice long, number int, digest binary, rank long")
+    least = docs.groupBy("digest").agg(F.min("rank").alias("least"), F.max("rank").alias("most")).where("most > least").drop("most")
+    late = docs.join(least, "digest").where("rank > least")
+    return late.groupBy("slice").agg(F.collect_list("number").alias("copies"))
+
+
+def _copies(table) -> np.ndarray:
+    """The numbers of the later copies in a slice's rows."""
+    return np.array([n for c in table.column("copies").to_pylist() if c is not None for n in c], np.int64)
 
 
 def _cut(h: np.ndarray) -> bytes:
@@ -328,9 +366,9 @@ def anchor_blocks(slices: DataFrame, folder: str, bits: int, gram: int, length:
         import pyarrow as pa
 
         for b in batches:
-            for number in b.column(0).to_pylist():
+            for number, copies in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = Slice(folder, number)
-                h, _, _, _, doc = s.runs(gram, length)
+                h, _, _, _, doc = s.runs(gram, length, np.array(copies or [], np.int64))
                 h = h & ~_LOW
                 order = np.lexsort((s.rank[doc], h))
                 h, rank = h[order], s.rank[doc][order]
@@ -384,8 +422,8 @@ class Stretches:
     """The candidate runs of a slice: equal stretches once, in a fixed order,
     so that they have the same numbers whenever they are listed."""
 
-    def __init__(self, s: Slice, hashes: np.ndarray, many: np.ndarray, gram: int, length: int):
-        h, anchor, first, last, doc = s.runs(gram, length)
+    def __init__(self, s: Slice, hashes: np.ndarray, many: np.ndarray, copies: np.ndarray, gram: int, length: int):
+        h, anchor, first, last, doc = s.runs(gram, length, copies)
         place = np.searchsorted(hashes, h & ~_LOW).clip(0, max(0, len(hashes) - 1))
         hit = hashes[place] == (h & ~_LOW) if len(hashes) else np.zeros(len(h), bool)
         h, anchor, first, last, doc = h[hit], anchor[hit], first[hit], last[hit], doc[hit]
@@ -434,7 +472,7 @@ def stretches(found: DataFrame, folder: str, gram: int, length: int) -> DataFram
         import xxhash
 
         number = table.column("slice")[0].as_py()
-        own = Stretches(Slice(folder, number), *_listed(table), gram, length)
+        own = Stretches(Slice(folder, number), *_listed(table), _copies(table), gram, length)
         deal, reach, bytes_ = [], [], []
         for a, off, alone, text in own.known:
             d = xxhash.xxh64_intdigest(text, off) if alone else a
@@ -529,8 +567,13 @@ def _covered(s: Slice, table, gram: int, length: int) -> np.ndarray:
     """Which bytes of the slice go."""
     step = np.zeros(len(s.text) + 1, np.int32)
     hashes, many = _listed(table)
+    copies = _copies(table)
+    sizes = np.diff(s.starts)
+    for i in copies[sizes[copies] >= length].tolist():  # wholly in a document with a smaller id
+        step[s.starts[i]] += 1
+        step[s.starts[i + 1]] -= 1
     if len(hashes):
-        own = Stretches(s, hashes, many, gram, length)
+        own = Stretches(s, hashes, many, copies, gram, length)
         marks = np.zeros(len(own.known), np.int64)
         least = np.array(own.least, np.int64)
         for c in table.select(["numbers", "marks", "leasts"]).to_pylist():
@@ -572,23 +615,25 @@ def cut_slices(replies: DataFrame, folder: str, gram: int, length: int, with_byt
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slice_bytes: int = SLICE_BYTES,
                    block_bytes: int = 16 << 20, heavy: int = 4096, with_bytes: bool = True) -> DataFrame:
     """One row for each document: doc_id, n_bytes, n_removed, n_spans,
-    kept_sha256 and ``kept``, the bytes that are left. ``gram`` is a power of two, ``length - gram`` at most 62."""
+    kept_sha256 and ``kept``, the bytes that are left. ``length - gram`` is 62 at most."""
     spark = docs.sparkSession
     folder = shared_path(spark, "slices")
     slices = write_shared(pack(docs, folder, slice_bytes), "slice-list")
     count, total = slices.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     if not count:
         return spark.createDataFrame([], RESULT + ", kept binary")
+    tasks = int(count)  # a slice each, whatever the size of the rows that tell of it
+    slices = write_shared(slices.select("slice").join(later_copies(slices), "slice", "left"), "slice-copies")
     # the blocks of a range of hashes meet in one task, some megabytes of them
     bits = max(0, (-(-total // block_bytes) - 1).bit_length())
-    spread = slices.select("slice").repartition(int(count))
-    found = write_shared(candidates(anchor_blocks(spread, folder, bits, gram, length), heavy), "anchors")
-    sorted_ = sort_suffixes(stretches(found.repartition(int(count), "slice"), folder, gram, length), length).where("marks <> 0")
+    found = write_shared(candidates(anchor_blocks(slices.repartition(tasks), folder, bits, gram, length), heavy), "anchors")
+    listed = found.unionByName(slices, allowMissingColumns=True).repartition(tasks, "slice")
+    sorted_ = sort_suffixes(stretches(listed, folder, gram, length), length).where("marks <> 0")
     replies = sorted_.groupBy("slice", F.spark_partition_id().alias("task")).agg(
         F.collect_list(F.struct("number", "marks", "least")).alias("c"))
     replies = replies.select("slice", F.col("c.number").alias("numbers"), F.col("c.marks").alias("marks"), F.col("c.least").alias("leasts"))
-    every = slices.select("slice").unionByName(found, allowMissingColumns=True).unionByName(replies, allowMissingColumns=True)
-    return cut_slices(every.repartition(int(count), "slice"), folder, gram, length, with_bytes)
+    every = slices.unionByName(found, allowMissingColumns=True).unionByName(replies, allowMissingColumns=True)
+    return cut_slices(every.repartition(tasks, "slice"), folder, gram, length, with_bytes)
 
 
 def repeat_report(docs: DataFrame, **params) -> DataFrame:
