@@ -232,7 +232,8 @@ def anchors_of(text: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram:
         first = fits & np.concatenate(([True], (where[1:] != where[:-1]) | ~fits[:-1]))
         last = fits & np.concatenate(((where[1:] != where[:-1]) | ~fits[1:], [True]))
         f, e = np.flatnonzero(first), np.flatnonzero(last)
-        out.append((h[where[f]], at + where[f], at + f, at + e))
+        # least hashes are small ones: mixed once more, they spread over all ranges
+        out.append((_mixed(h[where[f]] + np.uint64(_ODD)), at + where[f], at + f, at + e))
     if not out:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
