@@ -29,8 +29,8 @@ that can match are brought together and sorted:
 
 Skew: a group of copies of a document is sorted once. A passage that stands in
 millions of documents is one row for each slice, whatever their number. An anchor that many unlike stretches share
-(a frequent word pair) is told from the candidates' counts: over
-``heavy`` slices, its strings are dealt out one by one, by their own hash.
+(a frequent word pair) is told from the slices' counts of unlike stretches: over
+``heavy`` of them, its strings are dealt out one by one, by their own hash.
 A document longer than a slice is a slice of its own, hashed a block at a
 time. ``slice_bytes`` and ``block_bytes`` (text whose anchors meet in one task) set
 the memory of a task; the number of packed blocks is (text / slice) x (text / block),
@@ -213,10 +213,11 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors_of(text: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM,
-               block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, anchor, first, last) of the runs of places whose strings have
-    one anchor; ``starts`` are the documents' first places and the end of the
-    last one. No string crosses documents."""
+               block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, anchor, first, last, ends) of the runs of places whose strings
+    have one anchor; ``ends`` is a hash of the first and last grams of
+    the run's stretch. ``starts`` are the documents' first places and the end
+    of the last one. No string crosses documents."""
     out = []
     doc_of_end = starts[1:]
     for at in range(0, max(0, len(text) - length + 1), block):
@@ -233,10 +234,11 @@ def anchors_of(text: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram:
         last = fits & np.concatenate(((where[1:] != where[:-1]) | ~fits[1:], [True]))
         f, e = np.flatnonzero(first), np.flatnonzero(last)
         # least hashes are small ones: mixed once more, they spread over all ranges
-        out.append((_mixed(h[where[f]] + np.uint64(_ODD)), at + where[f], at + f, at + e))
+        out.append((_mixed(h[where[f]] + np.uint64(_ODD)), at + where[f], at + f, at + e,
+                    h[f] * np.uint64(_ODD) + h[e + length - gram]))
     if not out:
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -264,14 +266,14 @@ class Slice:
 
     def runs(self, gram: int, length: int, copies: np.ndarray):
         """Anchors with their document; none of the later ``copies``."""
-        h, anchor, first, last = anchors_of(self.text, self.starts, length, gram)
+        h, anchor, first, last, ends = anchors_of(self.text, self.starts, length, gram)
         doc = np.searchsorted(self.starts, first, "right") - 1
         if len(copies):
             copy = np.zeros(len(self.rank), bool)
             copy[copies] = True
             keep = ~copy[doc]
-            return h[keep], anchor[keep], first[keep], last[keep], doc[keep]
-        return h, anchor, first, last, doc
+            return h[keep], anchor[keep], first[keep], last[keep], ends[keep], doc[keep]
+        return h, anchor, first, last, ends, doc
 
 
 def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -361,50 +363,54 @@ _LOW = np.uint64((1 << (64 - 8 * HASH_BYTES)) - 1)
 
 
 def anchor_blocks(slices: DataFrame, folder: str, bits: int, gram: int, length: int) -> DataFrame:
-    """(block, slice, hashes, twice): the different anchors of each slice by
-    their leading ``bits``; ``twice``: which ones stand in two documents."""
+    """(block, slice, hashes, twice, unlike): the different anchors of each
+    slice by their leading ``bits``; ``twice``: which ones stand in two
+    documents; ``unlike``: how many unlike stretches have it, 255 at most."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             for number, copies in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = Slice(folder, number)
-                h, _, _, _, doc = s.runs(gram, length, np.array(copies or [], np.int64))
+                h, _, _, _, ends, doc = s.runs(gram, length, np.array(copies or [], np.int64))
+                if not len(h):
+                    continue
                 h = h & ~_LOW
-                order = np.lexsort((s.rank[doc], h))
-                h, rank = h[order], s.rank[doc][order]
-                first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
-                end = np.append(first[1:], len(h))
-                twice = rank[first] != rank[end - 1] if len(h) else np.zeros(0, bool)
-                h = h[first]
+                order = np.lexsort((ends, h))
+                h, ends, rank = h[order], ends[order], s.rank[doc][order]
+                other = np.concatenate(([True], h[1:] != h[:-1]))
+                first = np.flatnonzero(other)
+                twice = np.minimum.reduceat(rank, first) < np.maximum.reduceat(rank, first)
+                unlike = np.add.reduceat((other | np.concatenate(([True], ends[1:] != ends[:-1]))).astype(np.int64), first)
+                h, unlike = h[first], np.minimum(unlike, 255).astype(np.uint8)
                 block = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-                cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(h) else np.zeros(0, np.int64)
-                stop = np.append(cut[1:], len(h))
+                cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+                parts = list(zip(cut, np.append(cut[1:], len(h))))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(block[cut]), pa.array([number] * len(cut), pa.int64()),
-                    pa.array([_cut(h[i:j]) for i, j in zip(cut, stop)], pa.binary()),
-                    pa.array([np.packbits(twice[i:j]).tobytes() for i, j in zip(cut, stop)], pa.binary())],
-                    ["block", "slice", "hashes", "twice"])
+                    pa.array([_cut(h[i:j]) for i, j in parts], pa.binary()), pa.array([np.packbits(twice[i:j]).tobytes() for i, j in parts], pa.binary()),
+                    pa.array([unlike[i:j].tobytes() for i, j in parts], pa.binary())], ["block", "slice", "hashes", "twice", "unlike"])
 
-    return slices.mapInArrow(run, "block long, slice long, hashes binary, twice binary")
+    return slices.mapInArrow(run, "block long, slice long, hashes binary, twice binary, unlike binary")
 
 
 def candidates(blocks: DataFrame, heavy: int) -> DataFrame:
     """(slice, hashes, many): the hashes of two slices or two documents, for
-    each slice that has them; ``many``: which ones stand in over ``heavy`` slices."""
+    each slice that has them; ``many``: which ones have over ``heavy`` stretches that are unlike in a slice."""
     def run(table):
         import pyarrow as pa
 
         names = table.column("slice").to_pylist()
         own = [_uncut(x) for x in table.column("hashes").to_pylist()]
         twice = [np.unpackbits(np.frombuffer(t, np.uint8), count=len(h)).astype(bool) for t, h in zip(table.column("twice").to_pylist(), own)]
+        count = np.concatenate([np.frombuffer(u, np.uint8) for u in table.column("unlike").to_pylist()])
         h, t, of = np.concatenate(own), np.concatenate(twice), np.repeat(np.arange(len(own)), [len(x) for x in own])
         order = np.argsort(h, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
         size = np.diff(np.append(first, len(h)))
         common = (size > 1) | (np.maximum.reduceat(t[order].astype(np.int8), first) > 0)
         keep = np.repeat(common, size)
-        h, of, many = h[order][keep], of[order][keep], np.repeat(size > heavy, size)[keep]
+        h, of, many = h[order][keep], of[order][keep], np.repeat(np.add.reduceat(count[order].astype(np.int64), first) > heavy, size)[keep]
         order = np.argsort(of, kind="stable")  # hashes stay ascending within a slice
         h, of, many = h[order], of[order], many[order]
         cut = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
@@ -424,7 +430,7 @@ class Stretches:
     so that they have the same numbers whenever they are listed."""
 
     def __init__(self, s: Slice, hashes: np.ndarray, many: np.ndarray, copies: np.ndarray, gram: int, length: int):
-        h, anchor, first, last, doc = s.runs(gram, length, copies)
+        h, anchor, first, last, _, doc = s.runs(gram, length, copies)
         place = np.searchsorted(hashes, h & ~_LOW).clip(0, max(0, len(hashes) - 1))
         hit = hashes[place] == (h & ~_LOW) if len(hashes) else np.zeros(len(h), bool)
         h, anchor, first, last, doc = h[hit], anchor[hit], first[hit], last[hit], doc[hit]
@@ -614,7 +620,7 @@ def cut_slices(replies: DataFrame, folder: str, gram: int, length: int, with_byt
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, slice_bytes: int = SLICE_BYTES,
-                   block_bytes: int = 16 << 20, heavy: int = 4096, with_bytes: bool = True) -> DataFrame:
+                   block_bytes: int = 16 << 20, heavy: int = 1024, with_bytes: bool = True) -> DataFrame:
     """One row for each document: doc_id, n_bytes, n_removed, n_spans,
     kept_sha256 and ``kept``, the bytes that are left. ``length - gram`` is 62 at most."""
     spark = docs.sparkSession

@@ -385,7 +385,7 @@ def test_anchors_depend_on_the_string_alone():
     for block in (64, 1 << 20):
         for d in docs:
             text = np.frombuffer(d.encode(), np.uint8)
-            h, anchor, first, last = SD.anchors_of(text, np.array([0, len(text)]), block=block)
+            h, anchor, first, last, _ = SD.anchors_of(text, np.array([0, len(text)]), block=block)
             places = [p for f, e in zip(first, last) for p in range(f, e + 1)]
             assert places == list(range(len(d) - 49))  # each string has one anchor
             for x, a, f, e in zip(h, anchor, first, last):
