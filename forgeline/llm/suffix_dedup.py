@@ -326,21 +326,25 @@ def pack(docs: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES) -> DataFr
 
 def later_copies(slices: DataFrame) -> DataFrame:
     """(slice, copies): the numbers of the documents in each slice that equal,
-    as a whole, one with a smaller ``doc_id``."""
+    as a whole, one with a smaller ``doc_id``. A group of copies is one row for each slice."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             for number, digests, ranks in zip(*(c.to_pylist() for c in b.columns)):
-                rank = np.frombuffer(ranks, np.int64)
-                own = pa.array([digests[i * 32:i * 32 + 32] for i in range(len(rank))], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(rank), pa.int64()), pa.array(np.arange(len(rank), dtype=np.int32)), own,
-                                                  pa.array(rank)], ["slice", "number", "digest", "rank"])
-
-    docs = slices.select("slice", "digests", "ranks").mapInArrow(run, "slice long, number int, digest binary, rank long")
-    least = docs.groupBy("digest").agg(F.min("rank").alias("least"), F.max("rank").alias("most")).where("most > least").drop("most")
-    late = docs.join(least, "digest").where("rank > least")
-    return late.groupBy("slice").agg(F.collect_list("number").alias("copies"))
+                groups: dict = {}
+                for i, rank in enumerate(np.frombuffer(ranks, np.int64).tolist()):
+                    groups.setdefault(digests[i * 32:i * 32 + 32], []).append({"number": i, "rank": rank})
+                docs = pa.array(list(groups.values()), pa.list_(pa.struct([("number", pa.int32()), ("rank", pa.int64())])))
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(groups), pa.int64()), pa.array(list(groups), pa.binary()), docs],
+                                                 ["slice", "digest", "docs"])
+
+    schema = "slice long, digest binary, docs array<struct<number:int,rank:long>>"
+    groups = slices.select("slice", "digests", "ranks").mapInArrow(run, schema)
+    ranks = groups.select("digest", F.array_min("docs.rank").alias("least"), F.array_max("docs.rank").alias("most"))
+    least = ranks.groupBy("digest").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("most > least").drop("most")
+    late = groups.join(least, "digest").select("slice", F.expr("filter(docs, d -> d.rank > least).number").alias("numbers"))
+    return late.groupBy("slice").agg(F.flatten(F.collect_list("numbers")).alias("copies"))
 
 
 def _copies(table) -> np.ndarray:

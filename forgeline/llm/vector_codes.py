@@ -11,11 +11,9 @@ codebook:
   the entries whose coordinate lies within a radius of the vector's.
 * Intersection: the masks of all dimensions, ANDed, are exactly the entries
   in the box of that radius around the vector.
-* Radius: the first one comes from the codebook (the median distance of an
-  entry to its nearest other one). If the box holds an entry at distance d
-  and d is within the radius, the nearest entry of all is in the box. If d is
-  more, the box of radius d holds it; an empty box is doubled. The entries in
-  the box are compared exactly, ties go to the lower number.
+* Radius: the distance to the nearest of a few entries (pivots) bounds the
+  distance to the nearest of all, which so lies in the box of that radius.
+  The entries in the box are compared exactly, ties go to the lower number.
 
 All numbers are integers, so that rounds agree whatever the partitions.
 Training: each round is one pass over the vectors. A task adds up its own
@@ -52,7 +50,8 @@ from forgeline.llm.shared import write_shared
 SCALE = 1024
 REACH = 1 << 27
 ROWS_AT_ONCE = 2048
-PAIRS_AT_ONCE = 1 << 16
+PAIRS_AT_ONCE = 1 << 15
+PIVOTS = 16
 
 
 # -- the search in one codebook ----------------------------------------------------
@@ -73,16 +72,16 @@ class SlicedBook:
             masks = np.zeros((self.n + 1, words), np.uint64)
             np.bitwise_or.accumulate(bit[order], axis=0, out=masks[1:])
             self.prefix.append(masks)
-        self.radius = self._first_radius()
+        # a few entries from all over the codebook, to bound the first radius
+        self.pivots = entries[np.unique(np.linspace(0, self.n - 1, min(self.n, PIVOTS)).astype(np.int64))]
 
-    def _first_radius(self) -> int:
-        """Median distance of an entry to the nearest different one."""
-        near = []
-        for e in self.entries:
-            d = ((self.entries - e) ** 2).sum(axis=1)
-            if (d > 0).any():
-                near.append(int(d[d > 0].min()))
-        return max(1, isqrt(sorted(near)[len(near) // 2])) if near else 1
+    def first_radius(self, x: np.ndarray) -> np.ndarray:
+        """Distance of each row to the nearest pivot, rounded up: the box of that radius holds the nearest entry."""
+        least = np.full(len(x), np.iinfo(np.int64).max)
+        for p in self.pivots:
+            diff = x - p
+            np.minimum(least, np.einsum("ij,ij->i", diff, diff, dtype=np.int64), out=least)
+        return np.array([isqrt(v) + 1 for v in least.tolist()], np.int64)
 
     def in_box(self, x: np.ndarray, radius: np.ndarray) -> np.ndarray:
         """Mask words (rows x words) of the entries within ``radius`` of each row in every dimension."""
@@ -103,28 +102,21 @@ class SlicedBook:
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(entry, squared distance) of each row of ``x`` (rows x width, int64)."""
-        entry, best = np.zeros(len(x), np.int64), np.full(len(x), -1, np.int64)
+        entry, best = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+        most = max(abs(int(v)) for m in (x, self.entries) for v in (m.min(initial=0), m.max(initial=0)))
+        if (2 * most) ** 2 * max(1, self.width) < 1 << 31:  # half the bytes to move, as exact
+            x = x.astype(np.int32)
         for at in range(0, len(x), ROWS_AT_ONCE):
-            part = x[at:at + ROWS_AT_ONCE]
-            todo, radius = np.arange(len(part)), np.full(len(part), self.radius, np.int64)
-            while len(todo):
-                rows = part[todo]
-                masks = self.in_box(rows, radius[todo])
-                bits = np.unpackbits(masks.view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
-                e, d = self._least(rows, bits)
-                found = d >= 0
-                entry[at + todo[found]], best[at + todo[found]] = e[found], d[found]
-                done = found & (d <= radius[todo] ** 2)
-                # a distance found bounds the nearest one; a box without entries is doubled
-                reach = np.array([isqrt(v) + 1 for v in d[found].tolist()], np.int64)
-                radius[todo[found]] = reach
-                radius[todo[~found]] *= 2
-                todo = todo[~done]
+            rows = x[at:at + ROWS_AT_ONCE]
+            masks = self.in_box(rows, self.first_radius(rows))
+            bits = np.unpackbits(masks.view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+            entry[at:at + len(rows)], best[at:at + len(rows)] = self._least(rows, bits)
         return entry, best
 
     def _least(self, rows: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact comparison of the candidates: (entry, distance), distance -1 without one."""
-        entry, best = np.zeros(len(rows), np.int64), np.full(len(rows), -1, np.int64)
+        """Exact comparison of the candidates: (entry, distance); every row has one at least."""
+        entry, best = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        entries = self.entries.astype(rows.dtype)
         sizes = bits.sum(axis=1, dtype=np.int64)
         ends = np.cumsum(sizes)
         lo = 0
@@ -132,15 +124,13 @@ class SlicedBook:
             base = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, "right")))
             r, e = np.nonzero(bits[lo:hi])
-            if len(r):
-                diff = rows[lo:hi][r] - self.entries[e]
-                d = np.einsum("ij,ij->i", diff, diff)
-                starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-                least = np.minimum.reduceat(d, starts)
-                own = r[starts]
-                hit = np.flatnonzero(d == np.repeat(least, np.diff(np.append(starts, len(r)))))
-                first = hit[np.concatenate(([True], r[hit][1:] != r[hit][:-1]))]  # ties: the lower number
-                entry[lo + own], best[lo + own] = e[first], least
+            diff = rows[lo:hi][r] - entries[e]
+            d = np.einsum("ij,ij->i", diff, diff)
+            starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+            least = np.minimum.reduceat(d, starts)
+            hit = np.flatnonzero(d == np.repeat(least, np.diff(np.append(starts, len(r)))))
+            first = hit[np.concatenate(([True], r[hit][1:] != r[hit][:-1]))]  # ties: the lower number
+            entry[lo:hi], best[lo:hi] = e[first], least
             lo = hi
         return entry, best
 
