@@ -61,8 +61,13 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def _stand_in() -> Column:
-    """What tells rows without a ``doc_id`` apart: the hash of their text."""
-    return F.when(F.col("doc_id").isNull(), F.xxhash64(text_or_empty())).otherwise(F.lit(0).cast("long"))
+    """What tells rows of one ``doc_id``, or of none, apart: the hash of their text."""
+    return F.xxhash64(text_or_empty())
+
+
+def _least_row(frame_id: str, stand_in: str) -> Column:
+    """The least row of a group: by ``doc_id``, nulls last, then by the hash of the text."""
+    return F.min(F.struct(F.col(frame_id).isNull().alias("none"), F.col(frame_id).alias("id"), F.col(stand_in).alias("text")))
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
@@ -299,20 +304,23 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, **param
     read, whatever their names. Long texts are hashed in slices, whole.
     """
     docs_fp = write_shared(fingerprints(docs, shingle), "simhash")
-    distinct = write_shared(docs_fp.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("stand_in").alias("stand_in")), "simhash-distinct")
+    distinct = write_shared(docs_fp.groupBy("fp").agg(_least_row("doc_id", "stand_in").alias("row")).select(
+        "fp", F.col("row.id").alias("least"), F.col("row.text").alias("stand_in")), "simhash-distinct")
     nodes = connected_components(near_links(distinct.select("fp"), max_bits, **params))
     joined = distinct.join(nodes.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     joined = write_shared(joined, "simhash-components")
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.min("stand_in").alias("component_stand_in"))
+    least = joined.groupBy("component").agg(_least_row("least", "stand_in").alias("row")).select(
+        "component", F.col("row.id").alias("component_id"), F.col("row.text").alias("component_stand_in"))
     known = joined.select("fp", "component").join(least, "component").drop("component")
     return docs_fp.join(known, "fp").select("doc_id", "fp", "component_id", "component_stand_in")
 
 
 def keep_one_of_each(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one with the least
-    ``doc_id``; of a group in which none has an id, the one whose text has the
-    least hash. Rows with one ``doc_id`` are one document."""
-    alt = F.when(F.col("component_id").isNull(), F.col("component_stand_in")).otherwise(F.lit(0).cast("long"))
-    stay = simhash_groups(docs, **params).select(F.struct(F.col("component_id").alias("i"), alt.alias("s")).alias("__doc")).distinct()
+    ``doc_id`` (null ones last), of rows with one id the one whose text has the
+    least hash. A row is named by its id and its text, so that unlike texts under
+    one id are rows of their own; of rows repeated with both, one stays."""
+    stay = simhash_groups(docs, **params).select(
+        F.struct(F.col("component_id").alias("i"), F.col("component_stand_in").alias("s")).alias("__doc")).distinct()
     rows = docs.select(F.struct("*").alias("__row"), F.struct(F.col("doc_id").alias("i"), _stand_in().alias("s")).alias("__doc"))
     return rows.join(stay, "__doc", "left_semi").dropDuplicates(["__doc"]).select("__row.*")

@@ -23,8 +23,10 @@ their names. A document longer than a frame lies in several frames.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -34,6 +36,8 @@ from forgeline.llm.bpe import LATIN_END, LONG_PIECE, SIGNS, encoded_parts
 from forgeline.llm.shared import open_shared, shared_path, text_or_empty, write_shared
 
 FRAME_IDS = 1 << 16
+#: pieces of each kind that a worker remembers, some tens of megabytes
+REMEMBERED = 300_000
 LEVEL = 3
 # fixed values of the zstandard seekable format
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -175,32 +179,38 @@ class _Known(dict):
 
 class Tokens:
     """Texts to ids (bytes of little-endian 32-bit numbers) by a vocabulary
-    file of the tokenizers library; equal pieces are encoded once."""
+    file of the tokenizers library; equal pieces are encoded once. A text in which
+    one of the vocabulary's added tokens stands goes through the library as a whole."""
 
-    def __init__(self, path: str, remembered: int = 900_000):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model, self.letters = self.whole.model, _byte_letters()
+        self.blank = self.letters[ord(" ")]
         self.remembered = remembered
         self.after_blank, self.bare = _Known(self, " "), _Known(self, "")
 
     def piece(self, lead: str, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha() and len(piece) <= LONG_PIECE:  # one pre-token: the merges alone
+            return array("I", [t.id for t in self.model.tokenize((self.blank if lead else "") + piece)]).tobytes()
         letters = piece.rstrip(SIGNS)
         if letters.isalpha() and max(letters) < LATIN_END:
             if letters != piece:  # letters and signs are pre-tokens of their own
                 return (self.after_blank if lead else self.bare)[letters] + self.bare[piece[len(letters):]]
-            if len(piece) <= LONG_PIECE:  # one pre-token: the merges alone
+            if len(piece) <= LONG_PIECE:
                 mapped = (lead + piece).encode().decode("latin-1").translate(self.letters)
-                return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+                return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         found = self.whole.encode_batch_fast([lead + piece], add_special_tokens=False)
         return np.array(found[0].ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(encoded_parts(text, self.bare, self.after_blank))
 
 
@@ -236,7 +246,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
         attempt = f"{base}/_attempt-{task.taskAttemptId()}-{name}"
         with fs.open_output_stream(attempt, compression=None) as out:
             writer = TokenFileWriter(out, frame_ids)
-            for batch in (b for some in ([first], batches) for b in some):
+            for batch in itertools.chain([first], batches):
                 for doc_id, text in zip(batch.column(0), batch.column(1)):
                     writer.add(doc_id.as_py(), own.encode(text.as_py()) + end)
             writer.close()

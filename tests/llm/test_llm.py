@@ -184,6 +184,18 @@ def test_near_dedup_keeps_one(spark):
     assert sorted(str(r["doc_id"]) for r in simhash_trie.keep_one_of_each(d).collect()) == ["4", "9", "None"]
 
 
+def test_near_dedup_keeps_unlike_texts_under_one_id(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    other, third = (" ".join(f"{w}{i}" for i in range(300)) for w in ("other", "third"))
+    d = table(spark, [base, base + " end", other], ids=[1, 2, 2])
+    assert sorted(r["text"] for r in simhash_trie.keep_one_of_each(d).collect()) == sorted([base, other])
+    d = table(spark, [base, other, third, third], ids=[7, 7, 7, 7])
+    assert sorted(r["text"] for r in simhash_trie.keep_one_of_each(d).collect()) == sorted([base, other, third])
+    d = table(spark, [base, base + " end", other, third, third + " end"], ids=[None, 3, None, None, None])
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in simhash_trie.keep_one_of_each(d).collect())
+    assert len(kept) == 3 and ("3", base + " end") in kept and ("None", other) in kept
+
+
 # -- lines ---------------------------------------------------------------------------
 
 def test_line_groups_against_all_pairs(spark):
@@ -399,9 +411,9 @@ def test_bpe_matches_the_library(texts):
 def test_token_files_match_the_library(spark, docs, texts):
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
-    odd = {10**9 + i: t for i, t in enumerate(["", "a  b\t<|endoftext|> it's", "é" * 300, "x" * 70000, "don't 'tis, l'eau. 12³ ß!"])}
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))  # as it comes: the added token is one id
+    assert 50256 in library.encode("x <|endoftext|> y", add_special_tokens=False).ids
+    odd = {10**9 + i: t for i, t in enumerate(["", "a  b\t<|endoftext|> it's", "x <|endoftext|> y", "x<|endoftext|><|endoftext|>\ny <|endoftext|", "<|endoftext|>", "é" * 300, "x" * 70000, "don't 'tis, l'eau. 12³ ß!"])}
     extra = spark.createDataFrame(list(odd.items()), "doc_id long, text string")
     got = token_files.token_file_digests(docs.select("doc_id", "text").unionByName(extra), tokenizer_path("byte_bpe_50k.json")).orderBy("doc_id").collect()
     start = 0
