@@ -101,6 +101,9 @@ class Lake:
     def staging(self, name: str) -> str:
         return self.path("staging", name)
 
+    def staging_checkpoint(self, name: str) -> str:
+        return self.path("metadata", "checkpoints", "staging", name)
+
     def analytics(self, name: str) -> str:
         return self.path("analytics", name)
 

@@ -16,18 +16,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgeline import config as C
+from forgeline import incremental as INC
 from forgeline.config import Lake
 from forgeline.ingest import ingest_maintenance, ingest_production, state_table
 from forgeline.operators import alerts as A
 from forgeline.operators import facts as FT
 from forgeline.operators import metrics as M
+from forgeline.operators import partials as P
 from forgeline.operators import quality as Q
 from forgeline.operators import serving as S
 from forgeline.operators import staging as ST
 from forgeline.operators import warehouse as W
 from forgeline.schemas import ALERT, LINEAGE_RECORD, RUN_RECORD
 from forgeline.sinks.files import append_log, overwrite_table, write_report
-from forgeline.sources.files import read_or_none, read_raw_parquet
+from forgeline.sinks.versions import VersionedTable
+from forgeline.sources.files import path_exists, read_or_none, read_raw_parquet
 from forgeline.streaming.telemetry import ingest_telemetry
 
 log = logging.getLogger("forgeline.jobs")
@@ -106,24 +109,25 @@ RAW_PATHS = {
     "maintenance_logs": lambda lake: lake.raw_maintenance,
     "production": lambda lake: lake.raw_production,
 }
-STAGERS = {
-    "telemetry": ST.stage_telemetry,
-    "machines": ST.stage_machines,
-    "maintenance_logs": ST.stage_maintenance,
-    "production": ST.stage_production,
-}
 
 
-def run_staging(spark: SparkSession, lake: Lake) -> dict:
+def run_staging(spark: SparkSession, lake: Lake, full: bool = False) -> dict:
+    """Merge the raw files that are new into the staged tables (``full``:
+    stage the whole history anew). Machines, a dimension, is staged whole."""
     stats = {}
     for name, path_of in RAW_PATHS.items():
-        raw = read_raw_parquet(spark, path_of(lake))
-        if raw is None:
+        out = lake.staging(name)
+        if not path_exists(spark, path_of(lake)):
             log.warning("no raw %s data found", name)
             stats[name] = 0
             continue
-        out = lake.staging(name)
-        stats[name] = _write_counted(STAGERS[name](raw), out, f"stage_{name}")
+        if name not in INC.SPECS:
+            stats[name] = _write_counted(ST.stage_machines(read_raw_parquet(spark, path_of(lake))), out, f"stage_{name}")
+        elif full:
+            INC.rebuild(spark, path_of(lake), out, INC.SPECS[name])
+            stats[name] = INC.staged_rows(VersionedTable(spark, out))
+        else:
+            stats[name] = INC.stage_new_files(spark, path_of(lake), out, lake.staging_checkpoint(name), INC.SPECS[name])
         record_lineage(spark, lake, f"staging.{name}", [path_of(lake)], [out], output_rows=stats[name])
     return stats
 
@@ -144,17 +148,26 @@ def run_analytics(spark: SparkSession, lake: Lake) -> dict:
     if maint is not None and mach is not None:
         plans["fact_maintenance"] = (lambda: FT.fact_maintenance(maint, mach), ["maintenance_logs", "machines"])
         plans["fact_downtime"] = (lambda: FT.fact_downtime(maint, mach), ["maintenance_logs", "machines"])
+    def merged(table, side, merge, whole):
+        """From the partial metrics of the staged parts; over the rows where a table has none."""
+        partials = INC.side_table(VersionedTable(spark, lake.staging(table)), side)
+        return whole() if partials is None else merge(partials)
+
     if tel is not None:
-        plans["machine_health_features"] = (lambda: M.machine_health_features(tel), ["telemetry"])
+        plans["machine_health_features"] = (
+            lambda: merged("telemetry", "health", P.merge_health, lambda: M.machine_health_features(tel)), ["telemetry"])
     if maint is not None and mach is not None:
         plans["factory_downtime_metrics"] = (
-            lambda: M.factory_downtime_metrics(read_or_none(spark, lake.analytics("fact_downtime"))),
-            ["fact_downtime"])
+            lambda: merged("maintenance_logs", "downtime", lambda p: P.merge_downtime(p, mach),
+                           lambda: M.factory_downtime_metrics(read_or_none(spark, lake.analytics("fact_downtime")))),
+            ["maintenance_logs", "machines"])
     if prod is not None and mach is not None:
-        plans["scrap_rate_metrics"] = (lambda: M.scrap_rate_metrics(prod), ["production"])
+        plans["scrap_rate_metrics"] = (
+            lambda: merged("production", "scrap", P.merge_scrap, lambda: M.scrap_rate_metrics(prod)), ["production"])
     if maint is not None:
         plans["maintenance_effectiveness_metrics"] = (
-            lambda: M.maintenance_effectiveness_metrics(maint), ["maintenance_logs"])
+            lambda: merged("maintenance_logs", "effectiveness", P.merge_effectiveness,
+                           lambda: M.maintenance_effectiveness_metrics(maint)), ["maintenance_logs"])
     built = []
     for name, (make, inputs) in plans.items():
         out = lake.analytics(name)
@@ -171,13 +184,24 @@ class QualityCheckError(Exception):
                          f"({row['records_failed']}/{row['records_checked']} records)")
 
 
+def staged_profiles(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The counts that staging kept with its parts, in the form the checks take."""
+    out = {}
+    for name, fields in Q.CRITICAL_FIELDS.items():
+        found = INC.table_profile(VersionedTable(spark, lake.staging(name)))
+        if found is not None:
+            negative = [c for c in ("neg_units", "neg_scrap") if c in found.columns]
+            out[name] = found.select("rows", *[F.col(f"null_{c}").alias(f"n{i}") for i, c in enumerate(fields)], *negative)
+    return out
+
+
 def run_quality(spark: SparkSession, lake: Lake, fail_early: bool = True) -> list[dict]:
     """All checks into one report (written), summary included. With
     ``fail_early`` the first failed error-severity check raises after the
     report is saved. The report has four rows, so it is collected."""
     staged = {n: _staged(spark, lake, n) for n in ("telemetry", "production", "maintenance_logs", "machines")}
     report = Q.quality_report(staged["telemetry"], staged["production"], staged["maintenance_logs"],
-                              staged["machines"], spark=spark)
+                              staged["machines"], spark=spark, profiles=staged_profiles(spark, lake))
     sources = {n: df for n, df in staged.items() if n != "machines" and df is not None}
     if staged["machines"] is not None and sources:
         overwrite_table(Q.unknown_machine_ids(staged["machines"], sources), lake.path("metadata", "unknown_machine_ids"))

@@ -271,12 +271,17 @@ def check_null_critical_fields(tables: dict[str, DataFrame],
 
 def quality_report(telemetry: DataFrame | None, production: DataFrame | None,
                    maintenance: DataFrame | None, machines: DataFrame | None,
-                   spark: SparkSession | None = None) -> DataFrame:
+                   spark: SparkSession | None = None, profiles: dict[str, DataFrame] | None = None) -> DataFrame:
     """All four checks in the reference's order, with ``check_order``.
-    An absent staged table gives the failed/error row of the reference."""
+    An absent staged table gives the failed/error row of the reference.
+    ``profiles`` holds one row of counts for tables that know them (columns
+    ``rows``, ``n0``, ``n1``, ..., of production also ``neg_units`` and
+    ``neg_scrap``); the null and negative checks then read no row of the table."""
     spark = spark or next(df for df in (telemetry, production, maintenance, machines)
                           if df is not None).sparkSession
-    profiles = {"production": production_profile(production)} if production is not None else {}
+    profiles = dict(profiles or {})
+    if production is not None and "production" not in profiles:
+        profiles["production"] = production_profile(production)
     rows = [
         check_missing_telemetry(telemetry) if telemetry is not None
         else missing_table_result(spark, C.CHECK_NAMES[0], "telemetry"),

@@ -29,10 +29,6 @@ def normalize_strings(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: normalize_string(c) for c in present}) if present else df
 
 
-def drop_partition_columns(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in PARTITION_COLUMNS if c in df.columns])
-
-
 def cast_timestamp(df: DataFrame, col: str) -> DataFrame:
     if col not in df.columns:
         return df
@@ -71,40 +67,42 @@ def keep_last(df: DataFrame, key: str, order_cols: list[str] | None = None) -> D
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def _finish(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*columns)
+# -- rows cleaned and cast, with all their columns, before one is kept for each key --
+
+def prepare_telemetry(raw: DataFrame) -> DataFrame:
+    return cast_timestamp(normalize_strings(raw, ["machine_id", "factory_id", "status"]), "timestamp")
+
+
+def prepare_machines(raw: DataFrame) -> DataFrame:
+    return cast_date(normalize_strings(raw, ["machine_id", "factory_id", "machine_type", "status"]), "install_date")
+
+
+def prepare_maintenance(raw: DataFrame) -> DataFrame:
+    df = cast_timestamp(normalize_strings(raw, ["machine_id", "maintenance_type", "part_replaced"]), "timestamp")
+    return clamp_columns(df, ["downtime_minutes"])
+
+
+def prepare_production(raw: DataFrame) -> DataFrame:
+    df = cast_date(normalize_strings(raw, ["machine_id", "shift", "operator_id"]), "date")
+    return clamp_columns(df, ["units_produced", "scrap_units"])
+
 
+# -- staged tables from the whole raw history --------------------------------------
 
 def stage_telemetry(raw: DataFrame) -> DataFrame:
-    order = scan_order(raw)
-    df = normalize_strings(raw, ["machine_id", "factory_id", "status"])
-    df = cast_timestamp(df, "timestamp")
-    df = keep_last(df, "event_id", order)
-    return _finish(df, TELEMETRY_COLUMNS)
+    return keep_last(prepare_telemetry(raw), "event_id").select(*TELEMETRY_COLUMNS)
 
 
 def stage_machines(raw: DataFrame) -> DataFrame:
     """Union of all snapshots, newest row per machine (a machine missing from
     a newer snapshot stays)."""
-    order = scan_order(raw)
-    df = normalize_strings(raw, ["machine_id", "factory_id", "machine_type", "status"])
-    df = cast_date(df, "install_date")
-    df = keep_last(df, "machine_id", order)
-    return _finish(df, MACHINE_COLUMNS)
+    return keep_last(prepare_machines(raw), "machine_id").select(*MACHINE_COLUMNS)
 
 
 def stage_maintenance(raw: DataFrame) -> DataFrame:
-    order = scan_order(raw)
-    df = normalize_strings(raw, ["machine_id", "maintenance_type", "part_replaced"])
-    df = cast_timestamp(df, "timestamp")
-    df = keep_last(df, "maintenance_id", order)
-    df = clamp_columns(df, ["downtime_minutes"])
-    return _finish(df, MAINTENANCE_COLUMNS)
+    return keep_last(prepare_maintenance(raw), "maintenance_id").select(*MAINTENANCE_COLUMNS)
 
 
 def stage_production(raw: DataFrame) -> DataFrame:
     """No de-duplication for production (as in the reference)."""
-    df = normalize_strings(raw, ["machine_id", "shift", "operator_id"])
-    df = cast_date(df, "date")
-    df = clamp_columns(df, ["units_produced", "scrap_units"])
-    return _finish(df, PRODUCTION_COLUMNS)
+    return prepare_production(raw).select(*PRODUCTION_COLUMNS)

@@ -3,7 +3,7 @@
 * raw tables are appended, partitioned by time and by ingest batch; a retried
   batch replaces only its own partitions (dynamic partition overwrite), so a
   retry never duplicates and never touches other batches;
-* staging / analytics tables are rewritten as a whole;
+* staging / analytics tables are versioned (``sinks.versions``);
 * reports are small, bounded tables rewritten as JSON;
 * logs (run history, lineage) are appended one small file per record, with
   no read-modify-write.
@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from forgeline.sinks.versions import VersionedTable
+
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
 
@@ -32,7 +34,9 @@ def write_batch_partitions(df: DataFrame, path: str, partition_cols: list[str],
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replace a table as a whole: the new version is committed once it is
+    complete, so a write that stops leaves the old one readable."""
+    VersionedTable(df.sparkSession, path).replace(df)
 
 
 def write_report(df: DataFrame, path: str) -> None:

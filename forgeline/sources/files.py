@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgeline.schemas import SCAN_ORDER_COLUMNS
+from forgeline.sinks.versions import VersionedTable
 
 
 def _absent(exc: AnalysisException) -> bool:
@@ -22,7 +23,12 @@ def _absent(exc: AnalysisException) -> bool:
 
 def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: T.StructType | None = None, **options) -> DataFrame | None:
-    """A table, or None when nothing is stored at ``path`` yet."""
+    """A table, or None when nothing is stored at ``path`` yet. Of a
+    versioned table the newest version."""
+    if fmt == "parquet" and schema is None:
+        table = VersionedTable(spark, path)
+        if table.exists():
+            return table.read()
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -38,6 +44,11 @@ def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet",
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     """Every ``*.parquet`` file below ``path``, all partitions, united by
     column name (a column missing in older files is null)."""

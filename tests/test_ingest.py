@@ -6,7 +6,7 @@ import pytest
 
 from forgeline import ingest as I
 from forgeline.jobs import run_staging
-from forgeline.sources.files import read_raw_parquet
+from forgeline.sources.files import read_or_none, read_raw_parquet
 from forgeline.streaming.telemetry import ingest_telemetry
 
 
@@ -135,4 +135,4 @@ def test_later_file_wins_whatever_its_name(spark, lake, tmp_path):
         os.utime(landing / name, (at, at))
     ingest_telemetry(spark, lake, str(landing))
     run_staging(spark, lake)
-    assert [r.temperature_c for r in spark.read.parquet(lake.staging("telemetry")).collect()] == [99.0]
+    assert [r.temperature_c for r in read_or_none(spark, lake.staging("telemetry")).collect()] == [99.0]
