@@ -19,7 +19,6 @@ from forgeline.functions.messages import message
 from forgeline.functions.text import id_number, zero_pad
 from forgeline.plans.joins import lookup_join
 from forgeline.plans.materialize import one_row
-from forgeline.plans.sequence import next_row_pairs
 from forgeline.schemas import QUALITY_RESULT
 
 CHECK_ORDER = list(C.CHECK_NAMES)
@@ -50,64 +49,79 @@ def event_numbers(telemetry: DataFrame) -> DataFrame:
     return ids.select(id_number("event_id", "evt_").alias("n"))
 
 
-def number_counts(telemetry: DataFrame) -> DataFrame:
-    """Distinct event numbers with their multiplicity (``n``, ``c``); a
-    partial aggregate, so a number repeated in many rows is combined map-side."""
-    return event_numbers(telemetry).groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+BUCKET_BITS = 15  # numbers of a bitmap of bitmap_construct_agg
+SUPER_BITS = 15  # buckets that one window looks at
+
+
+def number_buckets(telemetry: DataFrame) -> DataFrame:
+    """The event numbers as bitmaps: one row for each run of 32,768 numbers
+    that has some (bucket, bits, c: ids, d: different numbers, lo, hi). One grouped
+    aggregate, combined in the map tasks: all else works on these rows."""
+    n = F.col("n")
+    buckets = event_numbers(telemetry).groupBy(F.shiftright(n, BUCKET_BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(n.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))).alias("bits"),
+        F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    return buckets.withColumn("d", F.bitmap_count("bits"))
+
+
+def _missing_inside() -> Column:
+    """The numbers between ``lo`` and ``hi`` of a bucket that its bits do not
+    have, ascending. Full bytes are passed over, full buckets as a whole."""
+    base = "(bucket * 32768L)"
+    of_byte = "filter(sequence(i * 8, i * 8 + 7), p -> getbit(cast(ascii(ch) AS bigint), p - i * 8) = 0)"
+    bytes_ = "split(decode(bits, 'ISO-8859-1'), '')"
+    unset = f"flatten(transform({bytes_}, (ch, i) -> if(ch = '\u00ff', cast(array() AS array<int>), {of_byte})))"
+    numbers = f"filter(transform({unset}, p -> {base} + p), n -> n > lo AND n < hi)"
+    return F.expr(f"if(d = hi - lo + 1, cast(array() AS array<bigint>), {numbers})")
+
+
+def _edge_gaps(buckets: DataFrame) -> DataFrame:
+    """(gap_start, gap_end) between neighbouring buckets: windows over runs of
+    32,768 buckets, then one over the runs, one row for each 2**30 numbers."""
+    runs = buckets.select(F.shiftright("bucket", SUPER_BITS).alias("run"), "bucket", "lo", "hi")
+    inside = runs.withColumn("after", F.lead("lo").over(Window.partitionBy("run").orderBy("bucket")))
+    between = runs.groupBy("run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")) \
+        .withColumn("after", F.lead("lo").over(Window.orderBy("run")))
+    edges = inside.select("hi", "after").unionByName(between.select("hi", "after"))
+    return edges.where(F.col("after") > F.col("hi") + 1).select((F.col("hi") + 1).alias("gap_start"), (F.col("after") - 1).alias("gap_end"))
 
 
 def missing_event_sample(telemetry: DataFrame, first: int = C.TOP_N,
-                         counts: DataFrame | None = None) -> DataFrame:
-    """The ``first`` smallest missing event numbers (one row each).
-
-    Present numbers ``n`` whose successor is absent start a gap at ``n + 1``;
-    present numbers ``m`` whose predecessor is absent end a gap at ``m - 1``.
-    Both are anti joins on a unique key. In ascending order the k-th start
-    belongs to the (k+1)-th end (the smallest number "ends" a gap below the
-    range, the largest "starts" one above it), so only the ``first`` smallest
-    starts and ``first + 1`` smallest ends are needed: bounded top-k lists,
-    numbered and joined on the number. Work is linear in the ids.
-    """
-    nums = (counts if counts is not None else number_counts(telemetry)).select("n")
-    succ = nums.select((F.col("n") - 1).alias("n"))
-    pred = nums.select((F.col("n") + 1).alias("n"))
-    starts = nums.join(succ, "n", "left_anti").select((F.col("n") + 1).alias("gap_start"))
-    ends = nums.join(pred, "n", "left_anti").select((F.col("n") - 1).alias("gap_end"))
-    # numbering within lists of at most first + 1 rows
-    k_start = starts.orderBy("gap_start").limit(first) \
-        .withColumn("k", F.row_number().over(Window.orderBy("gap_start")))
-    k_end = ends.orderBy("gap_end").limit(first + 1) \
-        .withColumn("k", F.row_number().over(Window.orderBy("gap_end")) - 1)
-    gaps = k_start.join(k_end, "k")
-    expanded = gaps.select(F.explode(F.sequence(
+                         buckets: DataFrame | None = None) -> DataFrame:
+    """The ``first`` smallest missing event numbers (one row each): the first
+    ones of each bucket and of each gap between buckets, of which the least are kept."""
+    buckets = number_buckets(telemetry) if buckets is None else buckets
+    inside = buckets.select(F.explode(F.slice(_missing_inside(), 1, first)).alias("n"))
+    edges = _edge_gaps(buckets).select(F.explode(F.sequence(
         "gap_start", F.least("gap_end", F.col("gap_start") + (first - 1)))).alias("n"))
-    return expanded.orderBy("n").limit(first)
+    return inside.unionByName(edges).orderBy("n").limit(first)
 
 
 def missing_event_ranges(telemetry: DataFrame) -> DataFrame:
     """Every gap of the event number sequence as ``(gap_start, gap_end,
-    missing)``: consecutive distinct numbers more than 1 apart, found by
-    position in a range-partitioned order (no quadratic join, no group in
-    one task)."""
-    nums = event_numbers(telemetry).distinct().withColumn("_g", F.lit(0))
-    pairs = next_row_pairs(nums, group_col="_g", order_cols=["n"], left_filter=F.lit(True),
-                           right_filter=F.lit(True), left_cols=["n"], right_cols=["n"])
-    gaps = pairs.where(F.col("next_n") > F.col("n") + 1)
-    return gaps.select((F.col("n") + 1).alias("gap_start"), (F.col("next_n") - 1).alias("gap_end"),
-                       (F.col("next_n") - F.col("n") - 1).alias("missing"))
+    missing)``: runs of unset bits inside the buckets, joined at their edges by
+    the gaps between buckets (a gap that ends with a bucket is none of its inside)."""
+    buckets = number_buckets(telemetry)
+    inside = buckets.select("bucket", F.explode(_missing_inside()).alias("n"))
+    # neighbours in a bucket keep their distance to their rank
+    w = Window.partitionBy("bucket").orderBy("n")
+    islands = inside.withColumn("island", F.col("n") - F.row_number().over(w)).groupBy("bucket", "island").agg(
+        F.min("n").alias("gap_start"), F.max("n").alias("gap_end"))
+    gaps = islands.select("gap_start", "gap_end").unionByName(_edge_gaps(buckets))
+    return gaps.withColumn("missing", F.col("gap_end") - F.col("gap_start") + 1)
 
 
 def check_missing_telemetry(telemetry: DataFrame, sample_size: int = C.TOP_N) -> DataFrame:
     """Gaps in the event number sequence; the text names the first and the
     last of the ``sample_size`` first missing numbers."""
-    counts = number_counts(telemetry)
-    stats = counts.agg(
+    buckets = number_buckets(telemetry)
+    stats = buckets.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("cnt"),
-        F.min("n").alias("lo"),
-        F.max("n").alias("hi"),
-        F.count(F.lit(1)).alias("distinct_n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.coalesce(F.sum("d"), F.lit(0)).alias("distinct_n"),
     )
-    sample = missing_event_sample(telemetry, first=sample_size, counts=counts)
+    sample = missing_event_sample(telemetry, first=sample_size, buckets=buckets)
     stats = one_row(stats, sample.agg(F.min("n").alias("sample_lo"), F.max("n").alias("sample_hi")))
     sample_lo, sample_hi = F.col("sample_lo"), F.col("sample_hi")
     span = F.col("hi") - F.col("lo") + 1

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline import config as C
 from forgeline.functions.text import decimal_text
-from forgeline.plans.sequence import next_row_pairs
 
 
 def _truthy(c: F.Column) -> F.Column:
@@ -37,26 +36,35 @@ def machines_trending_toward_failure(health: DataFrame) -> DataFrame:
     return out.orderBy(F.coalesce(F.col("avg_temperature_c"), F.lit(0.0)).desc(), F.col("machine_id"))
 
 
+def next_readings(telemetry: DataFrame) -> DataFrame:
+    """(machine_id, timestamp, event_id, temperature_c, next_status,
+    next_timestamp) of every reading that has a next one of its machine, by time, then event id.
+
+    The window looks at the readings of one machine in one hour, so a machine with
+    much of the telemetry is spread over its hours. The last reading of
+    an hour meets the first one of the machine's next hour through one row for
+    each machine and hour, which combine in the map tasks."""
+    hour = F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ'1970-01-01 00:00:00', timestamp)")  # null times come first
+    order = ["timestamp", "event_id"]
+    rows = telemetry.select("machine_id", hour.alias("hour"), *order, "temperature_c", "status")
+    after = F.struct("status", "timestamp")
+    in_hour = Window.partitionBy("machine_id", "hour").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    inside = rows.select("machine_id", *order, "temperature_c", F.lead(after).over(in_hour).alias("next"))
+    edges = rows.groupBy("machine_id", "hour").agg(
+        F.min(F.struct(*order, "status")).alias("first"), F.max(F.struct(*order, "temperature_c")).alias("last"))
+    by_hour = Window.partitionBy("machine_id").orderBy(F.col("hour").asc_nulls_first())
+    between = edges.select("machine_id", "last.*", F.lead(F.struct("first.status", "first.timestamp")).over(by_hour).alias("next"))
+    pairs = inside.unionByName(between).where(F.col("next").isNotNull())
+    return pairs.select("machine_id", *order, "temperature_c", F.col("next.status").alias("next_status"),
+                        F.col("next.timestamp").alias("next_timestamp"))
+
+
 def overheating_before_shutdown(telemetry: DataFrame) -> DataFrame:
     """Per machine, the first reading above 85 °C whose next reading (by
-    time, then event id) has status idle, off or error.
-
-    The next reading is found by position in a range-partitioned global
-    order (``plans.sequence``), so a machine with a huge share of the
-    telemetry is spread over many tasks; only candidate rows are joined, and
-    the first pair per machine is a partial aggregation.
-    """
-    pairs = next_row_pairs(
-        telemetry.select("machine_id", "timestamp", "event_id", "temperature_c", "status"),
-        group_col="machine_id",
-        order_cols=["timestamp", "event_id"],
-        left_filter=F.coalesce(F.col("temperature_c") > C.OVERHEAT_TEMP_C, F.lit(False)),
-        right_filter=F.col("status").isin(*C.SHUTDOWN_STATUSES),
-        left_cols=["timestamp", "temperature_c"],
-        right_cols=["status", "timestamp"],
-    )
+    time, then event id) has status idle, off or error."""
+    pairs = next_readings(telemetry).where((F.col("temperature_c") > C.OVERHEAT_TEMP_C) & F.col("next_status").isin(*C.SHUTDOWN_STATUSES))
     first = pairs.groupBy("machine_id").agg(
-        F.min(F.struct("_pos", "temperature_c", "timestamp", "next_status", "next_timestamp")).alias("p"))
+        F.min(F.struct("timestamp", "event_id", "temperature_c", "next_status", "next_timestamp")).alias("p"))
     return first.select(
         "machine_id",
         F.round("p.temperature_c", 1).alias("hot_event_temp"),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from forgeline.schemas import SCAN_ORDER_COLUMNS
 from forgeline.sinks.versions import VersionedTable
+from forgeline.sources.csv_splits import read_csv_records
 
 
 def _absent(exc: AnalysisException) -> bool:
@@ -69,15 +70,14 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType,
                      source_order: bool = True) -> DataFrame | None:
     """CSV with a header row; every field read as text, then cast by the
     declared type (a bad number raises under ANSI). An unquoted empty field
-    is null. A quoted field may hold doubled quotes and line ends (so a file
-    is read by one task). A folder in which a file's header differs from the
+    is null. A quoted field may hold doubled quotes and line ends; a file is still
+    read by many tasks (``sources.csv_splits``). A folder in which a file's header differs from the
     others' is refused, since its columns would be read in the wrong order.
     With ``source_order`` the scan-order columns are added."""
-    raw = read_or_none(spark, path, "csv", header="true", mode="FAILFAST", inferSchema="false", quote='"', escape='"',
-                       multiLine="true", enforceSchema="false")
-    if raw is None:
+    if read_or_none(spark, path, "text") is None:
         return None
-    return by_name(with_source_order(raw) if source_order else raw, schema)
+    raw = read_csv_records(spark, path)
+    return by_name(raw if source_order else raw.drop(*SCAN_ORDER_COLUMNS), schema)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,

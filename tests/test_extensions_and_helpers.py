@@ -5,7 +5,6 @@ from conftest import rows, ts
 from forgeline.functions.text import zero_pad
 from forgeline.operators import extensions as X
 from forgeline.plans.materialize import materialize, one_row
-from forgeline.plans.sequence import with_global_position
 from forgeline.schemas import RAW_TELEMETRY
 from forgeline.sources.files import read_csv_by_name, read_jsonl, read_or_none, read_raw_parquet
 
@@ -24,13 +23,6 @@ def test_one_row_and_materialize(spark):
     assert m.agg(F.sum("y")).first()[0] == 9900
 
 
-def test_global_position_is_dense_in_order(spark):
-    df = spark.createDataFrame([(g, t) for g in ("a", "b") for t in range(50)], "g string, t int").repartition(5)
-    pos = with_global_position(df, ["g", "t"]).orderBy("_pos").collect()
-    assert [r._pos for r in pos] == list(range(100))
-    assert [(r.g, r.t) for r in pos] == sorted((r.g, r.t) for r in pos)
-
-
 def test_absent_paths_read_as_none(spark, tmp_path):
     assert read_or_none(spark, str(tmp_path / "nothing")) is None
     assert read_raw_parquet(spark, str(tmp_path / "nothing")) is None

@@ -91,3 +91,15 @@ def test_unknown_ids_are_all_listed(spark):
     t = spark.createDataFrame([(f"u{i:02d}",) for i in range(25)], "machine_id string")
     assert one(Q.check_machine_id_mismatches(machines, {"telemetry": t})).details.endswith("telemetry: 25")
     assert Q.unknown_machine_ids(machines, {"telemetry": t}).count() == 25
+
+
+def test_every_gap_of_made_up_numbers(spark):
+    import random
+    rng = random.Random(4)
+    for ids in ([0, 32767, 32768, 32769, 70000, 3 * 10**9, 3 * 10**9 + 5], [5], list(range(40000)),
+                [i for i in range(150000) if rng.random() < 0.9 and not 60000 < i < 140000]):
+        df = tel(spark, [f"evt_{i:06d}" for i in ids])
+        want = [(a + 1, b - 1, b - a - 1) for a, b in zip(sorted(ids), sorted(ids)[1:]) if b > a + 1]
+        assert rows(Q.missing_event_ranges(df)) == sorted(want, key=lambda t: tuple((True, str(v)) for v in t))
+        first = [n for a, b, _ in want for n in range(a, min(b, a + 10) + 1)][:10]
+        assert sorted(r["n"] for r in Q.missing_event_sample(df).collect()) == first

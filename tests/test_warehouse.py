@@ -21,7 +21,7 @@ def test_trending_reasons_and_zero(spark):
 
 def _tel(spark, data):
     return spark.createDataFrame(
-        [(f"e{i}", m, ts(t), temp, s) for i, (m, t, temp, s) in enumerate(data)],
+        [(f"e{i}", m, t and ts(t), temp, s) for i, (m, t, temp, s) in enumerate(data)],
         "event_id string, machine_id string, timestamp timestamp_ntz, temperature_c double, status string")
 
 
@@ -52,6 +52,25 @@ def test_overheating_hot_machine_spread_over_partitions(spark):
     assert out == [("big", "error"), ("small", "off")]
 
 
+def test_next_readings_of_a_hot_machine_equal_a_plain_walk(spark):
+    import random
+    rng = random.Random(2)
+    data = []
+    for i in range(900):
+        machine = "hot" if i % 3 else rng.choice(["a", "b", None])
+        at = None if i % 50 == 0 else f"2026-01-{rng.randrange(1, 9):02d}T{rng.randrange(24):02d}:{rng.randrange(60):02d}:00"
+        data.append((machine, at, rng.choice([60.0, 90.0, 99.0]), rng.choice(["running", "idle", "off"])))
+    tel = _tel(spark, data).repartition(6)
+    by_machine = {}
+    for r in tel.collect():
+        by_machine.setdefault(r["machine_id"], []).append(r)
+    want = []
+    for own in by_machine.values():
+        own.sort(key=lambda r: (r["timestamp"] is not None, str(r["timestamp"]), r["event_id"]))
+        want += [(a["machine_id"], a["timestamp"], a["event_id"], a["temperature_c"], b["status"], b["timestamp"]) for a, b in zip(own, own[1:])]
+    assert sorted(map(repr, map(tuple, W.next_readings(tel).collect()))) == sorted(map(repr, want))
+
+
 def test_top10_ties_by_id(spark):
     data = [(f"m{i:02d}", 1) for i in range(12) for _ in range(1 if i % 2 else 2)]
     df = spark.createDataFrame(data, "machine_id string, downtime_minutes long")
