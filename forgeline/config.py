@@ -35,6 +35,7 @@ ALERT_TYPES = ("telemetry_silence", "temperature_exceedance", "scrap_rate_spike"
 ACTIVE, SILENT, NO_DATA = "active", "silent", "no_data"
 DANGER, WARN = "danger", "warn"
 SUCCESS = "success"
+FAILURE = "failure"
 
 # Report and alert texts as in the reference, but that unknown ids are
 # given by number (their table holds them) and null counts by table name.

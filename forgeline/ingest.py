@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline.config import Lake
@@ -60,14 +60,11 @@ def state_table(spark: SparkSession, lake: Lake) -> DataFrame | None:
     return state.groupBy("source").agg(newest).select("source", "s.mark", "s.batch_id", "s.updated_at")
 
 
-def _write_observed(df: DataFrame, name: str, mark_col: str | None, path: str,
-                    partition_cols: list[str]) -> dict:
-    obs = Observation(name)
+def _write_observed(df: DataFrame, mark_col: str | None, path: str, partition_cols: list[str]) -> dict:
     metrics = [F.count(F.lit(1)).alias("rows")]
     if mark_col:
         metrics.append(F.max(mark_col).alias("mark"))
-    write_batch_partitions(df.observe(obs, *metrics), path, partition_cols)
-    return obs.get
+    return write_batch_partitions(df, path, partition_cols, metrics=metrics)
 
 
 def ingest_machines(spark: SparkSession, lake: Lake, source_dir: str, batch_id: str) -> int:
@@ -77,7 +74,7 @@ def ingest_machines(spark: SparkSession, lake: Lake, source_dir: str, batch_id:
     if df is None:
         log.warning("machines.csv not found, skipping")
         return 0
-    stats = _write_observed(df.withColumn("_batch_id", F.lit(batch_id)), "machines", None,
+    stats = _write_observed(df.withColumn("_batch_id", F.lit(batch_id)), None,
                             lake.raw_machines, ["_batch_id"])
     return int(stats.get("rows", 0))
 
@@ -98,7 +95,7 @@ def ingest_maintenance(spark: SparkSession, lake: Lake, source_dir: str,
         new = after_mark(logs, "timestamp", last)
         ts = F.to_timestamp_ntz("timestamp")
         new = new.withColumns({**time_partitions(ts), "_batch_id": F.lit(batch_id)})
-        stats = _write_observed(new, "maintenance", "timestamp", lake.raw_maintenance,
+        stats = _write_observed(new, "timestamp", lake.raw_maintenance,
                                 ["year", "month", "_batch_id"])
         rows = int(stats.get("rows", 0))
         if rows:
@@ -120,7 +117,7 @@ def ingest_production(spark: SparkSession, lake: Lake, source_path: str,
     new = after_mark(df, "date", last)
     d = F.to_date("date", "yyyy-MM-dd")
     new = new.withColumns({**time_partitions(d), "_batch_id": F.lit(batch_id)})
-    stats = _write_observed(new, "production", "date", lake.raw_production, ["year", "month", "_batch_id"])
+    stats = _write_observed(new, "date", lake.raw_production, ["year", "month", "_batch_id"])
     rows = int(stats.get("rows", 0))
     if not rows:
         return {"rows": 0, "watermark": last, "batch_id": batch_id}

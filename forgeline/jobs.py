@@ -9,7 +9,10 @@ import datetime as dt
 import json
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +38,6 @@ from forgeline.streaming.telemetry import ingest_telemetry
 
 log = logging.getLogger("forgeline.jobs")
 
-STEP_ORDER = ["ingest", "staging", "analytics", "quality", "alerts", "queries"]
-
-
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -81,18 +81,31 @@ def lineage(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame([], LINEAGE_RECORD) if df is None else df.orderBy("timestamp")
 
 
-def run_step(spark: SparkSession, lake: Lake, name: str, fn: Callable, **kwargs):
-    """Time a stage and record it; a failure is recorded and re-raised."""
-    t0 = time.perf_counter()
+class Run:
+    """What a recorded task has done so far: ``done`` adds rows to its record."""
+
+    def __init__(self, step: str):
+        self.step, self.rows, self.begun = step, 0, time.perf_counter()
+
+    def done(self, rows: int) -> None:
+        self.rows += rows
+
+    @property
+    def seconds(self) -> float:
+        return time.perf_counter() - self.begun
+
+
+@contextmanager
+def recorded(spark: SparkSession, lake: Lake, step: str) -> Iterator[Run]:
+    """Leaves one run record behind, whether the block ends or fails."""
+    run, outcome = Run(step), {"status": C.SUCCESS}
     try:
-        result = fn(**kwargs)
+        yield run
     except Exception as exc:
-        record_run(spark, lake, name, status="failure", duration_seconds=time.perf_counter() - t0,
-                   error=str(exc))
+        outcome = {"status": C.FAILURE, "error": str(exc)}
         raise
-    rows = result.get("rows", result.get("total_events", 0)) if isinstance(result, dict) else 0
-    record_run(spark, lake, name, status="success", rows=rows, duration_seconds=time.perf_counter() - t0)
-    return result
+    finally:
+        record_run(spark, lake, step, rows=run.rows if outcome["status"] == C.SUCCESS else 0, duration_seconds=run.seconds, **outcome)
 
 
 # -- stages --------------------------------------------------------------------
@@ -198,7 +211,7 @@ def staged_profiles(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 def run_quality(spark: SparkSession, lake: Lake, fail_early: bool = True) -> list[dict]:
     """All checks into one report (written), summary included. With
     ``fail_early`` the first failed error-severity check raises after the
-    report is saved. The report has four rows, so it is collected."""
+    report up to it is saved. The report has four rows, so it is collected."""
     staged = {n: _staged(spark, lake, n) for n in ("telemetry", "production", "maintenance_logs", "machines")}
     report = Q.quality_report(staged["telemetry"], staged["production"], staged["maintenance_logs"],
                               staged["machines"], spark=spark, profiles=staged_profiles(spark, lake))
@@ -206,16 +219,17 @@ def run_quality(spark: SparkSession, lake: Lake, fail_early: bool = True) -> lis
     if staged["machines"] is not None and sources:
         overwrite_table(Q.unknown_machine_ids(staged["machines"], sources), lake.path("metadata", "unknown_machine_ids"))
     rows = [r.asDict() for r in report.orderBy("check_order").collect()]
+    blocking = [r for r in rows if not r["passed"] and r["severity"] == C.ERROR][:1] if fail_early else []
+    if blocking:  # what would have come after it is not reported
+        rows = rows[:rows.index(blocking[0]) + 1]
     report_df = spark.createDataFrame(rows, report.schema)
     summary = Q.quality_summary(report_df).first().asDict()
     write_report(report_df.withColumn("run_timestamp", F.lit(_now()))
                  .withColumns({f"summary_{k}": F.lit(v) for k, v in summary.items()}), lake.quality_report)
     record_lineage(spark, lake, "quality.checks", [lake.staging("*")], [lake.quality_report],
                    output_rows=len(rows))
-    if fail_early:
-        for r in rows:
-            if not r["passed"] and r["severity"] == "error":
-                raise QualityCheckError(r)
+    if blocking:
+        raise QualityCheckError(blocking[0])
     return rows
 
 
@@ -307,47 +321,99 @@ def run_queries(spark: SparkSession, lake: Lake) -> dict[str, int]:
     return out
 
 
-def run_serving(spark: SparkSession, lake: Lake, as_of: dt.datetime) -> dict[str, int]:
-    """Dashboard data: telemetry status table and JSON extracts of the
-    downtime, health and scrap tables (one JSON object per row)."""
+def run_serving(spark: SparkSession, lake: Lake, as_of: dt.datetime, thresholds: C.Thresholds = C.Thresholds()) -> dict[str, int]:
+    """The dashboard's data sets, each a table below ``serving``: the status
+    of every machine (``no_data`` for all while there is no telemetry), the header
+    counts, the three top-ten lists and the downtime list, as far as their
+    inputs exist; and JSON extracts of the metric tables. They read the written
+    metric tables and the status table just written, not the rows again."""
     tel, mach = _staged(spark, lake, "telemetry"), _staged(spark, lake, "machines")
+    tables = {n: read_or_none(spark, lake.analytics(n)) for n in ("factory_downtime_metrics", "machine_health_features", "scrap_rate_metrics")}
+    downtime, health, scrap = tables.values()
     out = {}
-    if tel is not None and mach is not None:
-        out["telemetry_status"] = _write_counted(S.telemetry_status(tel, mach, as_of),
-                                                 lake.path("serving", "telemetry_status"), "telemetry_status")
-    for name in ("factory_downtime_metrics", "machine_health_features", "scrap_rate_metrics"):
-        table = read_or_none(spark, lake.analytics(name))
+
+    def serve(name: str, df: DataFrame) -> DataFrame:
+        out[name] = _write_counted(df, lake.path("serving", name), name)
+        return read_or_none(spark, lake.path("serving", name))
+
+    status = None
+    if mach is not None:
+        latest = INC.side_table(VersionedTable(spark, lake.staging("telemetry")), "latest")
+        latest = P.merge_latest(latest) if latest is not None else None if tel is None else M.latest_event_per_machine(tel)
+        status = serve("telemetry_status", S.status_of(latest, mach, as_of, thresholds.silence_hours))
+        serve("dashboard_silent", S.dashboard_silent(status))
+    if health is not None:
+        serve("dashboard_abnormal", S.dashboard_abnormal(health, temp_threshold=thresholds.temp_c))
+    if scrap is not None:
+        serve("dashboard_high_scrap", S.dashboard_high_scrap(scrap, threshold=thresholds.scrap_rate))
+    if downtime is not None:
+        serve("dashboard_downtime", S.dashboard_downtime(downtime))
+    alerts = read_or_none(spark, lake.alert_report, "json", schema=ALERT_TOTALS)
+    totals = alerts if alerts is not None else spark.createDataFrame([], ALERT_TOTALS)
+    serve("dashboard_kpis", S.dashboard_kpis(spark, downtime, health, status, scrap, totals.agg(F.max("total_alerts").alias("total_alerts")),
+                                             thresholds.temp_c, thresholds.scrap_rate))
+    for name, table in tables.items():
         if table is not None:
             obs = Observation(f"extract_{name}")
-            table.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(
-                lake.path("serving", "extracts", name))
+            table.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(lake.path("serving", "extracts", name))
             out[f"extract_{name}"] = int(obs.get.get("rows", 0))
     return out
 
 
+# -- the whole run ---------------------------------------------------------------
+
+ALERT_TOTALS = "total_alerts long"
+
+
+@dataclass(frozen=True)
+class Task:
+    """A task of the run: its step, what it reads and writes (the order follows
+    from that), and a function that does it and returns the rows it wrote."""
+
+    name: str
+    step: str
+    reads: tuple[str, ...]
+    writes: tuple[str, ...]
+    run: Callable[[], int]
+
+
+def tasks_of(spark: SparkSession, lake: Lake, source_dir: str, landing_dir: str, as_of: dt.datetime) -> list[Task]:
+    return [
+        Task("serving.status", "queries", ("staging", "analytics", "alerts"), ("serving",), lambda: sum(run_serving(spark, lake, as_of).values())),
+        Task("warehouse.queries", "queries", ("staging", "analytics"), ("answers",), lambda: sum(run_queries(spark, lake).values())),
+        Task("monitoring.alerts", "alerts", ("staging", "analytics", "quality"), ("alerts",), lambda: len(run_alerts(spark, lake, as_of))),
+        Task("quality.checks", "quality", ("staging", "analytics"), ("quality",), lambda: len(run_quality(spark, lake, fail_early=False))),
+        Task("transformations.analytics", "analytics", ("staging",), ("analytics",), lambda: len(run_analytics(spark, lake)["tables"])),
+        Task("transformations.staging", "staging", ("raw telemetry", "raw maintenance", "raw production"), ("staging",),
+             lambda: sum(run_staging(spark, lake).values())),
+        Task("ingestion.telemetry", "ingest", (), ("raw telemetry",), lambda: ingest_telemetry(spark, lake, landing_dir)["total_events"]),
+        Task("ingestion.maintenance", "ingest", (), ("raw maintenance",),
+             lambda: ingest_maintenance(spark, lake, source_dir)["maintenance_logs_rows"]),
+        Task("ingestion.production", "ingest", (), ("raw production",),
+             lambda: ingest_production(spark, lake, f"{source_dir}/daily_production.csv")["rows"]),
+    ]
+
+
+def in_order(tasks: list[Task]) -> list[Task]:
+    """Each task after those that write what it reads."""
+    writer = {w: t.name for t in tasks for w in t.writes}
+    by_name = {t.name: t for t in tasks}
+    graph = {t.name: {writer[r] for r in t.reads if r in writer} for t in tasks}
+    return [by_name[n] for n in TopologicalSorter(graph).static_order()]
+
+
 def run_all(spark: SparkSession, lake: Lake, source_dir: str, landing_dir: str, as_of: dt.datetime,
             steps: list[str] | None = None) -> list[str]:
-    """The whole run in order; a failed task is recorded and the run goes
-    on. Returns the names of failed tasks."""
-    tasks = {
-        "ingest": [
-            ("ingestion.telemetry", lambda: ingest_telemetry(spark, lake, landing_dir)),
-            ("ingestion.maintenance", lambda: ingest_maintenance(spark, lake, source_dir)),
-            ("ingestion.production", lambda: ingest_production(spark, lake, f"{source_dir}/daily_production.csv")),
-        ],
-        "staging": [("transformations.staging", lambda: run_staging(spark, lake))],
-        "analytics": [("transformations.analytics", lambda: run_analytics(spark, lake))],
-        "quality": [("quality.checks", lambda: run_quality(spark, lake, fail_early=False))],
-        "alerts": [("monitoring.alerts", lambda: run_alerts(spark, lake, as_of))],
-        "queries": [("warehouse.queries", lambda: run_queries(spark, lake)),
-                    ("serving.status", lambda: run_serving(spark, lake, as_of))],
-    }
+    """The whole run, or the tasks of some steps of it; a failed task is recorded
+    and the run goes on. Returns the names of failed tasks."""
     failed = []
-    for step in steps or STEP_ORDER:
-        for name, fn in tasks[step]:
-            try:
-                run_step(spark, lake, name, fn)
-            except Exception:  # noqa: BLE001
-                log.exception("task %s failed", name)
-                failed.append(name)
+    for task in in_order(tasks_of(spark, lake, source_dir, landing_dir, as_of)):
+        if steps is not None and task.step not in steps:
+            continue
+        try:
+            with recorded(spark, lake, task.name) as run:
+                run.done(task.run())
+        except Exception:  # noqa: BLE001
+            log.exception("task %s failed", task.name)
+            failed.append(task.name)
     return failed

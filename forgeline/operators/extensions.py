@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline import config as C
@@ -19,6 +19,7 @@ MACHINE_TYPES = ("packaging", "soldering", "inspection", "assembly")
 MACHINE_STATUSES = ("active", "maintenance")
 
 # NOT NULL columns and DEFAULTs of the reference's DDL.
+PRIMARY_KEYS = {"machines": "machine_id", "maintenance_logs": "maintenance_id"}
 NOT_NULL = {
     "machines": ["factory_id", "machine_type"],
     "maintenance_logs": ["machine_id", "timestamp", "maintenance_type"],
@@ -53,6 +54,19 @@ def missing_event_windows(telemetry: DataFrame) -> DataFrame:
     return missing.select("machine_id", F.col("hour").alias("missing_hour"))
 
 
+def missing_event_gaps(telemetry: DataFrame) -> DataFrame:
+    """The same as ranges: machine_id, first_hour, last_hour, hours of each run of
+    hours without an event between two that have some. Rows grow with the gaps,
+    not with their length; the window sees each machine's different hours."""
+    ts = F.col("timestamp")
+    first = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
+    seen = telemetry.where(ts.isNotNull()).select("machine_id", first.alias("hour")).distinct()
+    after = F.lead("hour").over(Window.partitionBy("machine_id").orderBy("hour"))
+    gaps = seen.withColumn("after", after).withColumn("hours", F.timestamp_diff("HOUR", F.col("hour"), F.col("after")) - 1)
+    one = F.expr("INTERVAL 1 HOUR")
+    return gaps.where(F.col("hours") > 0).select("machine_id", (F.col("hour") + one).alias("first_hour"), (F.col("after") - one).alias("last_hour"), "hours")
+
+
 def health_flags(machine_events: DataFrame, temp_c: float = C.TEMP_THRESHOLD_C,
                  critical_c: float = C.TEMP_CRITICAL_C,
                  vibration: float = C.TREND_AVG_VIBRATION) -> DataFrame:
@@ -81,6 +95,15 @@ def pk_violations(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
+def declared_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, key, rows) of the declared primary keys that are null or occur more than once."""
+    parts = []
+    for name, key in PRIMARY_KEYS.items():
+        counted = tables[name].groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(counted.where((F.col("rows") > 1) | F.col("key").isNull()).select(F.lit(name).alias("table_name"), "key", "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fk_violations(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose non-null ``key`` has no parent row."""
     parents = parent.select(key).where(F.col(key).isNotNull()).distinct()

@@ -18,7 +18,15 @@ def telemetry_status(telemetry: DataFrame, machines: DataFrame, as_of: dt.dateti
                      silence_hours: float = C.TELEMETRY_SILENCE_HOURS) -> DataFrame:
     """Every machine of the dimension: last event, hours since (1 decimal) and
     status active (<= silence_hours), silent, or no_data."""
-    latest = latest_event_per_machine(telemetry)
+    return status_of(latest_event_per_machine(telemetry), machines, as_of, silence_hours)
+
+
+def status_of(latest: DataFrame | None, machines: DataFrame, as_of: dt.datetime,
+              silence_hours: float = C.TELEMETRY_SILENCE_HOURS) -> DataFrame:
+    """The same from the last event of each machine; without any telemetry
+    (None) every machine has ``no_data``."""
+    if latest is None:
+        latest = machines.sparkSession.createDataFrame([], "machine_id string, last_event timestamp_ntz")
     joined = lookup_join(machines.select("machine_id"), latest, "machine_id", null_safe=True)
     hours = hours_between(F.col("last_event"), ts_literal(as_of))
     return joined.select(
@@ -31,23 +39,24 @@ def telemetry_status(telemetry: DataFrame, machines: DataFrame, as_of: dt.dateti
     )
 
 
-def dashboard_kpis(spark: SparkSession, downtime_metrics: DataFrame, health: DataFrame,
-                   status: DataFrame, scrap: DataFrame, alert_totals: DataFrame,
+def dashboard_kpis(spark: SparkSession, downtime_metrics: DataFrame | None, health: DataFrame | None,
+                   status: DataFrame | None, scrap: DataFrame | None, alert_totals: DataFrame,
                    temp_threshold: float = C.TEMP_THRESHOLD_C,
                    scrap_threshold: float = C.SCRAP_RATE_THRESHOLD) -> DataFrame:
-    """One row of header counts (one-row aggregates combined without a
-    cross join or scalar subqueries)."""
-    def count(df: DataFrame, name: str, cond=None):
-        return (df.where(cond) if cond is not None else df).agg(F.count(F.lit(1)).alias(name))
-
-    totals = alert_totals.select(F.col("total_alerts").alias("alerts"))
+    """One row of header counts, zero for a table that is absent; one
+    aggregate for each table (combined without a cross join or scalar subqueries)."""
+    def counts(df: DataFrame | None, **conditions) -> DataFrame:
+        if df is None:
+            return spark.createDataFrame([tuple(0 for _ in conditions)], ", ".join(f"{n} long" for n in conditions))
+        return df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+
+    everyone = F.lit(True)
     row = one_row(
-        count(downtime_metrics, "factories"),
-        count(health, "machines"),
-        count(health, "abnormal", F.coalesce(F.col("max_temperature_c"), F.lit(0.0)) > temp_threshold),
-        count(status, "silent", F.col("status") != C.ACTIVE),
-        count(scrap, "high_scrap", F.coalesce(F.col("scrap_rate"), F.lit(0.0)) > scrap_threshold),
-        totals,
+        counts(downtime_metrics, factories=everyone),
+        counts(health, machines=everyone, abnormal=F.coalesce(F.col("max_temperature_c"), F.lit(0.0)) > temp_threshold),
+        counts(status, silent=F.col("status") != C.ACTIVE),
+        counts(scrap, high_scrap=F.coalesce(F.col("scrap_rate"), F.lit(0.0)) > scrap_threshold),
+        alert_totals.select(F.col("total_alerts").alias("alerts")),
     )
     return row.select("factories", "machines", "abnormal", "silent", "high_scrap",
                       F.coalesce(F.col("alerts"), F.lit(0)).cast("bigint").alias("alerts"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-                "PythonUDF", "FlatMapCoGroupsInPandas")
+                "PythonUDF", "FlatMapCoGroupsInPandas", "MapInArrow", "FlatMapGroupsInArrow",
+                "FlatMapCoGroupsInArrow", "TransformWithState")
 
 
 def physical_plan(df: DataFrame) -> str:

@@ -141,6 +141,17 @@ def raw_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records <- events: one run for each event, of the step its type
+    names; an error event is a failed run."""
+    ev = table(spark, sf_dir, "events").select("ts", "event_type")
+    return ev.selectExpr(
+        "cast(ts AS timestamp_ntz) AS timestamp",
+        "event_type AS step",
+        "CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS status",
+    )
+
+
 RAW_BUILDERS = {
     "telemetry": raw_telemetry,
     "machines": raw_machines,

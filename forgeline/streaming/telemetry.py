@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,8 +39,8 @@ def stream_name_of(landing_dir: str) -> str:
 def land_batch(lake: Lake, stream_name: str = "telemetry", stats: dict | None = None):
     """foreachBatch function; with ``stats`` it adds the events, batches and
     partitions written (``events``, ``batches``, ``partitions``) and the last
-    batch label (``batch_id``). Events are observed by the write itself,
-    partitions are counted over the batch, not over the table."""
+    batch label (``batch_id``). Events and
+    partitions are observed by the write itself, so the batch is read once."""
     def _land(batch: DataFrame, epoch_id: int) -> None:
         ts = F.to_timestamp_ntz("timestamp")
         out = batch.withColumns({
@@ -48,15 +48,16 @@ def land_batch(lake: Lake, stream_name: str = "telemetry", stats: dict | None =
             **time_partitions(ts, with_day_hour=True),
             "_batch_id": F.lit(batch_label(epoch_id, stream_name)),
         })
+        # the hours of one batch: a small set, gathered by the write itself
+        hours = F.size(F.collect_set(F.concat_ws("/", *PARTITIONS[:-1])))
+        seen = write_batch_partitions(out, lake.raw_telemetry, PARTITIONS,
+                                      metrics=[F.count(F.lit(1)).alias("events"), hours.alias("hours")])
         if stats is None:
-            write_batch_partitions(out, lake.raw_telemetry, PARTITIONS)
             return
-        seen = Observation()
-        write_batch_partitions(out.observe(seen, F.count(F.lit(1)).alias("events")), lake.raw_telemetry, PARTITIONS)
-        events = int(seen.get.get("events", 0))
+        events, hours = (int(seen.get(k) or 0) for k in ("events", "hours"))
         stats["events"] = stats.get("events", 0) + events
         stats["batches"] = stats.get("batches", 0) + (events > 0)
-        stats["partitions"] = stats.get("partitions", 0) + out.select(*PARTITIONS).distinct().count()
+        stats["partitions"] = stats.get("partitions", 0) + hours
         stats["batch_id"] = batch_label(epoch_id, stream_name)
     return _land
 

@@ -191,6 +191,10 @@ late AS (
         FROM state WHERE source = 'production' AND coalesce(mark, '') <> '')
   WHERE d > 0
 ),
+failed_runs AS (
+  SELECT ts AS timestamp, event_type AS step, 'failure' AS status FROM events
+  WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-30 00:00:00'
+),
 alert_report AS (
   SELECT 'telemetry_silence' AS alert_type, 'warning' AS severity,
          CAST(n AS VARCHAR) || ' machine(s) have not sent telemetry in 1.0h' AS message,
@@ -205,6 +209,9 @@ alert_report AS (
   FROM (SELECT count(*) AS n FROM scrap_items) WHERE n > 0
   UNION ALL
   SELECT alert_type, severity, message, item_count, 3 FROM late
+  UNION ALL
+  SELECT 'pipeline_failure', 'critical', CAST(n AS VARCHAR) || ' pipeline step(s) failed in the last 24h', n, 4
+  FROM (SELECT count(*) AS n FROM failed_runs) WHERE n > 0
 ),
 alert_totals AS (
   SELECT count(*) AS total_alerts, count(*) FILTER (WHERE severity = 'critical') AS critical,
@@ -412,6 +419,7 @@ _QUERIES: dict[str, str] = {
     "alert_temperature": "SELECT * FROM temp_items",
     "alert_scrap_rate": "SELECT * FROM scrap_items",
     "alert_late_data": "SELECT * FROM late",
+    "alert_pipeline_failure": "SELECT * FROM failed_runs",
     "alert_report": "SELECT * FROM alert_report",
     "alert_summary": "SELECT * FROM alert_totals",
     # 2.10 serving
@@ -454,6 +462,22 @@ _QUERIES: dict[str, str] = {
                           WHERE s.machine_id IS NOT DISTINCT FROM e.machine_id
                             AND date_trunc('hour', s.timestamp) = e.hour)
     """,
+    "missing_event_gaps": """
+        SELECT machine_id, hour + INTERVAL 1 HOUR AS first_hour, after - INTERVAL 1 HOUR AS last_hour,
+               date_diff('hour', hour, after) - 1 AS hours
+        FROM (SELECT machine_id, hour, lead(hour) OVER (PARTITION BY machine_id ORDER BY hour) AS after
+              FROM (SELECT DISTINCT machine_id, date_trunc('hour', timestamp) AS hour FROM stg_telemetry WHERE timestamp IS NOT NULL))
+        WHERE date_diff('hour', hour, after) > 1
+    """,
+    "declared_keys": """
+        SELECT 'machines' AS table_name, machine_id AS key, count(*) AS rows FROM raw_machines GROUP BY 2 HAVING count(*) > 1 OR machine_id IS NULL
+        UNION ALL
+        SELECT 'maintenance_logs', maintenance_id, count(*) FROM raw_maintenance GROUP BY 2 HAVING count(*) > 1 OR maintenance_id IS NULL
+    """,
+    "declared_defaults": "SELECT maintenance_id, coalesce(downtime_minutes, 0) AS downtime_minutes FROM raw_maintenance",
+    "dashboard_downtime": """
+        SELECT factory_id, total_downtime_minutes, avg_downtime_minutes, downtime_event_count FROM factory_metrics
+    """,
     "health_flags": """
         SELECT event_id, machine_id, timestamp,
                CASE WHEN temperature_c > 95.0 THEN 'critical' WHEN temperature_c > 85.0 THEN 'warning'

@@ -136,3 +136,21 @@ def test_later_file_wins_whatever_its_name(spark, lake, tmp_path):
     ingest_telemetry(spark, lake, str(landing))
     run_staging(spark, lake)
     assert [r.temperature_c for r in read_or_none(spark, lake.staging("telemetry")).collect()] == [99.0]
+
+
+def test_a_batch_has_one_file_an_hour_whatever_its_tasks(spark, lake, tmp_path):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from forgeline.sinks.files import write_batch_partitions
+    df = spark.range(4000).select((F.col("id") % 5).alias("hour"), F.lit("b1").alias("_batch_id"), "id").repartition(16)
+    seen = write_batch_partitions(df, str(tmp_path / "raw"), ["hour", "_batch_id"], metrics=[F.count(F.lit(1)).alias("rows")])
+    assert seen["rows"] == 4000
+    assert len(glob.glob(f"{tmp_path}/raw/hour=*/_batch_id=b1/*.parquet")) == 5
+    # a hot hour is cut into files of a stated size
+    hot = spark.range(4000).select(F.lit(1).alias("hour"), F.lit("b2").alias("_batch_id"), "id").repartition(16)
+    write_batch_partitions(hot, str(tmp_path / "raw"), ["hour", "_batch_id"], max_records_per_file=1000)
+    assert len(glob.glob(f"{tmp_path}/raw/hour=1/_batch_id=b2/*.parquet")) == 4
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 8000
+    assert write_batch_partitions(df.where("id < 0"), str(tmp_path / "raw"), ["hour", "_batch_id"], metrics=[F.count(F.lit(1)).alias("rows")]).get("rows", 0) == 0

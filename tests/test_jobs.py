@@ -1,9 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from forgeline import jobs as J
+from forgeline.sinks.files import overwrite_table
 from forgeline.sources import testbind as TB
 from forgeline.sources.files import read_or_none
 
@@ -55,6 +57,12 @@ def test_full_run_matches_in_memory_queries(spark, lake, tmp_path):
     assert len(analytics) == 8
     staged = read_or_none(spark, lake.staging("telemetry"))
     assert staged.count() == E.queries()["stage_telemetry"](spark, SF).count()
+    serving = J.run_serving(spark, lake, AS_OF)
+    for name in ["telemetry_status", "dashboard_silent", "dashboard_high_scrap", "dashboard_downtime", "dashboard_abnormal"]:
+        assert serving[name] == E.queries()[name](spark, SF).count(), name
+        want = E.queries()[name](spark, SF)
+        cols = [c for c in want.columns if not c.startswith("avg_")]
+        assert rows(read_or_none(spark, lake.path("serving", name)), *cols) == rows(want, *cols), name
     for name in ["downtime_by_factory", "machines_high_scrap", "lines_abnormal_variability",
                  "maintenance_reducing_downtime", "frequently_failing_machines"]:
         lake_rows = read_or_none(spark, lake.path("serving", name))
@@ -71,27 +79,55 @@ def test_full_run_matches_in_memory_queries(spark, lake, tmp_path):
     assert J.lineage(spark, lake).count() >= 12
 
 
-def test_record_run_round_trip_and_failure(spark, lake):
-    J.record_run(spark, lake, "test.step", status="success", rows=42, duration_seconds=1.23456)
-    J.record_run(spark, lake, "test.fail", status="failure", error="boom")
-    hist = J.run_history(spark, lake).collect()
-    assert hist[0].step == "test.step" and hist[0].rows == 42 and hist[0].duration_seconds == 1.235
-    fails = J.run_history(spark, lake, step="test.fail").collect()
-    assert [(r.status, r.error) for r in fails] == [("failure", "boom")]
-    assert J.failed_runs(spark, lake, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).count() == 1
-
-
-def test_run_step_records_and_reraises(spark, lake):
-    def boom():
-        raise RuntimeError("bad input")
-    try:
-        J.run_step(spark, lake, "x", boom)
-    except RuntimeError:
-        pass
-    r = J.run_history(spark, lake, step="x").first()
-    assert (r.status, r.error) == ("failure", "bad input")
-    assert J.run_step(spark, lake, "y", lambda: {"rows": 7}) == {"rows": 7}
-    assert J.run_history(spark, lake, step="y").first().rows == 7
+def test_a_recorded_block_leaves_one_record(spark, lake):
+    with J.recorded(spark, lake, "copy.machines") as run:
+        run.done(3)
+        run.done(5)
+    with pytest.raises(ZeroDivisionError):
+        with J.recorded(spark, lake, "copy.logs") as run:
+            run.done(9)
+            1 / 0
+    by_step = {r.step: r for r in J.run_history(spark, lake).collect()}
+    assert {s: (r.status, r.rows, r.error) for s, r in by_step.items()} == {
+        "copy.machines": ("success", 8, None), "copy.logs": ("failure", 0, "division by zero")}
+    assert all(r.duration_seconds >= 0 for r in by_step.values())
+    assert [r.step for r in J.run_history(spark, lake, step="copy.logs").collect()] == ["copy.logs"]
+
+
+def test_failed_runs_are_those_of_the_last_hours(spark, lake):
+    for hours, status in ((1, "failure"), (30, "failure"), (2, "success")):
+        J.record_run(spark, lake, f"old.{hours}", status=status, at=AS_OF - dt.timedelta(hours=hours), metadata={"k": [1, 2]})
+    found = J.failed_runs(spark, lake, AS_OF).collect()
+    assert [(r.step, r.metadata) for r in found] == [("old.1", {"k": "[1, 2]"})]
+
+
+def test_tasks_come_after_what_they_read(spark, lake):
+    order = [t.name for t in J.in_order(J.tasks_of(spark, lake, "src", "landing", AS_OF))]
+    assert set(order[:3]) == {"ingestion.telemetry", "ingestion.maintenance", "ingestion.production"}
+    assert order[3:5] == ["transformations.staging", "transformations.analytics"]
+    assert order.index("quality.checks") < order.index("monitoring.alerts") < order.index("serving.status")
+
+
+def test_report_ends_with_the_check_that_failed(spark, lake):
+    overwrite_table(spark.createDataFrame([(dt.date(2026, 3, 1), "m1", -4, 0)], "date date, machine_id string, units_produced long, scrap_units long"),
+                    lake.staging("production"))
+    overwrite_table(spark.createDataFrame([("evt_1", "m1", AS_OF), ("evt_2", "m1", AS_OF)], "event_id string, machine_id string, timestamp timestamp_ntz"),
+                    lake.staging("telemetry"))
+    with pytest.raises(J.QualityCheckError, match="negative_production"):
+        J.run_quality(spark, lake)
+    assert [r.check_name for r in read_or_none(spark, lake.quality_report, "json").collect()] == ["missing_telemetry", "negative_production"]
+    assert len(J.run_quality(spark, lake, fail_early=False)) == 4
+
+
+def test_dashboard_without_telemetry(spark, lake):
+    assert J.run_serving(spark, lake, AS_OF) == {"dashboard_kpis": 1}
+    overwrite_table(spark.createDataFrame([("m2",), ("m1",)], "machine_id string"), lake.staging("machines"))
+    out = J.run_serving(spark, lake, AS_OF)
+    assert (out["telemetry_status"], out["dashboard_silent"]) == (2, 2)
+    status = read_or_none(spark, lake.path("serving", "telemetry_status"))
+    assert rows(status) == [("m1", None, None, "no_data"), ("m2", None, None, "no_data")]
+    kpis = read_or_none(spark, lake.path("serving", "dashboard_kpis")).first().asDict()
+    assert kpis == {"factories": 0, "machines": 0, "abnormal": 0, "silent": 2, "high_scrap": 0, "alerts": 0}
 
 
 def test_lineage_round_trip(spark, lake):

@@ -12,11 +12,20 @@ from forgeline.sources import testbind as TB
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.library_queries()))
 def test_no_python_in_any_query(spark, key):
     assert python_nodes(E.queries()[key](spark, SF)) == []
 
 
+def test_python_in_a_plan_is_seen(spark):
+    def same(batches):
+        yield from batches
+
+    df = spark.range(3)
+    for found in (df.mapInArrow(same, "id long"), df.mapInPandas(same, "id long"), df.groupBy("id").applyInArrow(lambda t: t, "id long")):
+        assert python_nodes(found)
+
+
 def test_mark_filter_reaches_scan(spark, tmp_path):
     path = str(tmp_path / "raw")
     TB.raw_production(spark, SF).write.parquet(path)
