@@ -12,7 +12,8 @@
 4. The distinct texts go to the owner task of their bucket. It chains those
    whose keys collide and writes the bucket to the index (a Parquet folder,
    partitioned by bucket, in ``spark.checkpoint.dir``).
-5. The rows of step 1 look up their chain entry in the index.
+5. The rows of step 1 look up their chain entry: the directory gives the
+   bucket of a row's slot, and the entry is sought in that bucket alone.
 
 Only DataFrame functions run; there is no Python in the plan.
 
@@ -25,7 +26,7 @@ empty result. Extra columns are not read, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgeline.llm.shared import text_or_empty, write_shared
@@ -81,6 +82,24 @@ def build_directory(entries: DataFrame, bucket_keys: int, max_buckets: int) -> t
     return depth, slots
 
 
+def directory_table(spark: SparkSession, depth: int, slots: list[int]) -> DataFrame:
+    """(slot, depth, bucket): the bucket of each slot of the directory."""
+    return spark.createDataFrame([(i, depth, b) for i, b in enumerate(slots)], "slot long, depth int, bucket long")
+
+
+def with_bucket(rows: DataFrame, directory: DataFrame) -> DataFrame:
+    """Rows with the bucket that the directory gives for their key."""
+    depth = directory.first()["depth"]
+    return rows.withColumn("slot", slot_of(F.col("key"), depth)).join(directory.drop("depth"), "slot").drop("slot")
+
+
+def look_up(rows: DataFrame, index: DataFrame, directory: DataFrame) -> DataFrame:
+    """Rows (with key and sha) with group_size, keep_id and chain of their
+    entry. The index is laid out by bucket; an entry is found only in the
+    bucket that the directory names for the row's key."""
+    return with_bucket(rows, directory).join(index.select("bucket", "key", "sha", "group_size", "keep_id", "chain"), ["bucket", "key", "sha"])
+
+
 def exact_dedup(docs: DataFrame, bucket_keys: int = 8192, max_buckets: int = 65536, hash_bits: int = 64) -> DataFrame:
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept,
     text_sha256, key (the 64-bit hash key), chain (place among colliding texts)."""
@@ -90,12 +109,11 @@ def exact_dedup(docs: DataFrame, bucket_keys: int = 8192, max_buckets: int = 655
     entries = write_shared(texts.select("doc_id", "key", digest.alias("sha")), "dedup-entries")
 
     depth, slots = build_directory(entries, bucket_keys, max_buckets)
-    directory = spark.createDataFrame(list(enumerate(slots)), "slot long, bucket long")
+    directory = directory_table(spark, depth, slots)
 
     distinct = (texts.groupBy("key", "text").agg(F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id"))
                 .select("key", digest.alias("sha"), "group_size", "keep_id"))
-    owned = (distinct.withColumn("slot", slot_of(F.col("key"), depth)).join(directory, "slot").drop("slot")
-             .repartition("bucket"))
+    owned = with_bucket(distinct, directory).repartition("bucket")
     chain = Window.partitionBy("bucket", "key")
     same = F.count(F.lit(1)).over(chain.partitionBy("bucket", "key", "sha"))
     clash = F.raise_error(F.lit("two different texts have one SHA-256 digest")).cast("long")
@@ -105,7 +123,7 @@ def exact_dedup(docs: DataFrame, bucket_keys: int = 8192, max_buckets: int = 655
         "dedup-index", ("bucket",))
 
     rows = entries.groupBy("key", "sha", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    found = rows.join(index.select("key", "sha", "group_size", "keep_id", "chain"), ["key", "sha"])
+    found = look_up(rows, index, directory)
     each = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return each.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "key", "chain")

@@ -64,7 +64,7 @@ def test_sql(spark, key):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries()[key](spark, SF)
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({oracle_sql()[key]})").fetchall()
@@ -109,6 +109,25 @@ def test_exact_dedup_repeated_rows(spark):
     assert sorted(r["text"] for r in exact_dedup.keep_distinct(d).collect()) == ["a", "b"]
 
 
+def test_entries_are_found_through_the_directory(spark):
+    """A row whose slot the directory gives to another bucket finds nothing, though its key is in the index."""
+    keys = [i << 60 for i in range(8)]
+    rows = spark.createDataFrame([(k, bytes([i]), i) for i, k in enumerate(keys)], "key long, sha binary, doc_id long")
+    index = spark.createDataFrame([(k, bytes([i]), 1, i, 1, (i // 2) * 2) for i, k in enumerate(keys)],
+                                  "key long, sha binary, group_size long, keep_id long, chain int, bucket long")
+    slots = [0, 0, 2, 2, 4, 4, 6, 6] + [8] * 8
+    directory = exact_dedup.directory_table(spark, 4, slots)
+    assert sorted(r["keep_id"] for r in exact_dedup.look_up(rows, index, directory).collect()) == list(range(8))
+    wrong = exact_dedup.directory_table(spark, 4, [2, 2, 2, 2, *slots[4:]])
+    assert sorted(r["keep_id"] for r in exact_dedup.look_up(rows, index, wrong).collect()) == list(range(2, 8))
+
+
+def test_quality_shuffles_no_document_by_language(spark, docs):
+    from forgeline.plans.inspect import physical_plan
+    plan = physical_plan(quality_divergence.quality(docs, with_row=True))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_buckets_split_until_they_fit():
     counts = {p: 1 for p in range(256)} | {5: 50}
     buckets = exact_dedup.split_buckets(counts, 8, 16)
