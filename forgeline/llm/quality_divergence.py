@@ -199,6 +199,8 @@ def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_class_distance: flo
         _share(F.col("words")).alias("ref_words"))
     without = F.array(*[F.lit(0.0)] * OTHERS, F.lit(1.0))
     refs = refs.withColumn("max_word_distance", F.least(F.lit(max_word_distance), max_word_share * jensen_shannon(without, F.col("ref_words"))))
+    # one small row for each language, written: Spark then knows its size, and broadcasts it while it is small
+    refs = write_shared(refs, "quality-references")
     rows = rows.join(refs, rows["lang"].eqNullSafe(refs["l"]), "left")
     n, known = F.col("n_words"), F.col("ref_classes").isNotNull()
     distances = F.struct(F.when(known, jensen_shannon(_share(F.col("classes")), F.col("ref_classes"))).alias("class_distance"),
