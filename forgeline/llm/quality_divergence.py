@@ -40,6 +40,8 @@ OWN_BINS = 16
 #: the bin of all words that are not common; five bits hold a bin
 OTHERS = OWN_BINS + (COMMON_WORDS // OWN_BINS).bit_length() - 1
 BIN_BITS = 5
+#: a letter for each bin, the last one for all other words
+BIN_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"[:OTHERS + 1]
 #: lists that the hashes of a language's common words are dealt to
 LISTS = 1024
 PARTS = 32
@@ -71,14 +73,16 @@ def text_counts(text: Column) -> dict[str, Column]:
 def word_counts(text: Column, words: Column, common: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.trim(line, F.lit(SPACES)) != "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
+    by_hash = _let(hashes, lambda h: F.struct(
+        repeated_words(h).alias("n_repeat_words"),
+        # a letter for each word's bin; a text without one letter is shorter by the number of times that it occurs
+        _let(F.array_join(F.transform(h, lambda x: word_bin(x, common)), ""), lambda own: F.transform(
+            F.array(*[F.lit(c) for c in BIN_LETTERS]), lambda c: (F.length(own) - F.length(F.replace(own, c, F.lit("")))).cast("double"))).alias("words")))
     return {
         "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_dup_lines": _let(lines, lambda own: (F.size(own) - F.size(F.array_distinct(own))).cast("long")),
-        "n_repeat_words": _let(window_hashes(words), repeated_words),
-        # a list without one bin is shorter by the number of times that the bin occurs
-        "words": _let(F.transform(hashes, lambda h: word_bin(h, common)), lambda own: F.transform(
-            F.array(*[F.lit(i) for i in range(OTHERS + 1)]), lambda i: (F.size(own) - F.size(F.array_remove(own, i))).cast("double"))),
+        "by_hash": by_hash,
     }
 
 
@@ -87,16 +91,29 @@ def _list_of(h: Column) -> Column:
 
 
 def word_bin(h: Column, common: Column) -> Column:
-    """The bin of the word with hash ``h``; ``common`` as in ``common_words``."""
+    """The letter of the bin of the word with hash ``h``; ``common`` as in ``common_words``."""
     found = F.filter(F.get(common, _list_of(h)), lambda x: F.shiftrightunsigned(x.bitwiseXOR(h), BIN_BITS) == 0)
-    return F.coalesce(F.get(found, F.lit(0)).bitwiseAND(F.lit((1 << BIN_BITS) - 1)).cast("int"), F.lit(OTHERS))
+    bin_ = F.coalesce(F.get(found, F.lit(0)).bitwiseAND(F.lit((1 << BIN_BITS) - 1)).cast("int"), F.lit(OTHERS))
+    return F.get(F.array(*[F.lit(c) for c in BIN_LETTERS]), bin_)
 
 
-def repeated_words(windows: Column) -> Column:
-    """Words covered by windows that occur twice or more, from the array of
-    the windows' hashes. Sorting (hash, place) brings equal ones together;
-    the places of those are sorted again, and each covers the words up to the
-    next one, eight at most."""
+def repeated_words(hashes: Column) -> Column:
+    """Words covered by eight-word windows that occur twice or more, from the
+    hashes of the words. A window that comes again brings five four-word
+    windows that came before, so texts with fewer of them pay for no more."""
+    def fours(h: Column) -> Column:
+        return _let(_joined(h, 1), lambda pairs: _joined(pairs, 2))
+
+    def again(f: Column) -> Column:
+        few = F.size(f) - F.size(F.array_distinct(f)) < WINDOW // 2 + 1
+        return F.when(few, F.lit(0).cast("long")).otherwise(_let(_joined(f, 4), _covered_words))
+
+    return _let(fours(hashes), again)
+
+
+def _covered_words(windows: Column) -> Column:
+    """Sorting (hash, place) brings equal windows together; the places of
+    those are sorted again, and each covers the words up to the next one, eight at most."""
     def places(pairs: Column) -> Column:
         n = F.size(pairs)
         again = F.filter(pairs, lambda p, i: (
@@ -109,9 +126,7 @@ def repeated_words(windows: Column) -> Column:
             F.lit(0).cast("long"), lambda total, n: total + n)
 
     pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    # most texts have no repeated window: these pay for no sort
-    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(
-        _let(pairs, lambda p: _let(places(p), covered)))
+    return _let(pairs, lambda p: _let(places(p), covered))
 
 
 def _let(value: Column, body) -> Column:
@@ -125,15 +140,9 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def window_hashes(words: Column) -> Column:
-    """Hashes of all eight-word windows, by doubling: of words, of pairs, of fours, of eights."""
-    def joined(step: int):
-        return lambda h: F.transform(F.slice(h, 1, F.greatest(F.lit(0), F.size(h) - step)), lambda x, i: F.xxhash64(x, F.get(h, i + step)))
-
-    hashes, step = F.transform(words, lambda w: F.xxhash64(w)), 1
-    while step < WINDOW:
-        hashes, step = _let(hashes, joined(step)), step * 2
-    return hashes
+def _joined(h: Column, step: int) -> Column:
+    """Hashes of windows of twice the width, from those of ``step`` words."""
+    return F.transform(F.slice(h, 1, F.greatest(F.lit(0), F.size(h) - step)), lambda x, i: F.xxhash64(x, F.get(h, i + step)))
 
 
 def _share(counts: Column) -> Column:
@@ -177,7 +186,7 @@ def document_counts(docs: DataFrame, with_row: bool = False) -> DataFrame:
     text, common = F.col("__text"), F.col("common")
     by_word = _let(words_of(text), lambda words: F.struct(*[c.alias(k) for k, c in word_counts(text, words, common).items()]))
     counts = F.struct(by_word.alias("w"), *[c.alias(k) for k, c in text_counts(text).items()])
-    rows = rows.withColumn("c", _once(counts)).select("doc_id", "lang", "c.*", *([ROW] if with_row else [])).select("*", "w.*").drop("w")
+    rows = rows.withColumn("c", _once(counts)).select("doc_id", "lang", "c.*", *([ROW] if with_row else [])).select("*", "w.*").drop("w").select("*", "by_hash.*").drop("by_hash")
     letter = F.col("word_chars") - F.col("capital") - F.col("digit") - F.col("sign")
     classes = [letter, F.col("capital"), F.col("digit"), F.col("n_chars") - F.col("word_chars"), F.col("sign")]
     rows = rows.withColumn("classes", F.array(*[c.cast("double") for c in classes]))
