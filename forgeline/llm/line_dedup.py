@@ -50,6 +50,8 @@ SEED = 42
 SHORT_WORD = 5
 #: fingerprints in a slot of the block join, on average
 SLOT = 1 << 18
+#: bytes of lines that a task holds as Python objects at once
+LINE_BYTES = 1 << 19
 LARGE_RUN = 1024
 BUCKET = ["pair", "bits"]
 
@@ -94,13 +96,18 @@ def line_occurrences(docs: DataFrame, row: Column) -> DataFrame:
     line that has a word; ``row`` differs from row to row of ``docs``."""
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for b in batches:
-            texts = b.column(4).to_pylist()
-            if texts:
+            ends, lo = np.cumsum(pc.binary_length(b.column(4)).to_numpy(), dtype=np.int64), 0
+            while lo < b.num_rows:  # so many bytes of lines at once are Python objects
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + LINE_BYTES, "right")))
+                part = b.slice(lo, hi - lo)
+                texts = part.column(4).to_pylist()
                 md5 = pa.array([hashlib.md5(t).digest() for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([*b.columns[:4], md5, pa.array(simhashes(texts).view(np.int64))],
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], md5, pa.array(simhashes(texts).view(np.int64))],
                                                  ["doc_id", "row", "line_no", "raw", "md5", "fp"])
+                lo = hi
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = lines_of(docs, "doc_id", row.alias("row")).select("doc_id", "row", "line_no", F.xxhash64("line").alias("raw"), normalised(F.col("line")).alias("line"))
