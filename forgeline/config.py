@@ -129,6 +129,14 @@ class Lake:
     def alert_report(self) -> str:
         return self.path("metadata", "alerts")
 
+    @property
+    def silence_changes(self) -> str:
+        return self.path("metadata", "silence")
+
+    @property
+    def silence_checkpoint(self) -> str:
+        return self.path("metadata", "checkpoints", "silence")
+
     @property
     def stream_checkpoint(self) -> str:
         return self.path("metadata", "checkpoints", "telemetry")
