@@ -59,3 +59,20 @@ def maybe_in(keys: DataFrame, filters: DataFrame, group: str, key: str, blocks:
     may be in the group's filter."""
     tested = keys.withColumn("block", block_of(key, F.col(blocks)))
     return tested.join(filters, [group, "block"]).where(passes(key)).drop("block", "words")
+
+
+#: blocks of a filter that is sent to every task: 8 MB at most, however many keys it is given
+SENT_BLOCKS = 1 << 16
+
+
+def rows_of(rows: DataFrame, keys: DataFrame, key: str, blocks: int = SENT_BLOCKS) -> DataFrame:
+    """The rows whose non-null ``key`` is among ``keys`` (different ones, in one
+    column of that name). Rows meet a filter of the keys where they are read, and
+    only those that pass are shuffled to the exact join. The filter has a fixed number of
+    blocks, so its size has a bound; more keys than it is good for let more rows pass."""
+    whole = keys.select(F.lit(0).alias("__of"), key, F.lit(blocks).cast("long").alias("__n"))
+    sent = build(whole, "__of", key, "__n").select(F.col("block").alias("__block"), F.col("words").alias("__words"))
+    tested = rows.where(F.col(key).isNotNull()).withColumn("__block", block_of(key, F.lit(blocks).cast("long")))
+    passed = tested.join(F.broadcast(sent), "__block").where(passes(key, "__words")).select(*rows.columns)
+    # the keys are different ones: an inner join, as the optimizer moves a semi join below the filter
+    return passed.join(keys.select(key), key).select(*rows.columns)

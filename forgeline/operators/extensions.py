@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline import config as C
+from forgeline.operators import bloom
 from forgeline.operators.quality import null_counts
-from forgeline.plans.joins import lookup_join
+from forgeline.plans.joins import broadcast_limit, fits_broadcast, lookup_join
 
 # Enum values seen in the reference's machines sample file.
 MACHINE_TYPES = ("packaging", "soldering", "inspection", "assembly")
@@ -105,9 +106,15 @@ def declared_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose non-null ``key`` has no parent row."""
+    """Child rows whose non-null ``key`` has no parent row. Where the parents
+    are too many to broadcast, the children's different keys alone are joined to
+    them, and of the child rows only those with a possible stranger's key are shuffled."""
     parents = parent.select(key).where(F.col(key).isNotNull()).distinct()
-    return lookup_join(child.where(F.col(key).isNotNull()), parents, key, how="left_anti", bound_by=parent)
+    known = child.where(F.col(key).isNotNull())
+    if fits_broadcast(parents, broadcast_limit(parent), bound_by=parent):
+        return lookup_join(known, parents, key, how="left_anti", bound_by=parent)
+    strangers = known.select(key).distinct().join(parents, key, "left_anti")
+    return bloom.rows_of(child, strangers, key)
 
 
 def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
