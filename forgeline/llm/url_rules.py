@@ -1,9 +1,13 @@
 """URL filters by hashed host-suffix and path-prefix expressions.
 
 Each URL is expanded into "host suffix + path prefix" expressions, as far as
-the rules have such lengths: an expression no rule can equal is not made. An
-expression joins the rules on the first 32 bits of its SHA-256 digest, then
-the full digests are compared. Of the rules that fit, the longest wins (code
+a rule can equal them. A URL's host suffixes (at its labels, as far back as the
+longest rule host) join the rules' hosts on the first 32 bits of their SHA-256
+digests, then by the whole host; a host brings the lengths of its own rules'
+paths, and only path prefixes of these lengths are made. An expression joins the
+rules on the first 32 bits of its digest, then the full digests are compared. So a
+URL's expressions do not grow with the number of rules of other hosts, and
+of the rules one number alone, the longest host's length, comes to the driver. Of the rules that fit, the longest wins (code
 points of host and path); then the one with the longer host, then block.
 
 Defined cases: a URL that is null or has no ``://`` has an empty host and
@@ -40,34 +44,47 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _digest(host: Column, path: Column) -> Column:
-    # 0x1F can't be mistaken: the host part has a fixed length for each pair of lengths
-    return F.sha2(F.concat(host, F.lit("\x1f"), path), 256)
+    return F.sha2(F.concat(F.length(host).cast("string"), F.lit("\x1f"), host, path), 256)
+
+
+def _short(digest: Column) -> Column:
+    return F.substring(digest, 1, 8)
 
 
 def rule_table(spark, rules=RULES) -> DataFrame:
     """(verdict, host, path, digest, short, host_len, path_len)."""
     table = spark.createDataFrame(list(rules), "verdict string, host string, path string")
     table = table.withColumn("host", ascii_lower(F.col("host"))).withColumn("digest", _digest(F.col("host"), F.col("path")))
-    return table.select("*", F.substring("digest", 1, 8).alias("short"), F.length("host").alias("host_len"), F.length("path").alias("path_len"))
+    return table.select("*", _short(F.col("digest")).alias("short"), F.length("host").alias("host_len"), F.length("path").alias("path_len"))
+
+
+def host_labels(host: Column, longest: int) -> Column:
+    """The host cut at its dots, as far as its last ``longest`` characters
+    reach: what is left of a longer host costs nothing."""
+    tail = F.split(F.right(host, F.lit(longest + 1)), r"\.", -1)
+    # the first piece of a cut host does not begin at a label
+    return F.when(F.length(host) > longest, F.slice(tail, F.lit(2), F.size(tail))).otherwise(tail)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict for each row of ``pages``."""
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    # the different pairs of lengths: bounded by the lengths that hosts and rule paths have
-    lengths = [(r["host_len"], r["path_len"]) for r in rules.select("host_len", "path_len").distinct().sort("host_len", "path_len").collect()]
-    kind = "array<struct<h:int,p:int>>"
-    pairs = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(p).alias("p")) for h, p in lengths]).cast(kind)
-
-    urls = rows.select("host", "path").distinct().withColumn("cut", F.explode(pairs)).select("host", "path", "cut.h", "cut.p")
-    at_label = (F.length("host") == F.col("h")) | ((F.length("host") > F.col("h")) & (F.expr("substring(host, length(host) - h, 1)") == "."))
-    urls = urls.where(at_label & (F.length("path") >= F.col("p")))
-    digest = _digest(F.expr("right(host, h)"), F.expr("left(path, p)"))
-    asked = urls.withColumn("asked", digest).withColumn("short", F.substring("asked", 1, 8))
-
-    known = rules.select("short", "digest", "verdict", F.concat("host", "path").alias("rule"), "host_len", "path_len")
-    fits = asked.join(known, "short").where(F.col("asked") == F.col("digest"))
+    longest = rules.agg(F.max("host_len")).first()[0] or 0
+
+    urls = rows.select("host", "path").distinct().withColumn("labels", host_labels(F.col("host"), longest))
+    from_each = F.transform("labels", lambda _, i: F.array_join(F.slice("labels", i + 1, F.size("labels")), "."))
+    suffixes = urls.select("host", "path", F.explode(from_each).alias("suffix"))
+    suffixes = suffixes.withColumn("host_short", _short(F.sha2("suffix", 256)))
+    hosts = rules.groupBy(F.col("host").alias("rule_host")).agg(F.collect_set("path_len").alias("path_lens"))
+    hosts = hosts.withColumn("host_short", _short(F.sha2("rule_host", 256)))
+    known = suffixes.join(hosts, "host_short").where(F.col("suffix") == F.col("rule_host"))
+    lens = F.filter("path_lens", lambda p: p <= F.length("path"))
+    asked = known.select("host", "path", "suffix", F.explode(lens).alias("p"))
+    asked = asked.withColumn("asked", _digest(F.col("suffix"), F.expr("left(path, p)"))).withColumn("short", _short(F.col("asked")))
+
+    full = rules.select("short", "digest", "verdict", F.concat("host", "path").alias("rule"), "host_len", "path_len")
+    fits = asked.join(full, "short").where(F.col("asked") == F.col("digest"))
     rank = F.struct(F.col("host_len") + F.col("path_len"), "host_len", (F.col("verdict") == "block"))
     best = fits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), rank).alias("best"))
     judged = rows.join(best, ["host", "path"], "left")

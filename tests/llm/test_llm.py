@@ -410,6 +410,40 @@ def test_urls_against_every_rule(spark):
     assert by[4] == ("a.example.org", "/es/x") and by[12] == ("a:", "//b.org/") and by[1] == ("", "") and by[11] == ("example.org", "")
 
 
+def test_urls_against_a_hundred_thousand_rules(spark):
+    rng = random.Random(6)
+    labels = ["a", "bb", "example", "shop", "news", "x" * 40, ""]
+    hosts = sorted({".".join(rng.choice(labels) for _ in range(rng.randint(1, 4))) + rng.choice([".com", ".org", f".n{i % 997}"]) for i in range(20000)})
+    paths = ["/"] + ["/" + "/".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(rng.randint(1, 5))) for _ in range(500)]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(paths)) for _ in range(100_000)]
+    rules += [("allow", "n1", "/"), ("block", "n1", "/")]  # of equal rules, block wins
+    urls = ["x://" + rng.choice(["", "www.", "a.b."]) + rng.choice(hosts) + rng.choice(paths) + rng.choice(["", "zz", "?q"]) for _ in range(3000)]
+    urls += ["x://q.n1/", "x://" + "a." * 200_000 + "com/", "x://" + "a" * 100_000 + "/", "x://" + "y" * 50_000 + "." + rules[0][1] + rules[0][2]]
+    by_host = {}
+    for verdict, host, path in rules:
+        by_host.setdefault(host, set()).add((path, verdict))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_rules.judge_urls(pages, url_rules.rule_table(spark, rules)).collect()
+    assert len(got) == len(urls)
+    hit = 0
+    for r in got:
+        own, fits = r["host"], []
+        cuts = [0] + [m.end() for m in re.finditer(r"\.", own)]
+        for at in cuts[-12:] if len(own) > 1000 else cuts:  # no rule's host has more labels
+            fits += [(len(own) - at + len(p), len(own) - at, v == "block", own[at:] + p, v) for p, v in by_host.get(own[at:], ()) if r["path"].startswith(p)]
+        assert (r["rule"], r["verdict"]) == (max(fits)[3:] if fits else (None, "allow")), r
+        hit += bool(fits)
+    assert hit > 500
+
+
+def test_urls_without_rows_or_rules(spark):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert url_rules.judge_urls(none, url_rules.rule_table(spark)).count() == 0
+    pages = spark.createDataFrame([(1, "x://a.org/"), (2, None)], "page_id long, url string")
+    no_rules = url_rules.rule_table(spark).limit(0)
+    assert {(r["rule"], r["verdict"]) for r in url_rules.judge_urls(pages, no_rules, "block").collect()} == {(None, "block")}
+
+
 # -- tokens ---------------------------------------------------------------------------------
 
 def test_bpe_matches_the_library(texts):
