@@ -9,12 +9,15 @@ leftmost matches that don't overlap; a match that fails its check is dropped
 and not tried again at another boundary.
 Added kinds: ``login`` (user and password before the host of an address:
 ``scheme://user:password@host``) and ``account`` (an identifier after a cue
-word such as "iban" or "account", in any case mix: letters and digits, at
-least six digits). Between the two may stand signs and connector words such as
-"number" or "is", any number of them; the identifier may be written in groups
-with single blanks or hyphens between them. An IBAN has the length that its check digits
-confirm, the longest if there are several; any other identifier goes on over
-a blank as long as the groups are digits and it has 34 characters at most.
+word such as "iban", "account", "Kontonummer", "compte" or "cuenta", in any case mix).
+Cues and connectors are those of the table's languages (English, German, French,
+Spanish). Between a cue and its identifier may stand signs and connector words such
+as "number" or "ist", any number of them; the identifier may be written in groups
+with single blanks, hyphens or dots between them. Identifiers with check digits or a
+fixed form (IBAN, social security number, German tax number, French NIR, Spanish
+DNI and NIE) are spans only if these hold, and end where they hold, at the longest
+such place. Any other identifier is letters and digits with six digits at least; it goes on
+over a blank as long as the groups are digits and it has 34 characters at most.
 
 Defined cases: a null text counts as empty and has no spans. Repeated rows
 each give a row; an empty table gives an empty result; extra columns are not
@@ -32,10 +35,16 @@ from forgeline.llm.shared import text_or_empty
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("login", "account")
-#: words after which an identifier may stand
-CUES = ("iban", "account", "acct", "ssn", "passport")
+#: words after which an identifier without check digits may stand
+PLAIN_CUES = ("account", "acct", "passport",
+              "konto", "kontonummer", "kundennummer", "reisepass", "reisepassnummer", "passnummer", "personalausweis", "ausweisnummer",
+              "compte", "passeport", "cuenta", "pasaporte")
 #: words that may stand between a cue and its identifier; no cue is among them, so no text is read for two cues
-CONNECTORS = frozenset(("number", "num", "no", "nr", "is", "was", "id", "code", "the", "my", "your", "of", "for"))
+CONNECTORS = frozenset((
+    "number", "num", "no", "nr", "is", "was", "id", "code", "the", "my", "your", "of", "for",
+    "nummer", "ist", "lautet", "der", "die", "das", "mein", "meine", "meiner", "ihre", "ihrer",
+    "n", "num\u00e9ro", "numero", "est", "le", "la", "mon", "votre", "bancaire", "de", "du",
+    "n\u00famero", "es", "el", "mi", "su", "del", "bancaria", "corriente"))
 #: code points of an identifier at most (an IBAN's limit)
 LONGEST = 34
 
@@ -43,8 +52,8 @@ _DIGITS = frozenset("0123456789")
 _ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _LABEL = _ALNUM | {"-"}
 _LOCAL = _ALNUM | set("._%+-")
-_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
-_BETWEEN = frozenset(" \t\n\r:#=.,()'\"*_\u00a0")
+_BETWEEN = frozenset(" \t\n\r:#=.,()'\"*_-\u00a0\u00b0\u00ba")
+_GROUP_ENDS = frozenset(" -.")
 _CONNECTOR_LENGTH = max(map(len, CONNECTORS))
 _PHONE = _DIGITS | set(" ().-")
 _USERINFO_END = frozenset("/?#@ \t\n\r\x0b\x0c\"'<>")
@@ -63,8 +72,53 @@ def iban_ok(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
-#: A-Z to a-z, everything else, and so every place, as it is
-_LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+def ssn_ok(code: str) -> bool:
+    """Nine digits, none of the parts out of use."""
+    return len(code) == 9 and code.isdigit() and code[:3] not in ("000", "666") and code[0] != "9" and code[3:5] != "00" and code[5:] != "0000"
+
+
+def tax_number_ok(code: str) -> bool:
+    """Eleven digits, the last one a check digit modulo 11 and 10."""
+    if len(code) != 11 or not code.isdigit() or code[0] == "0":
+        return False
+    product = 10
+    for d in code[:10]:
+        product = ((int(d) + product) % 10 or 10) * 2 % 11
+    return (11 - product) % 10 == int(code[10])
+
+
+def nir_ok(code: str) -> bool:
+    """Fifteen digits (2A or 2B for the departments of Corsica), the last two a key modulo 97."""
+    body, key = code[:13].upper(), code[13:]
+    corsica = {"2A": "19", "2B": "18"}.get(body[5:7])
+    body = body[:5] + corsica + body[7:] if corsica else body
+    return len(code) == 15 and body.isdigit() and key.isdigit() and body[0] in "12" and 97 - int(body) % 97 == int(key)
+
+
+#: fixed values: the check letters of Spanish identity numbers, by the number modulo 23
+DNI_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
+
+
+def dni_ok(code: str) -> bool:
+    """Eight digits, or X, Y or Z and seven digits, and a check letter."""
+    code = code.upper()
+    first = {"X": "0", "Y": "1", "Z": "2"}.get(code[:1], code[:1])
+    number = first + code[1:8]
+    return len(code) == 9 and number.isdigit() and code[8] == DNI_LETTERS[int(number) % 23]
+
+
+#: cues of identifiers that are checked: least and greatest length, and the check
+CHECKED_CUES = {
+    "iban": (15, LONGEST, lambda code: code[:2].isalpha() and code[2:4].isdigit() and iban_ok(code)),
+    **dict.fromkeys(("ssn", "social security"), (9, 9, ssn_ok)),
+    **dict.fromkeys(("steuer-id", "steuernummer", "steueridentifikationsnummer"), (11, 11, tax_number_ok)),
+    **dict.fromkeys(("nir", "s\u00e9curit\u00e9 sociale"), (15, 15, nir_ok)),
+    **dict.fromkeys(("dni", "nie", "nif"), (9, 9, dni_ok)),
+}
+CUES = (*PLAIN_CUES, *CHECKED_CUES)
+
+#: capitals of ASCII and Latin-1 to small letters, everything else, and so every place, as it is
+_LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
 
 
 def _run(text: str, at: int, allowed) -> int:
@@ -153,12 +207,15 @@ def grow_account(text: str, cue_start: int, after: int) -> tuple[int, int] | Non
     at = after
     while True:
         at = _run(text, at, _BETWEEN)
-        end = _run(text, at, _LETTERS)
+        end = at
+        while end < len(text) and text[end].isalpha():
+            end += 1
         if end == at or end - at > _CONNECTOR_LENGTH or text[at:end].lower() not in CONNECTORS or (end < len(text) and (text[end].isalnum() or text[end] == "-")):
             break
         at = end
-    if text[cue_start:after].lower() == "iban":
-        return _iban(text, at)
+    checked = CHECKED_CUES.get(text[cue_start:after].translate(_LOWER))
+    if checked:
+        return _checked(text, at, *checked)
     end, digits = _group(text, at)
     n = end - at
     while digits and end + 1 < len(text) and text[end] == " ":  # groups of digits, a blank between
@@ -177,17 +234,17 @@ def _group(text: str, at: int) -> tuple[int, int]:
     return end, sum(c in _DIGITS for c in text[at:end])
 
 
-def _iban(text: str, at: int) -> tuple[int, int] | None:
-    """The longest run of groups from ``at`` whose check digits hold."""
+def _checked(text: str, at: int, least: int, most: int, holds) -> tuple[int, int] | None:
+    """The longest run of groups from ``at`` that passes its check."""
     code, end, best = "", at, None
     while True:
         stop = _run(text, end, _ALNUM)
-        code += text[end:stop]
-        if stop == end or len(code) > LONGEST:
+        if stop == end or len(code) + stop - end > most:
             return best
-        if len(code) >= 15 and code[:2].isalpha() and code[2:4].isdigit() and iban_ok(code):
+        code += text[end:stop]
+        if len(code) >= least and (stop == len(text) or not text[stop].isalnum()) and holds(code):
             best = at, stop
-        if stop + 1 >= len(text) or text[stop] not in " -":
+        if stop + 1 >= len(text) or text[stop] not in _GROUP_ENDS:
             return best
         end = stop + 1
 

@@ -541,9 +541,45 @@ def test_pii_accounts_as_they_are_written(text, want):
     assert got == ([want] if want else [])
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Meine Kontonummer lautet 12345678.", "12345678"), ("Konto-Nr. 1234 5678 90", "1234 5678 90"), ("IBAN-Nummer: DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+    ("Steuer-ID: 86 095 742 719", "86 095 742 719"), ("Steuer-ID: 86 095 742 718", None), ("Reisepassnummer C01X00T478", "C01X00T478"),
+    ("le num\u00e9ro de compte est 00012345678", "00012345678"), ("compte n\u00b0 00012345678", "00012345678"), ("mon compte bancaire num\u00e9ro 12 34 56 78", "12 34 56 78"),
+    ("S\u00c9CURIT\u00c9 SOCIALE : 2 55 08 14 168 025 38", "2 55 08 14 168 025 38"), ("s\u00e9curit\u00e9 sociale 2 55 08 14 168 025 39", None),
+    ("mi DNI es 12345678Z", "12345678Z"), ("DNI: 12.345.678-Z", "12.345.678-Z"), ("DNI 12345678A", None), ("NIE X-1234567-L", "X-1234567-L"),
+    ("La cuenta corriente n\u00famero 0049 1500 05", "0049 1500 05"), ("cuenta con 1234567 habitantes", None), ("das war nie 12345678", None),
+    ("SSN 666-45-6789", None), ("SSN 123-45-67890", None), ("social security number 123-45-6789", "123-45-6789"), ("midnight 12345678Z", None)])
+def test_pii_accounts_of_the_tables_languages(text, want):
+    got = [text[s:e] for k, s, e in pii.find_spans(text, pii.automaton()) if k == "account"]
+    assert got == ([want] if want else [])
+
+
+def test_pii_check_digits():
+    """One wrong digit is always found; the cues and the connectors have no word in common."""
+    rng = random.Random(12)
+    for ok, make in ((pii.tax_number_ok, lambda: str(rng.randrange(10**9, 10**10))), (pii.nir_ok, lambda: str(rng.randrange(10**12, 3 * 10**12)))):
+        width = 1 if ok is pii.tax_number_ok else 2
+        for _ in range(50):
+            body = make()
+            good = [c for c in (body + str(k).zfill(width) for k in range(10**width)) if ok(c)]
+            assert len(good) == 1
+            at = rng.randrange(1, len(body))
+            assert not ok(good[0][:at] + str((int(good[0][at]) + 1) % 10) + good[0][at + 1:])
+    assert not pii.CONNECTORS & {w for cue in pii.CUES for w in cue.split()}
+
+
+def test_pii_defined_cases(spark):
+    """Null and empty texts have no span; repeated rows each give a row; spans of a very long text lie where they should."""
+    long = "x" * 400_000 + " a@b.co"
+    got = pii.find_pii(table(spark, [None, "", long, long], ids=[1, 2, 3, 3])).collect()
+    none = hashlib.sha256(b"").hexdigest()
+    assert sorted((r["doc_id"], r["n_email"], r["spans"]) for r in got) == [(1, 0, ""), (2, 0, ""), *[(3, 1, "email:400001:400007")] * 2]
+    assert {r["base_sha256"] for r in got if r["doc_id"] < 3} == {none}
+
+
 def test_pii_long_runs_of_cues_are_linear():
     anchors, start = pii.automaton(), time.process_time()
-    for text in ("account " * 60000, "iban a1 " * 60000, "account" + " " * 300000 + "1", "account 1" + "a" * 300000, "account " + "number " * 60000, "account 1 " * 60000):
+    for text in ("account " * 60000, "iban a1 " * 60000, "account" + " " * 300000 + "1", "account 1" + "a" * 300000, "account " + "number " * 60000, "account 1 " * 60000, "dni 1 " * 60000, "nir " + "1 " * 150000, "compte " + "n\u00b0 " * 60000):
         pii.find_spans(text, anchors)
     assert time.process_time() - start < 10
 
