@@ -98,6 +98,9 @@ class Lake:
     def raw_production(self) -> str:
         return self.path("raw", "production")
 
+    def compacted(self, name: str) -> str:
+        return self.path("raw_compacted", name)
+
     # staging / analytics (rewritten each run)
     def staging(self, name: str) -> str:
         return self.path("staging", name)

@@ -132,7 +132,7 @@ def possible_parts(keys: DataFrame, table: VersionedTable, now: Commit, key: str
     return [r[0] for r in hit.collect()]
 
 
-def _folder_of(spark: SparkSession, top: str, part: str) -> str:
+def folder_of(spark: SparkSession, top: str, part: str) -> str:
     escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     return f"{top}/{PART}={escape(part)}"
 
@@ -184,8 +184,8 @@ def upsert(table: VersionedTable, spec: Staged, batch: DataFrame, epoch: int) ->
         sides[side] = table.new_folder(side)
         of(written, PART).withColumn("dir", F.col(PART)).write.partitionBy("dir").parquet(table.full(sides[side]))
     for p, r in found.items():
-        entry = {"folder": _folder_of(spark, folder, p), "profile": {k: r[k] for k in spec.profile()}}
-        dir_of = _folder_of(spark, "", p)[1:].replace(f"{PART}=", "dir=", 1)
+        entry = {"folder": folder_of(spark, folder, p), "profile": {k: r[k] for k in spec.profile()}}
+        dir_of = folder_of(spark, "", p)[1:].replace(f"{PART}=", "dir=", 1)
         if index:
             entry |= {"index": f"{index}/{dir_of}", "blocks": bloom.blocks_for(r["rows"]), "low": r["low"], "high": r["high"]}
         entry["sides"] = {side: f"{top}/{dir_of}" for side, top in sides.items()}
@@ -213,12 +213,14 @@ def staged_rows(table: VersionedTable) -> int:
     return sum(p["profile"]["rows"] for p in now.parts.values()) if now else 0
 
 
-def rebuild(spark: SparkSession, raw_path: str, table_path: str, spec: Staged) -> Commit:
-    """Stage the whole raw history anew as one version."""
+def rebuild(spark: SparkSession, raw_path: str, table_path: str, spec: Staged, compacted: DataFrame | None = None) -> Commit:
+    """Stage the whole raw history anew as one version; ``compacted`` holds the raw rows that were moved."""
     table = VersionedTable(spark, table_path)
     before = table.current()
     empty = table.commit({}, {**(before.meta if before else {}), "epoch": -1}, before)
     raw = spark.read.schema(spec.raw_schema).option("pathGlobFilter", "*.parquet").parquet(raw_path)
+    if compacted is not None:
+        raw = raw.unionByName(compacted)
     epoch = before.meta.get("epoch", 0) if before else 0
     return upsert(table, spec, raw, epoch) or empty
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from forgeline import config as C
 from forgeline import incremental as INC
+from forgeline.compaction import compact_telemetry, compacted_rows
 from forgeline.config import Lake
 from forgeline.ingest import ingest_maintenance, ingest_production, state_table
 from forgeline.operators import alerts as A
@@ -137,7 +138,7 @@ def run_staging(spark: SparkSession, lake: Lake, full: bool = False) -> dict:
         if name not in INC.SPECS:
             stats[name] = _write_counted(ST.stage_machines(read_raw_parquet(spark, path_of(lake))), out, f"stage_{name}")
         elif full:
-            INC.rebuild(spark, path_of(lake), out, INC.SPECS[name])
+            INC.rebuild(spark, path_of(lake), out, INC.SPECS[name], compacted_rows(spark, lake, name))
             stats[name] = INC.staged_rows(VersionedTable(spark, out))
         else:
             stats[name] = INC.stage_new_files(spark, path_of(lake), out, lake.staging_checkpoint(name), INC.SPECS[name])
@@ -386,6 +387,7 @@ def tasks_of(spark: SparkSession, lake: Lake, source_dir: str, landing_dir: str,
         Task("transformations.analytics", "analytics", ("staging",), ("analytics",), lambda: len(run_analytics(spark, lake)["tables"])),
         Task("transformations.staging", "staging", ("raw telemetry", "raw maintenance", "raw production"), ("staging",),
              lambda: sum(run_staging(spark, lake).values())),
+        Task("ingestion.compaction", "compaction", ("staging",), ("raw files",), lambda: compact_telemetry(spark, lake).files),
         Task("ingestion.telemetry", "ingest", (), ("raw telemetry",), lambda: ingest_telemetry(spark, lake, landing_dir)["total_events"]),
         Task("ingestion.maintenance", "ingest", (), ("raw maintenance",),
              lambda: ingest_maintenance(spark, lake, source_dir)["maintenance_logs_rows"]),
