@@ -620,6 +620,65 @@ def test_quality_divergence(spark):
     assert js == pytest.approx(0.5 ** 0.5)
 
 
+def plain_divergence(p, q):
+    p, q = (np.array(x, float) / max(sum(x), 1) for x in (p, q))
+    m = (p + q) / 2
+    terms = [a[a > 0] * np.log2(a[a > 0] / m[a > 0]) for a in (p, q)]
+    return max(0.0, sum(t.sum() for t in terms) / 2) ** 0.5
+
+
+def plain_verdicts(rows):
+    """(class distance, word distance, kept) of each (lang, text) by the module's definitions, without Spark."""
+    import regex
+
+    per_lang = {}
+    for lang, text in rows:
+        per_lang.setdefault(lang, Counter()).update(WORDS.findall(text))
+    bins = {}
+    for lang, counts in per_lang.items():
+        top = sorted(counts, key=lambda w: (-counts[w], w))[:4096]
+        bins[lang] = {w: i if i < 16 else 16 + i.bit_length() - 5 for i, w in enumerate(top)}
+    own = []
+    for lang, text in rows:
+        words, classes, by_bin = WORDS.findall(text), [0] * 5, [0] * 25
+        for c in text:
+            classes[3 if c in "\x20\t\n\x0b\x0c\r" else 1 if regex.match(r"\p{Lu}", c) else 2 if c in "0123456789" else 0 if regex.match(r"\p{L}", c) else 4] += 1
+        for w in words:
+            by_bin[bins[lang].get(w, 24)] += 1
+        own.append((len(words), classes, by_bin))
+    refs = {lang: [np.sum([o[k] for (x, _), o in zip(rows, own) if x == lang], axis=0) for k in (1, 2)] for lang in per_lang}
+    out = []
+    for (lang, text), (n, classes, by_bin) in zip(rows, own):
+        ref_classes, ref_words = refs[lang]
+        known = ref_words.sum() >= 2000
+        far = plain_divergence(classes, ref_classes), plain_divergence(by_bin, ref_words)
+        limit = min(0.45, 0.75 * plain_divergence([0] * 24 + [1], ref_words)) if known else None
+        rejected = brute_quality(text)[-1] or (known and n >= 50 and (far[0] > 0.25 or far[1] > limit))
+        out.append((*(far if known else (None, None)), not rejected))
+    return out
+
+
+def test_quality_verdicts_against_a_plain_computation(spark, docs, texts):
+    rng = random.Random(15)
+    langs = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    rows = {i: (langs[i], t) for i, t in texts.items()}
+    some = [t for t in texts.values() if len(t.split()) > 80]
+    made = [" ".join("".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(100)) for _ in range(5)]
+    made += [t.replace(" ", " $% ") for t in some[:5]] + [t.upper() for t in some[5:10]] + ["\u00c9t\u00e9 12\u00b2 " + t for t in some[10:13]]
+    rows |= {10**9 + i: (rng.choice(sorted(x for x in set(langs.values()) if x)), t) for i, t in enumerate(made)}
+    rows |= {2 * 10**9 + i: (None, t) for i, t in enumerate(some[:3])} | {3 * 10**9: ("xx", some[0])}  # languages of few words
+    frame = spark.createDataFrame([(i, t, lang) for i, (lang, t) in rows.items()], "doc_id long, text string, lang string")
+    want = dict(zip(rows, plain_verdicts(list(rows.values()))))
+    got = quality_divergence.quality(frame).collect()
+    assert len(got) == len(want) and {r["kept"] for r in got} == {True, False}
+    for r in got:
+        class_distance, word_distance, kept = want[r["doc_id"]]
+        assert r["class_distance"] == (None if class_distance is None else pytest.approx(class_distance, abs=1e-6)), r["doc_id"]
+        assert r["word_distance"] == (None if word_distance is None else pytest.approx(word_distance, abs=1e-6)), r["doc_id"]
+        assert r["kept"] == kept, r["doc_id"]
+    assert sum(not r["kept"] and not r["base_failed"] for r in got) >= 10
+
+
 def test_quality_rejects_other_languages_and_word_salad(spark):
     docs = spark.read.parquet(SF + "/../sf0.01/documents.parquet")  # references of over 4,096 words
     rows = [r for r in docs.collect() if r["lang"] in ("de", "en") and len(WORDS.findall(r["text"] or "")) >= 60]
