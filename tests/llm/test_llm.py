@@ -713,3 +713,48 @@ def test_pipeline(spark, docs, texts):
     assert all(list(r["ids"]) == codec.encode(texts[r["doc_id"]]).tolist() and r["n_tokens"] == len(r["ids"]) for r in got)
     stage = P.STAGES[2][1](spark, docs, SF)
     assert stage.columns == docs.columns
+
+
+def test_pipeline_stages_on_odd_rows(spark, empty):
+    """Nulls, empty and long texts, repeated rows, ids that are null or shared, clashing columns, no rows at all."""
+    import corpus_pipeline as P
+
+    rng = random.Random(16)
+    good = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)) for _ in range(4)]
+    texts = [*EDGE, *good, good[0], good[1] + " end", good[2]]
+    ids = [*range(len(EDGE)), 100, 101, 102, None, 100, 200, 50]
+    rows = table(spark, texts, ids=ids)
+    quality, exact, near, mixture, encoding = (f for _, f in P.STAGES)
+    for f in (quality, exact, near, mixture):
+        out = f(spark, empty, SF)
+        assert out.columns == empty.columns and out.count() == 0
+    assert encoding(spark, empty, SF).count() == 0
+
+    kept = quality(spark, rows, SF)
+    assert kept.columns == rows.columns and {r["fp"] for r in kept.collect()} == {"x"}
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        (i, t) for i, t in zip(ids, texts) if t and not brute_quality(t)[-1])
+
+    most = {}
+    for i, t in zip(ids, texts):
+        most[t or ""] = max(-1 if i is None else i, most.get(t or "", -1))
+    distinct = exact(spark, rows, SF)
+    assert distinct.columns == rows.columns
+    left = [(-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in distinct.collect()]
+    assert sorted(left) == sorted((i, t) for t, i in most.items())
+
+    one = near(spark, distinct, SF)
+    assert one.columns == rows.columns
+    fps = {t: brute_fingerprint(t) for _, t in left}
+    group = union([(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 4], fps)
+    stay = [r["text"] or "" for r in one.collect()]
+    assert len(stay) == len(set(group.values())) and {group[t] for t in stay} == set(group.values())
+
+    mixed = mixture(spark, one, SF)
+    copies = Counter((r["doc_id"], r["text"]) for r in mixed.collect())
+    assert mixed.columns == rows.columns and set(copies.values()) <= {1, 2} and set(copies) <= {(r["doc_id"], r["text"]) for r in one.collect()}
+
+    codec = bpe.Codec(tokenizer_path("byte_bpe_multi_50k.tiktoken"), bpe_pattern())
+    coded = encoding(spark, rows, SF).collect()
+    assert Counter((r["doc_id"], codec.decode(list(r["ids"])), r["n_tokens"] == len(r["ids"])) for r in coded) == Counter(
+        (i, (t or "").encode(), True) for i, t in zip(ids, texts))
