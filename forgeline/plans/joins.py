@@ -24,7 +24,8 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
-_MEASURED: dict[tuple[int, int], bool] = {}
+#: answers of probes, by plan, limit and the optimizer's size of the plan: a table whose files grew is probed anew
+_MEASURED: dict[tuple, bool] = {}
 
 
 def _has_join(df: DataFrame) -> bool:
@@ -50,9 +51,9 @@ def row_width(df: DataFrame) -> int:
 
 def row_bound(base: DataFrame, max_rows: int) -> bool:
     """Whether ``base`` has at most ``max_rows`` rows (a probe that stops
-    after ``max_rows + 1`` rows; kept per analyzed plan for the session)."""
+    after ``max_rows + 1`` rows; kept per analyzed plan and size of its files for the session)."""
     try:
-        key = ("rows", int(base._jdf.queryExecution().analyzed().semanticHash()), max_rows)
+        key = ("rows", int(base._jdf.queryExecution().analyzed().semanticHash()), max_rows, estimated_size_bytes(base))
     except Exception:  # pragma: no cover - Spark Connect: no plan handle, no cache
         return base.limit(max_rows + 1).count() <= max_rows
     if key not in _MEASURED:
@@ -69,15 +70,15 @@ def fits_broadcast(dim: DataFrame, limit: int, bound_by: DataFrame | None = None
     statistics) estimates the product of the join's inputs, far above the
     real size of a lookup (N:1) join; then the rows are counted by a probe
     that stops after ``limit / row width`` rows, and the answer is kept per
-    plan for the session.
+    plan and size of its files for the session.
     """
     if bound_by is not None and _has_join(dim):
         # dim is a projection / filter / distinct of bound_by: no more rows
         return row_bound(bound_by, max(1, limit // row_width(dim)))
     if _has_join(dim):  # implies a JVM handle
-        key = (int(dim._jdf.queryExecution().analyzed().semanticHash()), limit)
+        est = estimated_size_bytes(dim)
+        key = (int(dim._jdf.queryExecution().analyzed().semanticHash()), limit, est)
         if key not in _MEASURED:
-            est = estimated_size_bytes(dim)
             if est is not None and est <= limit:
                 _MEASURED[key] = True
             else:

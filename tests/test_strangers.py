@@ -52,3 +52,20 @@ def test_overfull_filter_loses_no_row(spark):
     assert bloom.rows_of(child, keys, "k", blocks=1).count() == 1000
     assert bloom.rows_of(child, keys.limit(0), "k").count() == 0
     assert bloom.rows_of(child.limit(0), keys, "k").count() == 0
+
+
+def test_a_parent_that_grew_is_measured_anew(spark, tmp_path):
+    """The answer of a size probe does not outlive the files it was made for."""
+    from forgeline.plans.joins import fits_broadcast
+
+    path = str(tmp_path / "parent")
+    ids = spark.range(10).select(F.col("id").alias("k"))
+    ids.write.parquet(path)
+
+    def fits():
+        parent = spark.read.schema("k long").parquet(path)
+        return fits_broadcast(parent.join(ids, "k", "left").select("k"), 8 * 1000)
+
+    assert fits()
+    spark.range(10, 5000).select(F.col("id").alias("k")).write.mode("append").parquet(path)
+    assert not fits()
