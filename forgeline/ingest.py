@@ -19,7 +19,7 @@ from forgeline.config import Lake
 from forgeline.operators.incremental import after_mark
 from forgeline.schemas import RAW_MACHINES, RAW_MAINTENANCE, RAW_PRODUCTION, WATERMARK_STATE
 from forgeline.functions.time import time_partitions
-from forgeline.sinks.files import write_batch_partitions
+from forgeline.sinks.files import drop_stale_partitions, write_batch_partitions
 from forgeline.sources.files import read_csv_by_name, read_or_none
 
 log = logging.getLogger("forgeline.ingest")
@@ -60,11 +60,20 @@ def state_table(spark: SparkSession, lake: Lake) -> DataFrame | None:
     return state.groupBy("source").agg(newest).select("source", "s.mark", "s.batch_id", "s.updated_at")
 
 
-def _write_observed(df: DataFrame, mark_col: str | None, path: str, partition_cols: list[str]) -> dict:
+def _write_observed(df: DataFrame, mark_col: str | None, path: str, partition_cols: list[str], run_again: str | None = None) -> dict:
+    """``run_again`` is the batch id where it follows from the mark: what an
+    earlier run of the batch, stopped before it saved its mark, wrote for
+    months that the source no longer has is removed."""
     metrics = [F.count(F.lit(1)).alias("rows")]
     if mark_col:
         metrics.append(F.max(mark_col).alias("mark"))
-    return write_batch_partitions(df, path, partition_cols, metrics=metrics)
+    if run_again:
+        values = [F.coalesce(F.col(c), F.lit("__HIVE_DEFAULT_PARTITION__")) for c in partition_cols[:-1]]
+        metrics.append(F.collect_set(F.concat_ws("/", *values)).alias("places"))  # the months of one batch
+    seen = write_batch_partitions(df, path, partition_cols, metrics=metrics)
+    if run_again and seen.get("rows"):
+        drop_stale_partitions(df.sparkSession, path, partition_cols, run_again, seen["places"])
+    return seen
 
 
 def ingest_machines(spark: SparkSession, lake: Lake, source_dir: str, batch_id: str) -> int:
@@ -86,7 +95,8 @@ def ingest_maintenance(spark: SparkSession, lake: Lake, source_dir: str,
     last = load_marks(spark, lake).get("maintenance_logs")
     # a snapshot of machines is no batch after a mark: each has its own time
     machines_rows = ingest_machines(spark, lake, source_dir, batch_id or new_batch_id())
-    batch_id = batch_id or batch_after(last)
+    again = batch_after(last) if batch_id is None else None
+    batch_id = batch_id or again
     logs = read_csv_by_name(spark, f"{source_dir}/maintenance_logs.csv", RAW_MAINTENANCE)
     rows, mark = 0, last
     if logs is None:
@@ -96,7 +106,7 @@ def ingest_maintenance(spark: SparkSession, lake: Lake, source_dir: str,
         ts = F.to_timestamp_ntz("timestamp")
         new = new.withColumns({**time_partitions(ts), "_batch_id": F.lit(batch_id)})
         stats = _write_observed(new, "timestamp", lake.raw_maintenance,
-                                ["year", "month", "_batch_id"])
+                                ["year", "month", "_batch_id"], again)
         rows = int(stats.get("rows", 0))
         if rows:
             mark = stats["mark"]
@@ -110,14 +120,15 @@ def ingest_production(spark: SparkSession, lake: Lake, source_path: str,
     """Production rows with ``date`` after the mark, partitioned by
     (year, month). A missing file fails, as in the reference."""
     last = load_marks(spark, lake).get("production")
-    batch_id = batch_id or batch_after(last)
+    again = batch_after(last) if batch_id is None else None
+    batch_id = batch_id or again
     df = read_csv_by_name(spark, source_path, RAW_PRODUCTION)
     if df is None:
         raise FileNotFoundError(source_path)
     new = after_mark(df, "date", last)
     d = F.to_date("date", "yyyy-MM-dd")
     new = new.withColumns({**time_partitions(d), "_batch_id": F.lit(batch_id)})
-    stats = _write_observed(new, "date", lake.raw_production, ["year", "month", "_batch_id"])
+    stats = _write_observed(new, "date", lake.raw_production, ["year", "month", "_batch_id"], again)
     rows = int(stats.get("rows", 0))
     if not rows:
         return {"rows": 0, "watermark": last, "batch_id": batch_id}

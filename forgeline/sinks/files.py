@@ -12,7 +12,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline.sinks.versions import VersionedTable
@@ -61,3 +61,21 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def append_log(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").json(path)
+
+
+def drop_stale_partitions(spark: SparkSession, path: str, partition_cols: list[str], batch_id: str, places: list[str]) -> list[str]:
+    """Remove the partitions of a batch that its last write did not make.
+    ``places`` are those it made (values of the columns before the batch column, joined by slashes)."""
+    jvm = spark.sparkContext._jvm
+    of_batch = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{c}=*" for c in partition_cols[:-1])]))
+    fs = of_batch.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    name = f"{partition_cols[-1]}={jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)}"
+    made = {"/".join(f"{c}={v}" for c, v in zip(partition_cols, place.split("/"))) for place in places}
+    gone = []
+    for status in fs.globStatus(of_batch) or []:
+        place = "/".join(str(status.getPath()).split("/")[1 - len(partition_cols):])
+        folder = jvm.org.apache.hadoop.fs.Path(status.getPath(), name)
+        if place not in made and fs.exists(folder):
+            fs.delete(folder, True)
+            gone.append(place)
+    return gone

@@ -154,3 +154,36 @@ def test_a_batch_has_one_file_an_hour_whatever_its_tasks(spark, lake, tmp_path):
     assert len(glob.glob(f"{tmp_path}/raw/hour=1/_batch_id=b2/*.parquet")) == 4
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 8000
     assert write_batch_partitions(df.where("id < 0"), str(tmp_path / "raw"), ["hour", "_batch_id"], metrics=[F.count(F.lit(1)).alias("rows")]).get("rows", 0) == 0
+
+
+def test_a_month_that_a_rerun_no_longer_has_goes(spark, lake, tmp_path, monkeypatch):
+    """Only the stopped batch's own partitions: other batches of that month stay, and so does a given batch id."""
+    src, head = str(tmp_path / "p.csv"), "date,machine_id,shift,units_produced,scrap_units,operator_id"
+
+    def source(*dates):
+        write_csv(src, head, [f"{d},m1,day,5,1,o" for d in dates])
+
+    def dates():
+        raw = read_raw_parquet(spark, lake.raw_production)
+        return sorted(r["date"] for r in raw.collect())
+
+    source("2026-01-05")
+    I.ingest_production(spark, lake, src)
+    source("2026-01-05", "2026-01-20", "2026-02-01", "")
+
+    def stop(*_):
+        raise RuntimeError("stop")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "save_mark", stop)
+        with pytest.raises(RuntimeError):
+            I.ingest_production(spark, lake, src)
+    assert dates() == ["2026-01-05", "2026-01-20", "2026-02-01"]
+    source("2026-01-05", "2026-02-02")  # the source was corrected
+    assert I.ingest_production(spark, lake, src)["rows"] == 1
+    assert dates() == ["2026-01-05", "2026-02-02"]
+    source("2026-03-01")
+    I.ingest_production(spark, lake, src, batch_id="given")
+    source("2026-04-01")
+    I.ingest_production(spark, lake, src, batch_id="given")
+    assert dates() == ["2026-01-05", "2026-02-02", "2026-03-01", "2026-04-01"]
