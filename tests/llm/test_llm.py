@@ -358,6 +358,65 @@ def test_rare_words_have_a_probability_of_their_own(spark):
     assert len({log[i] for i in range(len(one))}) == len({n[w] for w in one})
 
 
+def test_training_step_follows_the_formula():
+    rng = np.random.default_rng(2)
+    net, plain = (pseudo_likelihood.Network(classes=6, dim=8) for _ in range(2))
+    ids = np.concatenate(([0, 0], (rng.random(300) ** 4 * 36).astype(np.int32), [0, 0])).astype(np.int32)
+    at, step = rng.permutation(np.arange(2, 302))[:256], 0.9
+    grads = {name: np.zeros(getattr(plain, name).shape) for name in plain.SHAPES}
+    for i in at:
+        h = np.tanh(plain.bias + sum(plain.place[k, ids[i + s]] for k, s in enumerate((-2, -1, 1, 2))))
+        c, w = divmod(int(ids[i]), 6)
+        p, q = np.exp(plain.of_class @ h + plain.class_bias), np.exp(plain.of_word[c] @ h + plain.word_bias[c])
+        p, q = p / p.sum() - np.eye(6)[c], q / q.sum() - np.eye(6)[w]
+        back = (p @ plain.of_class + q @ plain.of_word[c]) * (1 - h * h)
+        grads["of_class"] += np.outer(p, h)
+        grads["class_bias"] += p
+        grads["of_word"][c] += np.outer(q, h)
+        grads["word_bias"][c] += q
+        grads["bias"] += back
+        for k, s in enumerate((-2, -1, 1, 2)):
+            grads["place"][k, ids[i + s]] += back
+    changes = {name: np.clip(step / 16 * g, -0.5, 0.5) for name, g in grads.items()}
+    assert any(np.abs(c).max() == 0.5 for c in changes.values())  # the limit is reached
+    net.train(ids, at, step)
+    for name, change in changes.items():
+        assert getattr(net, name) == pytest.approx(getattr(plain, name) - change, abs=1e-4), name
+    # no product for single places: a step's calls grow with the classes that occur and not with the words
+    order, runs, cuts = net._by_class(np.array([3, 1, 3, 0]))
+    assert order.tolist() == [3, 1, 0, 2] and runs == [(0, 0, 1), (1, 1, 2), (3, 2, 4)] and cuts.tolist() == [0, 1, 2]
+    rows = rng.integers(0, 9, (7, 2)).astype(np.float32)
+    assert np.array_equal(net._sums(rows, np.array([0, 1, 4, 5])), np.add.reduceat(rows, [0, 1, 4, 5], axis=0))
+
+
+def test_copies_are_averaged_by_their_words(spark):
+    docs = table(spark, [" ".join(f"w{(i * j) % 50}" for j in range(1500)) for i in range(8)])
+    words = pseudo_likelihood.vocabulary(docs, classes=16)
+    start, shards = pseudo_likelihood.Network(classes=16).weights, pseudo_likelihood.deal(docs, 1, 2)
+    both = pseudo_likelihood.train_round(shards, words, start, 0, 1)
+    parts, counts = [], []
+    for k in (0, 1):
+        own = shards.where(F.col("shard") == k)
+        parts.append(np.round(pseudo_likelihood.train_round(own, words, start, 0, 1).astype(np.float64) * pseudo_likelihood.UNIT))
+        counts.append(1 + (own.count() * 1500 >> 10))
+    want = (parts[0] * counts[0] + parts[1] * counts[1]) / sum(counts) / pseudo_likelihood.UNIT
+    assert both == pytest.approx(want, abs=1e-6)
+
+
+def test_words_are_counted_before_they_are_shuffled(spark, monkeypatch):
+    texts = ["The the THE \u00c9t\u00e9 \u00e9t\u00e9", None, "", " x\ty\x0bz\u00a0z ", "the"] * 50 + ["y" * 100 + " " + "y" * 100]
+    plan = pseudo_likelihood.counted_words(table(spark, texts))
+    before = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in before and "MapInArrow" in before
+    want = Counter(w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")))
+    assert {r["w"]: r["n"] for r in plan.collect()} == dict(want)
+    # what is remembered is bounded, and an id does not depend on it
+    words = pseudo_likelihood.Vocabulary([b"the"], 16)
+    monkeypatch.setattr(pseudo_likelihood, "REMEMBERED", 3)
+    ids = [words.encode(f"the word{i} the".encode()).tolist() for i in range(20)]
+    assert len(words.known) <= 5 and ids == [[1, words.first_hashed + zlib.crc32(f"word{i}".encode()) % words.hashed, 1] for i in range(20)]
+
+
 def test_vocabulary_grows_with_the_corpus(spark):
     sizes = [pseudo_likelihood.vocabulary(table(spark, [" ".join(f"w{i}" for i in range(n))])).size for n in (1000, 90_000, 400_000)]
     assert sizes[0] == 1024 and sizes[0] < sizes[1] < sizes[2] and sizes[2] >= 4 * 400_000 ** 0.5
