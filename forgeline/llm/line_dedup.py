@@ -34,6 +34,8 @@ Extra columns are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import re
+import unicodedata
 from itertools import combinations
 
 import numpy as np
@@ -53,6 +55,12 @@ SLOT = 1 << 18
 #: bytes of lines that a task holds as Python objects at once
 LINE_BYTES = 1 << 19
 LARGE_RUN = 1024
+#: Latin letters up to U+017F and general punctuation: every Unicode version agrees on what is a
+#: letter there and on its lower case, which lies there too (but that of U+0130)
+AGREED = r"\x{00}-\x{12F}\x{131}-\x{17F}\x{2000}-\x{206F}"
+_KEPT = [c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] in "LN"]
+_WORDS = re.compile("[" + "".join(_KEPT) + "]+").findall
+_BYTES = bytes(ord("0") if 48 <= i < 58 else i if i < 128 and chr(i) in _KEPT else 32 for i in range(256))
 BUCKET = ["pair", "bits"]
 
 
@@ -61,6 +69,20 @@ def normalised(line: Column) -> Column:
     return F.trim(bare)
 
 
+def agreed(line: Column) -> Column:
+    """Whether ``normalised_agreed`` gives what ``normalised`` gives."""
+    return (F.octet_length(line) == F.length(line)) | ~line.rlike(f"[^{AGREED}]")
+
+
+def normalised_agreed(line: bytes) -> bytes:
+    """``normalised`` of a line of the characters that ``AGREED`` has."""
+    if line.isascii():
+        line = b" ".join(line.lower().translate(_BYTES).split())
+        return re.sub(b"00+", b"0", line) if b"00" in line else line
+    text = re.sub("[0-9]+", "0", line.decode(errors="replace").lower())
+    return " ".join(_WORDS(text)).encode()
+
+
 def lines_of(docs: DataFrame, *columns) -> DataFrame:
     """Every line: ``columns``, line_no (from 0), line."""
     return docs.select(*columns, F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("line_no", "line"))
@@ -103,15 +125,18 @@ def line_occurrences(docs: DataFrame, row: Column) -> DataFrame:
             while lo < b.num_rows:  # so many bytes of lines at once are Python objects
                 hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + LINE_BYTES, "right")))
                 part = b.slice(lo, hi - lo)
-                texts = part.column(4).to_pylist()
+                texts = [t if done else normalised_agreed(t) for t, done in zip(part.column(4).to_pylist(), part.column(5).to_pylist())]
+                some = pa.array([t != b"" for t in texts], pa.bool_())
+                part, texts = part.filter(some), [t for t in texts if t]
                 md5 = pa.array([hashlib.md5(t).digest() for t in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], md5, pa.array(simhashes(texts).view(np.int64))],
                                                  ["doc_id", "row", "line_no", "raw", "md5", "fp"])
                 lo = hi
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = lines_of(docs, "doc_id", row.alias("row")).select("doc_id", "row", "line_no", F.xxhash64("line").alias("raw"), normalised(F.col("line")).alias("line"))
-    rows = rows.where("line <> ''").withColumn("line", F.col("line").cast("binary"))
+    line, bare = F.col("line"), ~agreed(F.col("line"))  # what is left to the task's Python is a line of agreed characters
+    rows = lines_of(docs, "doc_id", row.alias("row")).where("line <> ''").select(
+        "doc_id", "row", "line_no", F.xxhash64("line").alias("raw"), F.when(bare, normalised(line)).otherwise(line).cast("binary").alias("line"), bare.alias("bare"))
     return rows.mapInArrow(run, f"doc_id {kind}, row long, line_no int, raw long, md5 binary, fp long")
 
 

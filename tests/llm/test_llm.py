@@ -274,6 +274,20 @@ def test_lines_of_rows_without_an_id_stay_once(spark):
     assert dropped == {None: (2, 0), 5: (1, 1), 6: (1, 1), 7: (3, 3)}
 
 
+def test_lines_are_normalised_alike_in_tasks_and_in_spark(spark):
+    rng = random.Random(21)
+    near = [chr(c) for c in [*range(1, 10), *range(11, 0x180), *range(0x2000, 0x2070)] if c != 0x130]
+    lines = ["".join(near[i:i + 7]) for i in range(0, len(near), 5)] + ["".join(rng.choices(near, k=40)) for _ in range(300)]
+    lines += ["12.500, 7a007 00-1 1²3", "  ", "--", "É ÀB  c", "\u0130x \u0130", "中文 A1", "x\u0430Я9", "naïve – “ok”", "a" * 70000, "Ÿ" * 700 + "\u0130"]
+    d = table(spark, ["\n".join(lines), None, "", "\n\n"])
+    found = {r["line_no"]: bytes(r["md5"]) for r in line_dedup.line_occurrences(d, F.col("doc_id")).collect()}
+    plain = line_dedup.lines_of(d, "doc_id").select("line_no", line_dedup.normalised(F.col("line")).alias("line")).where("line <> ''").collect()
+    assert found == {r["line_no"]: hashlib.md5(r["line"].encode()).digest() for r in plain}
+    # lines of agreed characters do not go through Spark's expressions
+    of = d.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''").select("line", line_dedup.agreed(F.col("line")).alias("ok")).collect()
+    assert {r["line"] for r in of if not r["ok"]} == {"\u0130x \u0130", "中文 A1", "x\u0430Я9", "Ÿ" * 700 + "\u0130"}
+
+
 def test_distances_are_of_the_rows_own_lines(spark):
     # three rows of one id and place; only the last two are near
     words = " ".join(f"ordinary{i}" for i in range(40))
