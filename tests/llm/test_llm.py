@@ -417,6 +417,32 @@ def test_copies_are_averaged_by_their_words(spark):
     assert both == pytest.approx(want, abs=1e-6)
 
 
+def test_texts_are_encoded_once_and_shuffled_as_small_numbers(spark):
+    docs = table(spark, [None, "the cat the", "a b c d e f g"])
+    words = pseudo_likelihood.Vocabulary([b"the", b"a"], 16)
+    dealt = pseudo_likelihood.deal(docs, 2, 3, words)
+    assert "t" not in dealt.columns
+    got = {r["doc_id"]: r for r in dealt.collect()}
+    for i, text in enumerate([b"", b"the cat the", b"a b c d e f g"]):
+        ids = words.encode(text)
+        assert len(got[i]["ids"]) == 2 * len(ids) and np.array_equal(words.stored_ids(got[i]["ids"]), ids)
+        assert got[i]["n_words"] == len(ids) and got[i]["rare"] == words.sharing(text, ids)[0].tolist()
+    assert len(pseudo_likelihood.Vocabulary([], 300).stored_ids(np.array([70000], np.int32).tobytes())) == 1
+    # the same network from texts and from their ids
+    start = pseudo_likelihood.Network(classes=16).weights
+    plain = pseudo_likelihood.train_round(pseudo_likelihood.deal(docs, 1, 1), words, start, 0, 1)
+    assert np.array_equal(plain, pseudo_likelihood.train_round(pseudo_likelihood.deal(docs, 1, 1, words), words, start, 0, 1))
+
+
+def test_changes_of_networks_are_packed_without_loss():
+    rng = np.random.default_rng(9)
+    ends = np.array([0, 1, -1, 2 ** 27, -2 ** 27, 2 ** 31 - 1, -2 ** 31], np.int32)
+    small = np.round(rng.normal(0, 0.05, 1 << 14) * pseudo_likelihood.UNIT).astype(np.int32)
+    for change in (ends, small, small[:0]):
+        assert np.array_equal(pseudo_likelihood.unpacked(pseudo_likelihood.packed(change), len(change)), change)
+    assert len(pseudo_likelihood.packed(small)) < 0.7 * small.nbytes
+
+
 def test_words_are_counted_before_they_are_shuffled(spark, monkeypatch):
     texts = ["The the THE \u00c9t\u00e9 \u00e9t\u00e9", None, "", " x\ty\x0bz\u00a0z ", "the"] * 50 + ["y" * 100 + " " + "y" * 100]
     plan = pseudo_likelihood.counted_words(table(spark, texts))
