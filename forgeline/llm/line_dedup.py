@@ -36,7 +36,8 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from itertools import combinations
+from itertools import chain, combinations, repeat
+from os.path import commonprefix
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -60,7 +61,9 @@ LARGE_RUN = 1024
 AGREED = r"\x{00}-\x{12F}\x{131}-\x{17F}\x{2000}-\x{206F}"
 _KEPT = [c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] in "LN"]
 _WORDS = re.compile("[" + "".join(_KEPT) + "]+").findall
-_BYTES = bytes(ord("0") if 48 <= i < 58 else i if i < 128 and chr(i) in _KEPT else 32 for i in range(256))
+_BYTES = bytes(ord("0") if 48 <= i < 58 else i if i == 10 or i < 128 and chr(i) in _KEPT else 32 for i in range(256))
+#: the bits of a byte as eight bytes
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 BUCKET = ["pair", "bits"]
 
 
@@ -74,13 +77,19 @@ def agreed(line: Column) -> Column:
     return (F.octet_length(line) == F.length(line)) | ~line.rlike(f"[^{AGREED}]")
 
 
+def normalised_lines(text: bytes) -> list[bytes]:
+    """``normalised`` of each line of a text of the characters that ``AGREED`` has."""
+    if text.isascii():
+        text = text.lower().translate(_BYTES)
+        if b"00" in text:
+            text = re.sub(b"00+", b"0", text)
+        return [b" ".join(line.split()) for line in text.split(b"\n")]
+    bare = re.sub("[0-9]+", "0", text.decode(errors="replace").lower())
+    return [" ".join(_WORDS(line)).encode() for line in bare.split("\n")]
+
+
 def normalised_agreed(line: bytes) -> bytes:
-    """``normalised`` of a line of the characters that ``AGREED`` has."""
-    if line.isascii():
-        line = b" ".join(line.lower().translate(_BYTES).split())
-        return re.sub(b"00+", b"0", line) if b"00" in line else line
-    text = re.sub("[0-9]+", "0", line.decode(errors="replace").lower())
-    return " ".join(_WORDS(text)).encode()
+    return normalised_lines(line)[0]
 
 
 def lines_of(docs: DataFrame, *columns) -> DataFrame:
@@ -93,7 +102,6 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     bit is set if it is set in over half the words' hashes."""
     import xxhash
 
-    digest = xxhash.xxh64_intdigest
     words = []
     for line in lines:
         own = line.split(b" ")
@@ -102,12 +110,15 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     out = np.zeros(len(lines), np.uint64)
     ends = np.cumsum(sizes)
     at = 0
-    while at < len(lines):  # slices of about 2**16 words
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 16))))
-        hashes = np.array([digest(w, SEED) for own in words[at:to] for w in own], np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    while at < len(lines):  # slices of about 2**13 words
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 13))))
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(words[at:to]), repeat(SEED)), np.uint64)
         starts = np.cumsum(sizes[at:to]) - sizes[at:to]
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+        if sizes[at:to].max() < 256:  # a byte of the sum for each bit
+            ones = np.add.reduceat(_SPREAD[hashes.view(np.uint8).reshape(-1, 8)], starts, axis=0).view(np.uint8).astype(np.int32)
+        else:
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         out[at:to] = np.packbits(ones * 2 > sizes[at:to, None], axis=1, bitorder="little").view("<u8")[:, 0]
         at = to
     return out
@@ -118,25 +129,43 @@ def line_occurrences(docs: DataFrame, row: Column) -> DataFrame:
     line that has a word; ``row`` differs from row to row of ``docs``."""
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
+        import xxhash
 
         for b in batches:
-            ends, lo = np.cumsum(pc.binary_length(b.column(4)).to_numpy(), dtype=np.int64), 0
-            while lo < b.num_rows:  # so many bytes of lines at once are Python objects
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + LINE_BYTES, "right")))
-                part = b.slice(lo, hi - lo)
-                texts = [t if done else normalised_agreed(t) for t, done in zip(part.column(4).to_pylist(), part.column(5).to_pylist())]
-                some = pa.array([t != b"" for t in texts], pa.bool_())
-                part, texts = part.filter(some), [t for t in texts if t]
+            at, places, raws, texts, held = [], [], [], [], 0
+
+            def found():
+                own = pa.array(at, pa.int64())
                 md5 = pa.array([hashlib.md5(t).digest() for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], md5, pa.array(simhashes(texts).view(np.int64))],
-                                                 ["doc_id", "row", "line_no", "raw", "md5", "fp"])
-                lo = hi
+                return pa.RecordBatch.from_arrays(
+                    [b.column(0).take(own), b.column(1).take(own), pa.array(places, pa.int32()), pa.array(raws, pa.int64()), md5, pa.array(simhashes(texts).view(np.int64))],
+                    ["doc_id", "row", "line_no", "raw", "md5", "fp"])
+
+            for i, (text, odd) in enumerate(zip(b.column(2), b.column(3))):
+                text, odd = text.as_py(), odd.as_py()
+                lines = text.split(b"\n")
+                if odd is None:
+                    bare = normalised_lines(text)
+                else:
+                    bare = [normalised_agreed(line) if o["bare"] is None else o["bare"].encode() for line, o in zip(lines, odd)]
+                for no, (line, norm) in enumerate(zip(lines, bare)):
+                    if norm:
+                        at.append(i)
+                        places.append(no)
+                        raws.append((xxhash.xxh64_intdigest(line, SEED) ^ 1 << 63) - (1 << 63) if odd is None else odd[no]["raw"])
+                        texts.append(norm)
+                        held += len(line)
+                        if held >= LINE_BYTES:  # so many bytes of lines at once
+                            yield found()
+                            at, places, raws, texts, held = [], [], [], [], 0
+            if texts:
+                yield found()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    line, bare = F.col("line"), ~agreed(F.col("line"))  # what is left to the task's Python is a line of agreed characters
-    rows = lines_of(docs, "doc_id", row.alias("row")).where("line <> ''").select(
-        "doc_id", "row", "line_no", F.xxhash64("line").alias("raw"), F.when(bare, normalised(line)).otherwise(line).cast("binary").alias("line"), bare.alias("bare"))
+    # the task's Python normalises lines of agreed characters; texts that have others come with what Spark makes of such lines
+    odd = F.transform(F.split("text", "\n", -1), lambda line: F.struct(F.xxhash64(line).alias("raw"), F.when(~agreed(line), normalised(line)).alias("bare")))
+    rows = docs.select("doc_id", row.alias("row"), text_or_empty().alias("text"))
+    rows = rows.select("doc_id", "row", F.col("text").cast("binary").alias("whole"), F.when(~agreed(F.col("text")), odd).alias("odd"))
     return rows.mapInArrow(run, f"doc_id {kind}, row long, line_no int, raw long, md5 binary, fp long")
 
 
@@ -214,15 +243,59 @@ def _near(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
 
 
+def within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most ``most``: what both ends share is
+    taken off, then a column of the distance table is one step on bits
+    (Myers 1999): where the distance grows and where it falls down the column."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    first = len(commonprefix((a, b)))
+    a, b = a[first:], b[first:]
+    last = len(commonprefix((a[::-1], b[::-1])))
+    a, b = a[:len(a) - last], b[:len(b) - last]
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) <= most:
+        return True
+    if not a:
+        return False
+    # a bit for each place of a character
+    codes, of = np.unique(np.array([a]).view(np.uint32), return_inverse=True)
+    bits = np.packbits(of == np.arange(len(codes))[:, None], axis=1, bitorder="little")
+    places = {chr(c): int.from_bytes(own.tobytes(), "little") for c, own in zip(codes.tolist(), bits)}
+    full, top, now = (1 << len(a)) - 1, 1 << len(a) - 1, len(a)
+    grows, falls = full, 0
+    for left, c in zip(range(len(b) - 1, -1, -1), b):
+        equal = places.get(c, 0)
+        down = equal | falls
+        across = ((equal & grows) + grows ^ grows) | equal
+        up = falls | full & ~(across | grows)
+        fall = grows & across
+        if up & top:
+            now += 1
+            if now - left > most:
+                return False
+        elif fall & top:
+            now -= 1
+        up = up << 1 | 1
+        grows = full & (fall << 1 | ~(down | up))
+        falls = up & down & full
+    return now <= most
+
+
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose lines pass the edit distance."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            passed = [within(x.as_py(), y.as_py(), most.as_py()) for x, y, most in zip(b.column(2), b.column(3), b.column(4))]
+            yield b.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
+
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
-    both = both.withColumn("most", F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(round(1 - SIMILARITY, 6))).cast("int"))
-    # -1: more than the bound. Small bounds are tried first, as the work grows
-    # with length times bound and copies mostly differ in few places
-    bounds = ["least(8, most)", "least(64, most)", "most"]
-    return both.where(" or ".join(f"levenshtein(x, y, {bound}) >= 0" for bound in bounds)).select("a", "b")
+    most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(round(1 - SIMILARITY, 6))).cast("int").alias("most")
+    return both.select("a", "b", "x", "y", most).mapInArrow(run, "a long, b long")
 
 
 def line_groups(docs: DataFrame, row: Column | None = None) -> DataFrame:
