@@ -443,6 +443,46 @@ def test_training_step_follows_the_formula():
     assert np.array_equal(net._sums(rows, np.array([0, 1, 4, 5])), np.add.reduceat(rows, [0, 1, 4, 5], axis=0))
 
 
+def test_steps_prepared_together_are_single_steps():
+    rng = np.random.default_rng(4)
+    ids = np.concatenate(([0, 0], (rng.random(900) ** 4 * 36).astype(np.int32), [0, 0])).astype(np.int32)
+    at = rng.permutation(np.arange(2, 902))[:845]
+    together, single = (pseudo_likelihood.Network(classes=6, dim=8) for _ in range(2))
+    together.train(ids, at, 0.9, 64)  # the last step is on 13 places
+    for a in range(0, len(at), 64):
+        single.train(ids, at[a:a + 64], 0.9)
+    assert np.array_equal(together.weights, single.weights)
+    # none and one place; a place whose word and context are one id
+    before = together.weights.copy()
+    together.train(ids, at[:0], 0.9, 64)
+    assert np.array_equal(together.weights, before)
+    together.train(np.ones(5, np.int32), np.array([2]), 0.9)
+    assert np.isfinite(together.weights).all() and not np.array_equal(together.weights, before)
+    # the same order whatever the size of the numbers
+    keys = rng.integers(0, 3 << 16, (3, 500)) // 40 * 40
+    assert np.array_equal(pseudo_likelihood.ranks(keys, 3 << 16), np.argsort(keys, axis=1, kind="stable"))
+
+
+def test_a_step_has_a_product_for_classes_of_equally_many_places(monkeypatch):
+    net, calls, product = pseudo_likelihood.Network(classes=40, dim=8), [], np.matmul
+    ids = np.concatenate(([0, 0], np.repeat(np.arange(40) * 40, 3), [0, 0])).astype(np.int32)
+    monkeypatch.setattr(np, "matmul", lambda *a, **k: calls.append(1) or product(*a, **k))
+    net.train(ids, np.arange(2, 122), 0.1)
+    assert 0 < len(calls) < 10  # 40 classes of three places each
+
+
+def test_each_shard_is_a_task_of_its_own(spark):
+    docs = table(spark, [f"w{i} w{i * 7 % 13}" for i in range(300)])
+    dealt = pseudo_likelihood.deal(docs, 2, 5, pseudo_likelihood.Vocabulary([b"w1"], 16))
+    rows = pseudo_likelihood.shards_of(dealt, 1, 5)
+    found = rows.groupBy("shard").applyInArrow(lambda t: t.slice(0, 1).select(["shard"]), "shard int").withColumn("part", F.spark_partition_id())
+    assert sorted(tuple(r) for r in found.collect()) == [(i, i) for i in range(5)]
+    assert sorted(r["k"] for r in rows.collect()) == sorted(r["k"] for r in dealt.where("round = 1").collect())
+    # the network does not depend on it
+    words, start = pseudo_likelihood.Vocabulary([b"w1"], 16), pseudo_likelihood.Network(classes=16).weights
+    assert np.array_equal(pseudo_likelihood.train_round(dealt, words, start, 1, 2, shards=5), pseudo_likelihood.train_round(dealt, words, start, 1, 2))
+
+
 def test_copies_are_averaged_by_their_words(spark):
     docs = table(spark, [" ".join(f"w{(i * j) % 50}" for j in range(1500)) for i in range(8)])
     words = pseudo_likelihood.vocabulary(docs, classes=16)
