@@ -535,6 +535,30 @@ def test_words_are_counted_before_they_are_shuffled(spark, monkeypatch):
     assert len(words.known) <= 5 and ids == [[1, words.first_hashed + zlib.crc32(f"word{i}".encode()) % words.hashed, 1] for i in range(20)]
 
 
+def test_words_of_texts_are_found_together(monkeypatch):
+    import pyarrow as pa
+    import xxhash
+
+    texts = [b"", b"  ", b" A b\x0bc\x0c\r\nD b ", b"x\x85y\xa0z \xc3\x89T \x1c\x1d\x1e\x1f a", b"\xff\xfe Z\x00q  r", b"the " * 50, b"", b"a"]
+    for size in (1, 20, 1 << 20):
+        monkeypatch.setattr(pseudo_likelihood, "TEXT_BYTES", size)
+        for kind, rows in ((pa.binary(), texts), (pa.large_binary(), texts), (pa.binary(), [b"", b""]), (pa.binary(), [])):
+            got = []
+            for w in pseudo_likelihood.words_in(pa.array([b"q r", *rows], kind).slice(1)):
+                got += [[w.different[i] for i in w.which[a:b]] for a, b in zip(w.starts, w.starts[1:])]
+                assert len(set(w.different)) == len(w.different)
+            assert got == [t.lower().split() for t in rows]
+    # of each text the words that share an id, each as often as it occurs
+    words = pseudo_likelihood.Vocabulary([b"the", b"a"], 16)
+    words.totals[:] = np.arange(words.hashed)
+    found = next(pseudo_likelihood.words_in(pa.array([b"the x", b"", b"x Y x a"], pa.binary())))
+    x, y = (np.uint64(xxhash.xxh64_intdigest(w, 42)).astype(np.int64) for w in (b"x", b"y"))
+    share = {w: np.log1p(words.totals[words.encode(w)[0] - words.first_hashed]) for w in (b"x", b"y")}
+    got = list(words.sharing(found, words.ids_of(found.different)))
+    assert [h.tolist() for h, _ in got] == [[x], [], [x, y, x]]
+    assert [s for _, s in got] == pytest.approx([-share[b"x"], 0, -2 * share[b"x"] - share[b"y"]])
+
+
 def test_vocabulary_grows_with_the_corpus(spark):
     sizes = [pseudo_likelihood.vocabulary(table(spark, [" ".join(f"w{i}" for i in range(n))])).size for n in (1000, 90_000, 400_000)]
     assert sizes[0] == 1024 and sizes[0] < sizes[1] < sizes[2] and sizes[2] >= 4 * 400_000 ** 0.5
